@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ADAPTER_PERIOD, Period
+from ..config import ADAPTER_PERIOD, Period, scratch_path
 from ..operators import kpi, ledger, unpriced, validate
 from ..operators.kpi import FAMILY, STORE
 from ..sources.adapter import driver_tables
@@ -23,12 +23,28 @@ from ..sources.tables import RetailTables
 BAND = (300, 400)
 
 
+# Input bundles per session and folder. The driver folders do not change
+# during a run, so the tables' logical plans and the one job measuring the
+# master serve every query over that folder.
+_TABLES: dict[tuple[int, str], RetailTables] = {}
+
+
+def tables_for(spark: SparkSession, sf_dir: str) -> RetailTables:
+    key = (id(spark), sf_dir)
+    t = _TABLES.get(key)
+    if t is None or t.spark is not spark:
+        t = driver_tables(spark, sf_dir)
+        t.products_fit_broadcast()
+        _TABLES[key] = t
+    return t
+
+
 class Plan:
     """Lazily built frames of one run over one folder, shared by the queries."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, period: Period = ADAPTER_PERIOD):
         self.period = period
-        self.t: RetailTables = driver_tables(spark, sf_dir)
+        self.t: RetailTables = tables_for(spark, sf_dir)
         self.fits = self.t.products_fit_broadcast()
 
     # inputs
@@ -81,6 +97,15 @@ class Plan:
         )
 
 
+def footprint(p: Plan) -> DataFrame:
+    """Run the whole job into a fresh folder of the shared checkpoint dir; report its size (IO7)."""
+    from .job import run_job
+
+    spark = p.products.sparkSession
+    res = run_job(p.t, scratch_path(spark, "job-output"), p.period)
+    return res.footprint(spark)
+
+
 def _money(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in cols else c for c in df.columns])
 
@@ -190,6 +215,8 @@ def _queries() -> dict[str, Callable[[Plan], DataFrame]]:
         "check_contract": lambda p: validate.check_contract(
             p.products, p.sales, p.movements, master_fits=p.fits
         ),
+        # sinks: whole job, then the size of what it wrote (IO5, IO7); no oracle
+        "output_footprint": footprint,
     }
 
 
