@@ -1,15 +1,24 @@
 """Yearly KPIs per store or per product family: benefit and rotation.
 
 ``level`` is the entity column: ``"StoreId"`` or ``"Family"``. Every result
-is a full spine of entity x year, zero-filled (S14). Facts are filtered to
-the reporting years at the scan (R6), joined to the (broadcast when small)
-master and aggregated with map-side partial sums, so the only shuffles
-carry one row per (entity, year) per task. Money is summed as Decimal,
-which is exact and order-independent, and turned into Double at the edge.
+is a full spine of entity x year, zero-filled (S14).
+
+All KPIs read the facts through :class:`Measures`: one pass over the sales
+and one over the inbound movements, each joined to the (broadcast when
+small) master and pre-aggregated per (store, family, flags, year) with
+map-side partial sums. Store- and family-level measures, the unpriced
+branch and the adjusted benefit are then algebra on those small tables,
+so a whole run scans each fact table once for the KPIs, however many
+outputs it writes. Facts are filtered to the reporting years at the scan
+(R6). Money is summed as Decimal, exact and order-independent, and turned
+into Double at the edge.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass, fields, replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,17 +31,15 @@ YEAR = "Anio"
 LEVELS = (STORE, FAMILY)
 
 
+def zero_money():
+    return F.lit(0).cast("decimal(38,2)")
+
+
 def _check_level(level: str) -> None:
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}, got {level!r}")
 
 
-def _dim(products: DataFrame, df: DataFrame, master_fits: bool | None) -> DataFrame:
-    if master_fits is None:
-        master_fits = fits_broadcast(products)
-    return maybe_broadcast(df, master_fits)
-
-
 # ---------------------------------------------------------------- universes
 
 def store_universe(
@@ -43,16 +50,20 @@ def store_universe(
     known_products_only: bool = False,
     master_fits: bool | None = None,
 ) -> DataFrame:
-    """Distinct stores of sales and movements (U3; S15).
+    """Distinct stores of sales and movements, all years (U3; S15).
 
     By default every movement counts, also of products missing from the
     master; ``known_products_only=True`` keeps only movements of known
-    products. Each side is de-duplicated map-side before the shuffle.
+    products. Only the StoreId column is read, and each side is
+    de-duplicated map-side before the shuffle.
     """
-    mv = movements.select("ProductId", STORE) if known_products_only else movements.select(STORE)
     if known_products_only:
-        known = products.select("ProductId")
-        mv = mv.join(_dim(products, known, master_fits), "ProductId", "left_semi").select(STORE)
+        if master_fits is None:
+            master_fits = fits_broadcast(products)
+        known = maybe_broadcast(products.select("ProductId"), master_fits)
+        mv = movements.select("ProductId", STORE).join(known, "ProductId", "left_semi").select(STORE)
+    else:
+        mv = movements.select(STORE)
     return sales.select(STORE).union(mv).distinct()
 
 
@@ -67,102 +78,164 @@ def spine(entities: DataFrame, level: str, years) -> DataFrame:
     return entities.select(level, F.explode(yrs).alias(YEAR))
 
 
-def entity_spine(
-    sales: DataFrame,
-    movements: DataFrame,
-    products: DataFrame,
-    level: str,
-    period: Period,
-    **kw,
+# ---------------------------------------------------------------- fact cubes
+
+def sales_cube(
+    sales: DataFrame, products: DataFrame, period: Period, *, master_fits: bool | None = None
 ) -> DataFrame:
-    _check_level(level)
-    ents = (
-        store_universe(sales, movements, products, **kw)
-        if level == STORE
-        else family_universe(products)
+    """Sales of the reporting years per (StoreId, Family, Known, Priced, Anio).
+
+    ``Units`` sums every quantity; ``Value`` sums Quantity x RetailPrice and
+    is null where the product has no price. Products missing from the
+    master stay in (Known = false): store-level units count them (S19).
+    """
+    if master_fits is None:
+        master_fits = fits_broadcast(products)
+    master = products.select(
+        "ProductId",
+        FAMILY,
+        "RetailPrice",
+        F.lit(True).alias("Known"),
+    )
+    facts = sales.filter(in_years("Date", period)).select(
+        STORE, "ProductId", "Quantity", year_of("Date").alias(YEAR)
     )
-    return spine(ents, level, period.years)
+    return (
+        facts.join(maybe_broadcast(master, master_fits), "ProductId", "left")
+        .groupBy(
+            STORE,
+            FAMILY,
+            F.coalesce(F.col("Known"), F.lit(False)).alias("Known"),
+            F.col("RetailPrice").isNotNull().alias("Priced"),
+            YEAR,
+        )
+        .agg(
+            F.sum("Quantity").alias("Units"),
+            F.sum(F.col("Quantity") * F.col("RetailPrice")).alias("Value"),
+        )
+    )
+
+
+def inbound_cube(
+    movements: DataFrame, products: DataFrame, period: Period, *, master_fits: bool | None = None
+) -> DataFrame:
+    """Inbound cost of the reporting years per (StoreId, Family, Priced, Anio).
+
+    Raw movement rows with Quantity > 0, before any netting, of products in
+    the master; a null SupplierPrice drops its rows out of the sum.
+    """
+    if master_fits is None:
+        master_fits = fits_broadcast(products)
+    master = products.select(
+        "ProductId", FAMILY, "SupplierPrice", F.col("RetailPrice").isNotNull().alias("Priced")
+    )
+    facts = movements.filter((F.col("Quantity") > 0) & in_years("Date", period)).select(
+        STORE, "ProductId", "Quantity", year_of("Date").alias(YEAR)
+    )
+    return (
+        facts.join(maybe_broadcast(master, master_fits), "ProductId")
+        .groupBy(STORE, FAMILY, "Priced", YEAR)
+        .agg(F.sum(F.col("Quantity") * F.col("SupplierPrice")).alias("Cost"))
+    )
+
+
+@dataclass(frozen=True)
+class Measures:
+    """The pre-aggregated facts every KPI of one run is computed from.
+
+    Built lazily by :meth:`build`; a job that writes several outputs
+    materialises them once with :meth:`materialize` (all four are small:
+    entities x flags x years).
+    """
+
+    sales: DataFrame
+    inbound: DataFrame
+    stores: DataFrame
+    families: DataFrame
+    period: Period
+
+    @classmethod
+    def build(
+        cls,
+        sales: DataFrame,
+        movements: DataFrame,
+        products: DataFrame,
+        period: Period,
+        *,
+        master_fits: bool | None = None,
+        known_products_only: bool = False,
+    ) -> "Measures":
+        if master_fits is None:
+            master_fits = fits_broadcast(products)
+        return cls(
+            sales_cube(sales, products, period, master_fits=master_fits),
+            inbound_cube(movements, products, period, master_fits=master_fits),
+            store_universe(
+                sales,
+                movements,
+                products,
+                known_products_only=known_products_only,
+                master_fits=master_fits,
+            ),
+            family_universe(products),
+            period,
+        )
+
+    def materialize(self, store: Callable[[DataFrame, str], DataFrame]) -> "Measures":
+        """Replace each frame by ``store(frame, name)``, e.g. written and read back."""
+        return replace(
+            self,
+            **{
+                f.name: store(getattr(self, f.name), f.name)
+                for f in fields(self)
+                if f.name != "period"
+            },
+        )
+
+    def spine(self, level: str) -> DataFrame:
+        _check_level(level)
+        ents = self.stores if level == STORE else self.families
+        return spine(ents, level, self.period.years)
 
 
 # ---------------------------------------------------------------- measures
 
-def sales_value(
-    sales: DataFrame,
-    products: DataFrame,
-    level: str,
-    period: Period,
-    *,
-    master_fits: bool | None = None,
-) -> DataFrame:
+def sales_value(m: Measures, level: str) -> DataFrame:
     """Sum of Quantity x RetailPrice of priced products per entity and year (A3; S11)."""
     _check_level(level)
-    cols = ["ProductId", "RetailPrice"] + ([FAMILY] if level == FAMILY else [])
-    priced = products.filter(F.col("RetailPrice").isNotNull()).select(*cols)
-    facts = sales.filter(in_years("Date", period)).select(
-        "ProductId", "Quantity", year_of("Date").alias(YEAR), *([STORE] if level == STORE else [])
-    )
     return (
-        facts.join(_dim(products, priced, master_fits), "ProductId")
+        m.sales.filter("Priced")
         .groupBy(level, YEAR)
-        .agg(F.sum(F.col("Quantity") * F.col("RetailPrice")).alias("TotalVentas"))
+        .agg(F.sum("Value").alias("TotalVentas"))
     )
 
 
 def inbound_cost(
-    movements: DataFrame,
-    products: DataFrame,
-    level: str,
-    period: Period,
-    *,
-    priced: bool | None = True,
-    name: str = "TotalCostos",
-    master_fits: bool | None = None,
+    m: Measures, level: str, *, priced: bool | None = True, name: str = "TotalCostos"
 ) -> DataFrame:
-    """Sum of Quantity x SupplierPrice over inbound movements per entity and year.
+    """Inbound cost per entity and year.
 
-    Raw movement rows with Quantity > 0, before any netting (S12).
     ``priced=True`` keeps products with a retail price, ``False`` those
-    without, ``None`` all. A null SupplierPrice makes its rows drop out of
-    the sum (S13).
+    without, ``None`` all.
     """
     _check_level(level)
-    cols = ["ProductId", "SupplierPrice"] + ([FAMILY] if level == FAMILY else [])
-    master = products
+    cube = m.inbound
     if priced is True:
-        master = master.filter(F.col("RetailPrice").isNotNull())
+        cube = cube.filter(F.col("Priced"))
     elif priced is False:
-        master = master.filter(F.col("RetailPrice").isNull())
-    facts = movements.filter((F.col("Quantity") > 0) & in_years("Date", period)).select(
-        "ProductId", "Quantity", year_of("Date").alias(YEAR), *([STORE] if level == STORE else [])
-    )
-    return (
-        facts.join(_dim(products, master.select(*cols), master_fits), "ProductId")
-        .groupBy(level, YEAR)
-        .agg(F.sum(F.col("Quantity") * F.col("SupplierPrice")).alias(name))
-    )
+        cube = cube.filter(~F.col("Priced"))
+    return cube.groupBy(level, YEAR).agg(F.sum("Cost").alias(name))
 
 
-def units_sold(
-    sales: DataFrame,
-    products: DataFrame,
-    level: str,
-    period: Period,
-    *,
-    master_fits: bool | None = None,
-) -> DataFrame:
+def units_sold(m: Measures, level: str) -> DataFrame:
     """Units sold per entity and year (A5; S19).
 
-    Store level reads sales alone, so unknown products count; family level
-    needs the master, so they do not.
+    Store level counts every sale, unknown products included; family level
+    needs the master, so it counts known products only.
     """
     _check_level(level)
-    facts = sales.filter(in_years("Date", period))
-    if level == FAMILY:
-        fam = _dim(products, products.select("ProductId", FAMILY), master_fits)
-        facts = facts.join(fam, "ProductId")
-    return facts.groupBy(level, year_of("Date").alias(YEAR)).agg(
-        F.sum("Quantity").alias("UnidadesVendidas")
-    )
+    cube = m.sales if level == STORE else m.sales.filter("Known")
+    return cube.groupBy(level, YEAR).agg(F.sum("Units").alias("UnidadesVendidas"))
 
 
 def stock_days(intervals: DataFrame, period: Period, by) -> DataFrame:
@@ -210,8 +283,10 @@ def mean_stock(
         fam = products.filter(F.col("ProductRootCode").isNotNull()).groupBy(
             "ProductRootCode", FAMILY
         )
-        fan = fam.agg(F.count(F.lit(1)).alias("_n")) if root_fanout else fam.agg(
-            F.lit(1).cast("long").alias("_n")
+        fan = (
+            fam.agg(F.count(F.lit(1)).alias("_n"))
+            if root_fanout
+            else fam.agg(F.lit(1).cast("long").alias("_n"))
         )
         sd = (
             per_root.join(fan, "ProductRootCode")
@@ -228,67 +303,48 @@ def mean_stock(
 
 # ---------------------------------------------------------------- KPIs
 
-def benefit_decimal(
-    sales: DataFrame,
-    movements: DataFrame,
-    products: DataFrame,
-    level: str,
-    period: Period,
-    *,
-    master_fits: bool | None = None,
-    **spine_kw,
-) -> DataFrame:
+def benefit_decimal(m: Measures, level: str) -> DataFrame:
     """Benefit as exact Decimal: sales value - inbound cost, 0 where missing."""
-    if master_fits is None:
-        master_fits = fits_broadcast(products)
-    sp = entity_spine(sales, movements, products, level, period, master_fits=master_fits, **spine_kw)
-    sv = sales_value(sales, products, level, period, master_fits=master_fits)
-    ic = inbound_cost(movements, products, level, period, master_fits=master_fits)
-    zero = F.lit(0).cast("decimal(38,2)")
     return (
-        sp.join(sv, [level, YEAR], "left")
-        .join(ic, [level, YEAR], "left")
+        m.spine(level)
+        .join(sales_value(m, level), [level, YEAR], "left")
+        .join(inbound_cost(m, level), [level, YEAR], "left")
         .select(
             level,
             YEAR,
-            (F.coalesce("TotalVentas", zero) - F.coalesce("TotalCostos", zero)).alias("Beneficio"),
+            (F.coalesce("TotalVentas", zero_money()) - F.coalesce("TotalCostos", zero_money())).alias(
+                "Beneficio"
+            ),
         )
     )
 
 
-def benefit(sales, movements, products, level, period, **kw) -> DataFrame:
+def benefit(m: Measures, level: str) -> DataFrame:
     """Benefit per entity and year, as Double (the published table)."""
-    b = benefit_decimal(sales, movements, products, level, period, **kw)
+    b = benefit_decimal(m, level)
     return b.select(level, YEAR, F.col("Beneficio").cast("double").alias("Beneficio"))
 
 
 def rotation(
-    sales: DataFrame,
-    movements: DataFrame,
-    products: DataFrame,
+    m: Measures,
     intervals: DataFrame,
+    products: DataFrame,
     level: str,
-    period: Period,
     *,
     root_fanout: bool = True,
-    master_fits: bool | None = None,
-    **spine_kw,
 ) -> DataFrame:
     """Units sold / mean stock per entity and year (B7, B8; S21).
 
     Zero or missing mean stock gives the units sold themselves.
     """
-    if master_fits is None:
-        master_fits = fits_broadcast(products)
-    sp = entity_spine(sales, movements, products, level, period, master_fits=master_fits, **spine_kw)
-    us = units_sold(sales, products, level, period, master_fits=master_fits)
-    ms = mean_stock(intervals, products, level, period, root_fanout=root_fanout).select(
+    ms = mean_stock(intervals, products, level, m.period, root_fanout=root_fanout).select(
         level, YEAR, "StockMedio"
     )
     units = F.coalesce(F.col("UnidadesVendidas"), F.lit(0).cast("long"))
     stock = F.col("StockMedio")
     return (
-        sp.join(us, [level, YEAR], "left")
+        m.spine(level)
+        .join(units_sold(m, level), [level, YEAR], "left")
         .join(ms, [level, YEAR], "left")
         .select(
             level,

@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import Period
 from ..functions.labels import year_entity_label
-from .joins import fits_broadcast
-from .kpi import FAMILY, STORE, YEAR, benefit_decimal, entity_spine, inbound_cost
+from .kpi import FAMILY, STORE, YEAR, zero_money, Measures, benefit_decimal, inbound_cost
 
 
 def unpriced_products(products: DataFrame) -> DataFrame:
@@ -21,61 +19,34 @@ def unpriced_by_family(products: DataFrame) -> DataFrame:
     return unpriced_products(products).groupBy(FAMILY).agg(F.count(F.lit(1)).alias("Cantidad"))
 
 
-def unpriced_cost_decimal(
-    sales: DataFrame,
-    movements: DataFrame,
-    products: DataFrame,
-    level: str,
-    period: Period,
-    *,
-    master_fits: bool | None = None,
-    **spine_kw,
-) -> DataFrame:
+def unpriced_cost_decimal(m: Measures, level: str) -> DataFrame:
     """Inbound cost of unpriced products per entity and year, 0-filled, as Decimal."""
-    if master_fits is None:
-        master_fits = fits_broadcast(products)
-    sp = entity_spine(sales, movements, products, level, period, master_fits=master_fits, **spine_kw)
-    cost = inbound_cost(
-        movements, products, level, period, priced=False, name="TotalCosto", master_fits=master_fits
-    )
-    zero = F.lit(0).cast("decimal(38,2)")
-    return sp.join(cost, [level, YEAR], "left").select(
-        level, YEAR, F.coalesce("TotalCosto", zero).alias("TotalCosto")
+    cost = inbound_cost(m, level, priced=False, name="TotalCosto")
+    return m.spine(level).join(cost, [level, YEAR], "left").select(
+        level, YEAR, F.coalesce("TotalCosto", zero_money()).alias("TotalCosto")
     )
 
 
-def unpriced_cost(sales, movements, products, level, period, **kw) -> DataFrame:
-    c = unpriced_cost_decimal(sales, movements, products, level, period, **kw)
+def unpriced_cost(m: Measures, level: str) -> DataFrame:
+    c = unpriced_cost_decimal(m, level)
     return c.select(level, YEAR, F.col("TotalCosto").cast("double").alias("TotalCosto"))
 
 
-def unpriced_total(sales, movements, products, period, **kw) -> DataFrame:
+def unpriced_total(m: Measures) -> DataFrame:
     """Grand total of the store-level unpriced cost (A9): one row."""
-    c = unpriced_cost_decimal(sales, movements, products, STORE, period, **kw)
+    c = unpriced_cost_decimal(m, STORE)
     return c.agg(F.sum("TotalCosto").cast("double").alias("TotalCosto"))
 
 
-def adjusted_benefit(
-    sales: DataFrame,
-    movements: DataFrame,
-    products: DataFrame,
-    level: str,
-    period: Period,
-    *,
-    master_fits: bool | None = None,
-    **spine_kw,
-) -> DataFrame:
+def adjusted_benefit(m: Measures, level: str) -> DataFrame:
     """Benefit minus the unpriced products' cost (B12, B13; S18).
 
     Store level pairs the two tables with an inner join, family level with
     a left join: the null family matches nothing there, so its adjusted
     benefit is null, as published.
     """
-    if master_fits is None:
-        master_fits = fits_broadcast(products)
-    kw = dict(master_fits=master_fits, **spine_kw)
-    b = benefit_decimal(sales, movements, products, level, period, **kw)
-    c = unpriced_cost_decimal(sales, movements, products, level, period, **kw)
+    b = benefit_decimal(m, level)
+    c = unpriced_cost_decimal(m, level)
     how = "inner" if level == STORE else "left"
     return b.join(c, [level, YEAR], how).select(
         level,

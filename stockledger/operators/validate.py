@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import Period
 from ..functions.dates import days_in_year, in_years, year_of
 from .joins import fits_broadcast, maybe_broadcast
-from .kpi import FAMILY, STORE, YEAR, units_sold
+from .kpi import FAMILY, STORE, YEAR
 from .ledger import KEY, stock_as_of
 
 # Fixed tolerance for comparing recomputed money and ratios.
@@ -208,7 +208,10 @@ def check_rotation(
             .groupBy(FAMILY, YEAR)
             .agg(F.sum(F.col("_rsd") * F.col("count")).alias("_sd"))
         )
-    us = units_sold(sales, products, level, period, master_fits=False)
+    s = sales.filter(in_years("Date", period))
+    if level == FAMILY:
+        s = s.join(products.select("ProductId", FAMILY), "ProductId")
+    us = s.groupBy(level, year_of("Date").alias(YEAR)).agg(F.sum("Quantity").alias("UnidadesVendidas"))
     units = F.coalesce(F.col("UnidadesVendidas"), F.lit(0)).cast("double")
     mean = F.coalesce(F.col("_sd"), F.lit(0)) / days_in_year(F.col(YEAR), period.days_per_year)
     re = (

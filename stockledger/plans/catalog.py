@@ -74,27 +74,22 @@ class Plan:
         return ledger.daily_stock(self.intervals())
 
     # KPIs
-    def kw(self) -> dict:
-        return {"master_fits": self.fits}
+    def measures(self) -> kpi.Measures:
+        return kpi.Measures.build(
+            self.sales, self.movements, self.products, self.period, master_fits=self.fits
+        )
 
     def benefit(self, level: str) -> DataFrame:
-        return kpi.benefit(self.sales, self.movements, self.products, level, self.period, **self.kw())
+        return kpi.benefit(self.measures(), level)
 
     def rotation(self, level: str) -> DataFrame:
-        return kpi.rotation(
-            self.sales, self.movements, self.products, self.intervals(), level, self.period,
-            **self.kw(),
-        )
+        return kpi.rotation(self.measures(), self.intervals(), self.products, level)
 
     def unpriced_cost(self, level: str) -> DataFrame:
-        return unpriced.unpriced_cost(
-            self.sales, self.movements, self.products, level, self.period, **self.kw()
-        )
+        return unpriced.unpriced_cost(self.measures(), level)
 
     def adjusted(self, level: str) -> DataFrame:
-        return unpriced.adjusted_benefit(
-            self.sales, self.movements, self.products, level, self.period, **self.kw()
-        )
+        return unpriced.adjusted_benefit(self.measures(), level)
 
 
 def footprint(p: Plan) -> DataFrame:
@@ -137,26 +132,20 @@ def _queries() -> dict[str, Callable[[Plan], DataFrame]]:
         # universes and spine
         "store_universe": lambda p: kpi.store_universe(p.sales, p.movements),
         "family_universe": lambda p: kpi.family_universe(p.products),
-        "store_year_spine": lambda p: kpi.entity_spine(
-            p.sales, p.movements, p.products, STORE, p.period
-        ),
+        "store_year_spine": lambda p: p.measures().spine(STORE),
         # measures (A3-A6)
-        "store_sales_value": lambda p: _money(
-            kpi.sales_value(p.sales, p.products, STORE, p.period, **p.kw()), "TotalVentas"
-        ),
+        "store_sales_value": lambda p: _money(kpi.sales_value(p.measures(), STORE), "TotalVentas"),
         "family_sales_value": lambda p: _money(
-            kpi.sales_value(p.sales, p.products, FAMILY, p.period, **p.kw()), "TotalVentas"
+            kpi.sales_value(p.measures(), FAMILY), "TotalVentas"
         ),
         "store_inbound_cost": lambda p: _money(
-            kpi.inbound_cost(p.movements, p.products, STORE, p.period, **p.kw()), "TotalCostos"
+            kpi.inbound_cost(p.measures(), STORE), "TotalCostos"
         ),
         "family_inbound_cost": lambda p: _money(
-            kpi.inbound_cost(p.movements, p.products, FAMILY, p.period, **p.kw()), "TotalCostos"
-        ),
-        "store_units_sold": lambda p: kpi.units_sold(p.sales, p.products, STORE, p.period, **p.kw()),
-        "family_units_sold": lambda p: kpi.units_sold(
-            p.sales, p.products, FAMILY, p.period, **p.kw()
+            kpi.inbound_cost(p.measures(), FAMILY), "TotalCostos"
         ),
+        "store_units_sold": lambda p: kpi.units_sold(p.measures(), STORE),
+        "family_units_sold": lambda p: kpi.units_sold(p.measures(), FAMILY),
         "store_mean_stock": lambda p: kpi.mean_stock(p.intervals(), p.products, STORE, p.period),
         "family_mean_stock": lambda p: kpi.mean_stock(p.intervals(), p.products, FAMILY, p.period),
         "family_mean_stock_dedup": lambda p: kpi.mean_stock(
@@ -180,9 +169,7 @@ def _queries() -> dict[str, Callable[[Plan], DataFrame]]:
             unpriced.unpriced_products(p.products), "RetailPrice", "SupplierPrice"
         ),
         "unpriced_by_family": lambda p: unpriced.unpriced_by_family(p.products),
-        "unpriced_total": lambda p: unpriced.unpriced_total(
-            p.sales, p.movements, p.products, p.period, **p.kw()
-        ),
+        "unpriced_total": lambda p: unpriced.unpriced_total(p.measures()),
         "store_cost_unpriced": lambda p: p.unpriced_cost(STORE),
         "family_cost_unpriced": lambda p: p.unpriced_cost(FAMILY),
         "store_benefits_v2": lambda p: p.adjusted(STORE),

@@ -1,10 +1,19 @@
 """One batch run of the whole job: read, ledger, KPIs, unpriced branch, write.
 
-The ledger is computed once. ``interval_stock`` is written first and read
-back from the output folder; every later output (daily stock, both
-rotations) reads the written table instead of replaying the ledger's
-lineage (R7). A lost executor then costs at most the tasks of the stage
-it was running, never a recompute from the raw movements.
+Everything expensive is computed once and cut from its lineage by a
+written table:
+
+* the ledger: ``interval_stock`` is written first and read back; daily
+  stock and both rotations read the written table (R7);
+* the KPI pre-aggregates (:class:`~stockledger.operators.kpi.Measures`):
+  one pass over sales and one over inbound movements, written to the
+  shared checkpoint folder and read back; all six KPI outputs are algebra
+  on those small tables.
+
+So a run scans movements twice (ledger, inbound cube) plus once for the
+StoreId column, and sales once plus once for StoreId, however many
+outputs it writes. A lost executor costs at most the tasks of the stage
+it was running, never a recompute from the raw facts.
 """
 
 from __future__ import annotations
@@ -14,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import Period, RETAIL_PERIOD
+from ..config import RETAIL_PERIOD, Period, scratch_path
 from ..operators import kpi, ledger, unpriced
 from ..operators.kpi import FAMILY, STORE
 from ..sources.sinks import output_footprint, output_path, write_output
@@ -30,6 +39,15 @@ class JobResult:
         return output_footprint(spark, self.out_dir)
 
 
+def written(spark: SparkSession, run_dir: str):
+    """A ``store(df, name)`` that writes ``df`` under ``run_dir`` and reads it back."""
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        return spark.read.parquet(write_output(df, run_dir, name))
+
+    return store
+
+
 def run_job(
     tables: RetailTables,
     out_dir: str,
@@ -41,14 +59,14 @@ def run_job(
 ) -> JobResult:
     """Compute and write every published output under ``out_dir``.
 
-    ``daily=False`` skips the (keys x days) daily table; no KPI reads it.
-    daily_stock is written partitioned by year, so readers of one year
-    prune the rest.
+    Intermediate tables go to a fresh folder of the session's shared
+    checkpoint dir. ``daily=False`` skips the (keys x days) daily table; no
+    KPI reads it. daily_stock is written partitioned by year, so readers of
+    one year prune the rest.
     """
     spark = tables.spark
     fits = tables.products_fit_broadcast()
     p, s, m = tables.products, tables.sales, tables.movements
-    spine_kw = {"known_products_only": known_products_only}
     outs: dict[str, str] = {}
 
     led = ledger.stock_ledger(m, p, period, master_fits=fits)
@@ -59,20 +77,21 @@ def run_job(
         d = ledger.daily_stock(intervals).withColumn("Anio", F.year("Date"))
         outs["daily_stock"] = write_output(d, out_dir, "daily_stock", partition_by=["Anio"])
 
+    measures = kpi.Measures.build(
+        s, m, p, period, master_fits=fits, known_products_only=known_products_only
+    ).materialize(written(spark, scratch_path(spark, "measures")))
+
     for level, prefix in ((STORE, "store"), (FAMILY, "family")):
-        kw = dict(master_fits=fits, **spine_kw)
         outs[f"{prefix}_benefits"] = write_output(
-            kpi.benefit(s, m, p, level, period, **kw), out_dir, f"{prefix}_benefits"
+            kpi.benefit(measures, level), out_dir, f"{prefix}_benefits"
         )
         outs[f"{prefix}_rotation"] = write_output(
-            kpi.rotation(s, m, p, intervals, level, period, root_fanout=root_fanout, **kw),
+            kpi.rotation(measures, intervals, p, level, root_fanout=root_fanout),
             out_dir,
             f"{prefix}_rotation",
         )
         outs[f"{prefix}_benefits_v2"] = write_output(
-            unpriced.adjusted_benefit(s, m, p, level, period, **kw),
-            out_dir,
-            f"{prefix}_benefits_v2",
+            unpriced.adjusted_benefit(measures, level), out_dir, f"{prefix}_benefits_v2"
         )
     return JobResult(out_dir, outs)
 

@@ -66,11 +66,12 @@ def _by_key(df, level, col):
 def test_m2_kpis(m2, level):
     products, sales, movements = m2
     iv = _intervals(products, movements)
-    ben = _by_key(kpi.benefit(sales, movements, products, level, P), level, "Beneficio")
-    cost = _by_key(unpriced.unpriced_cost(sales, movements, products, level, P), level, "TotalCosto")
-    adj = _by_key(unpriced.adjusted_benefit(sales, movements, products, level, P), level, "TotalBeneficio")
-    rot = _by_key(kpi.rotation(sales, movements, products, iv, level, P), level, "Rotacion")
-    units = _by_key(kpi.units_sold(sales, products, level, P), level, "UnidadesVendidas")
+    m = kpi.Measures.build(sales, movements, products, P)
+    ben = _by_key(kpi.benefit(m, level), level, "Beneficio")
+    cost = _by_key(unpriced.unpriced_cost(m, level), level, "TotalCosto")
+    adj = _by_key(unpriced.adjusted_benefit(m, level), level, "TotalBeneficio")
+    rot = _by_key(kpi.rotation(m, iv, products, level), level, "Rotacion")
+    units = _by_key(kpi.units_sold(m, level), level, "UnidadesVendidas")
     sdays = _by_key(kpi.mean_stock(iv, products, level, P), level, "StockDays")
     want = {k: v for k, v in M2_TABLE.items() if (level == STORE) == isinstance(k[0], int)}
     assert set(ben) == set(want)  # S14: full spine; S15: store 3 listed
@@ -84,6 +85,18 @@ def test_m2_kpis(m2, level):
         assert rot[k] == pytest.approx(r, abs=1e-8)  # S21
 
 
+def test_m2_measures_materialized_agree(m2, spark):
+    from stockledger.config import scratch_path
+    from stockledger.plans.job import written
+
+    products, sales, movements = m2
+    lazy = kpi.Measures.build(sales, movements, products, P)
+    stored = lazy.materialize(written(spark, scratch_path(spark, "m2-measures")))
+    for level in (STORE, FAMILY):
+        a, b = unpriced.adjusted_benefit(lazy, level), unpriced.adjusted_benefit(stored, level)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_m2_known_products_only_drops_store_3(m2):
     products, sales, movements = m2
     sp = kpi.store_universe(sales, movements, products, known_products_only=True)

@@ -57,12 +57,13 @@ def test_daily_faults(world):
 @pytest.mark.parametrize("level", [STORE, FAMILY])
 def test_kpi_faults(world, level):
     t, _, iv = world
-    ben = kpi.benefit(t.sales, t.movements, t.products, level, P)
+    m = kpi.Measures.build(t.sales, t.movements, t.products, P)
+    ben = kpi.benefit(m, level)
     assert _v(validate.check_benefit(ben, t.sales, t.movements, t.products, level, P))[1] == 0
     bad = ben.withColumn("Beneficio", F.when(F.col("Anio") == 1999, F.col("Beneficio") + 1).otherwise(F.col("Beneficio")))
     n_1999 = ben.filter("Anio = 1999").count()
     assert _v(validate.check_benefit(bad, t.sales, t.movements, t.products, level, P))[1] == n_1999
-    rot = kpi.rotation(t.sales, t.movements, t.products, iv, level, P)
+    rot = kpi.rotation(m, iv, t.products, level)
     daily = ledger.daily_stock(iv)
     assert _v(validate.check_rotation(rot, t.sales, t.products, daily, level, P))[1] == 0
     bad = rot.withColumn("Rotacion", F.col("Rotacion") * 1.01 + 0.01)
