@@ -200,14 +200,31 @@ class Measures:
 
 # ---------------------------------------------------------------- measures
 
+def _conditional_sum(cube: DataFrame, level: str, cond, value: str, name: str) -> DataFrame:
+    """Sum ``value`` over the cube rows meeting ``cond`` per entity and year.
+
+    A conditional sum rather than a filter: a filter on a grouping column
+    would be pushed below the cube's aggregate and make every consumer's
+    copy of the cube plan differ, so two measures over one cube would scan
+    the facts twice. Written this way the cube sub-plan stays identical and
+    its exchange is reused. Groups with no matching row are dropped, as a
+    filter would.
+    """
+    return (
+        cube.groupBy(level, YEAR)
+        .agg(
+            F.sum(F.when(cond, F.col(value))).alias(name),
+            F.count(F.when(cond, F.lit(1))).alias("_rows"),
+        )
+        .filter(F.col("_rows") > 0)
+        .drop("_rows")
+    )
+
+
 def sales_value(m: Measures, level: str) -> DataFrame:
     """Sum of Quantity x RetailPrice of priced products per entity and year (A3; S11)."""
     _check_level(level)
-    return (
-        m.sales.filter("Priced")
-        .groupBy(level, YEAR)
-        .agg(F.sum("Value").alias("TotalVentas"))
-    )
+    return _conditional_sum(m.sales, level, F.col("Priced"), "Value", "TotalVentas")
 
 
 def inbound_cost(
@@ -219,12 +236,8 @@ def inbound_cost(
     without, ``None`` all.
     """
     _check_level(level)
-    cube = m.inbound
-    if priced is True:
-        cube = cube.filter(F.col("Priced"))
-    elif priced is False:
-        cube = cube.filter(~F.col("Priced"))
-    return cube.groupBy(level, YEAR).agg(F.sum("Cost").alias(name))
+    cond = {True: F.col("Priced"), False: ~F.col("Priced"), None: F.lit(True)}[priced]
+    return _conditional_sum(m.inbound, level, cond, "Cost", name)
 
 
 def units_sold(m: Measures, level: str) -> DataFrame:
@@ -234,8 +247,8 @@ def units_sold(m: Measures, level: str) -> DataFrame:
     needs the master, so it counts known products only.
     """
     _check_level(level)
-    cube = m.sales if level == STORE else m.sales.filter("Known")
-    return cube.groupBy(level, YEAR).agg(F.sum("Units").alias("UnidadesVendidas"))
+    cond = F.lit(True) if level == STORE else F.col("Known")
+    return _conditional_sum(m.sales, level, cond, "Units", "UnidadesVendidas")
 
 
 def stock_days(intervals: DataFrame, period: Period, by) -> DataFrame:
