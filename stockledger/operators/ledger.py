@@ -171,6 +171,11 @@ def interval_band(intervals: DataFrame, low: int, high: int, k: int = 3) -> Data
     )
 
 
-def latest_interval(intervals: DataFrame) -> DataFrame:
-    """Latest interval start per (root, store) (A13), every key."""
-    return intervals.groupBy(*KEY).agg(F.max("StartDate").alias("StartDate"))
+def latest_interval(intervals: DataFrame, n: int | None = None) -> DataFrame:
+    """Latest interval start per (root, store).
+
+    Every key by default. ``n`` keeps a sample of the first ``n`` keys in key
+    order (the original sampled with an unordered LIMIT, L4).
+    """
+    latest = intervals.groupBy(*KEY).agg(F.max("StartDate").alias("StartDate"))
+    return latest if n is None else latest.orderBy(*KEY).limit(n)

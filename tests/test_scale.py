@@ -1,0 +1,101 @@
+"""Scale paths: the shuffle-join fallback, and a key holding a third of all rows."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from stockledger.config import ADAPTER_PERIOD as P
+from stockledger.operators import kpi, ledger, unpriced
+from stockledger.operators.joins import fits_broadcast, measured_bytes
+from stockledger.operators.kpi import FAMILY, STORE
+from stockledger.sources.adapter import driver_tables
+
+
+def _same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_measured_size_bound(spark):
+    t = driver_tables(spark, SF001)
+    n = t.products.count()
+    b = measured_bytes(t.products)
+    assert b >= n * 40  # five 8-byte slots at least
+    assert fits_broadcast(t.products, limit=b) and not fits_broadcast(t.products, limit=b - 1)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    keys = {
+        "stockledger.broadcast.maxBytes": "0",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def test_shuffle_join_fallback_gives_same_results(spark, no_broadcast):
+    t = driver_tables(spark, SF001)
+    assert not t.products_fit_broadcast()
+    led = ledger.stock_ledger(t.movements, t.products, P, master_fits=False)
+    iv = ledger.interval_stock(led, P)
+    plan = iv._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    m = kpi.Measures.build(t.sales, t.movements, t.products, P, master_fits=False)
+    got = {
+        "iv": iv,
+        "rot": kpi.rotation(m, iv, t.products, FAMILY),
+        "adj": unpriced.adjusted_benefit(m, STORE),
+    }
+    spark.conf.unset("stockledger.broadcast.maxBytes")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10485760")
+    t2 = driver_tables(spark, SF001)
+    iv2 = ledger.interval_stock(ledger.stock_ledger(t2.movements, t2.products, P), P)
+    m2 = kpi.Measures.build(t2.sales, t2.movements, t2.products, P)
+    assert _same(got["iv"], iv2)
+    assert _same(got["rot"], kpi.rotation(m2, iv2, t2.products, FAMILY))
+    assert _same(got["adj"], unpriced.adjusted_benefit(m2, STORE))
+
+
+def test_hot_key_window_stays_bounded(spark):
+    """A third of all movements moved onto one (root, store): each key's window
+    still holds at most one row per day of the period plus the opening row."""
+    t = driver_tables(spark, SF001)
+    hot_pid = t.products.filter("ProductRootCode IS NOT NULL").orderBy("ProductId").first().ProductId
+    mv = t.movements.withColumn(
+        "_hot", (F.abs(F.hash("ProductId", "Date", "Quantity")) % 3) == 0
+    ).select(
+        F.when(F.col("_hot"), F.lit(0).cast("long")).otherwise(F.col("StoreId")).alias("StoreId"),
+        F.when(F.col("_hot"), F.lit(hot_pid)).otherwise(F.col("ProductId")).alias("ProductId"),
+        "Date",
+        "Quantity",
+    )
+    share = mv.filter(F.col("ProductId") == hot_pid).count() / mv.count()
+    assert share > 0.3
+    led = ledger.stock_ledger(mv, t.products, P)
+    per_key = led.groupBy(*ledger.KEY).count().agg(F.max("count")).first()[0]
+    assert per_key <= (P.closing - P.opening).days + 1
+    # and the answer still equals the definition for the hot key
+    iv = ledger.interval_stock(led, P)
+    rooted = ledger.attach_root(mv, t.products)
+    pts = iv.select(*ledger.KEY, F.col("StartDate").alias("AsOf"), "Stock")
+    bal = ledger.stock_as_of(rooted, pts, carry=["Stock"])
+    assert bal.filter(F.col("Balance") != F.col("Stock")).count() == 0
+
+
+def test_latest_interval_sample_is_ordered(spark):
+    t = driver_tables(spark, SF001)
+    iv = ledger.interval_stock(ledger.stock_ledger(t.movements, t.products, P), P)
+    full = ledger.latest_interval(iv).orderBy(*ledger.KEY).limit(3).collect()
+    assert ledger.latest_interval(iv, n=3).collect() == full
+    assert dt.date(1999, 1, 1) <= full[0].StartDate <= dt.date(2000, 12, 31)
