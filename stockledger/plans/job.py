@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..config import RETAIL_PERIOD, Period, scratch_path
 from ..operators import kpi, ledger, unpriced
 from ..operators.kpi import FAMILY, STORE
-from ..sources.sinks import output_footprint, output_path, write_output
+from ..sources.sinks import output_footprint, output_path, register_views, write_output
 from ..sources.tables import RetailTables
 
 
@@ -38,6 +38,12 @@ class JobResult:
     def footprint(self, spark: SparkSession) -> DataFrame:
         return output_footprint(spark, self.out_dir)
 
+    def register(self, spark: SparkSession) -> dict[str, DataFrame]:
+        """Expose every written output to SQL under its output name (IO6)."""
+        frames = {name: spark.read.parquet(path) for name, path in self.outputs.items()}
+        register_views(frames)
+        return frames
+
 
 def written(spark: SparkSession, run_dir: str):
     """A ``store(df, name)`` that writes ``df`` under ``run_dir`` and reads it back."""

@@ -23,6 +23,11 @@ def test_job_writes_every_output(spark):
     for name in ("store_benefits", "family_rotation", "family_benefits_v2"):
         a, b = published(spark, out, name), q[name](spark, SF001)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+    res.register(spark)
+    top = spark.sql(
+        "SELECT StoreId FROM store_benefits WHERE Anio = 2000 ORDER BY Beneficio DESC, StoreId LIMIT 3"
+    ).collect()
+    assert len(top) == 3
     fp = {r.output: r for r in res.footprint(spark).collect()}
     assert set(fp) == set(OUTPUTS) | {None}
     assert fp[None].bytes == sum(fp[n].bytes for n in OUTPUTS) > 0
