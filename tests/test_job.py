@@ -37,3 +37,12 @@ def test_footprint_query(spark):
     df = queries()["output_footprint"](spark, SF001)
     assert df.count() == len(OUTPUTS) + 1
     assert os.path.basename(__file__)  # ran without a fixed local path
+
+
+def test_command_line_runs_the_job(spark, capsys):
+    from stockledger.__main__ import main
+
+    out = scratch_path(spark, "cli-out")
+    main(["--driver-tables", SF001, "--out", out])
+    assert "interval_stock" in capsys.readouterr().out
+    assert spark.read.parquet(os.path.join(out, "interval_stock.parquet")).count() == 954
