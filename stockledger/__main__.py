@@ -1,4 +1,4 @@
-"""Run the whole job: ``spark-submit -m stockledger`` or ``python -m stockledger``.
+"""Run the whole job: ``python -m stockledger`` or ``spark-submit bin/stockledger_job.py``.
 
 Inputs are either the three retail tables or a folder of driver tables
 (``--driver-tables``, seen through the adapter of FIXTURES.md §4).

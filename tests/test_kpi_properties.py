@@ -1,0 +1,134 @@
+"""Random small retail tables: every KPI equals a brute-force Python computation."""
+
+import datetime as dt
+import os
+from collections import defaultdict
+from decimal import Decimal
+
+import pytest
+from hypothesis import HealthCheck, Phase, given, settings
+from hypothesis import strategies as st
+
+from stockledger.config import Period
+from stockledger.operators import kpi, ledger, unpriced
+from stockledger.operators.kpi import FAMILY, STORE
+
+from fixtures import facts_df, products_df
+
+P = Period(dt.date(2019, 1, 1), dt.date(2020, 12, 31), (2019, 2020))
+DAY = dt.timedelta(days=1)
+
+product = st.tuples(
+    st.sampled_from([1, 2, None]),  # root
+    st.sampled_from(["A", "B", None]),  # family
+    st.sampled_from([None, 3, 10]),  # retail price
+    st.sampled_from([None, 2, 5]),  # supplier price
+)
+fact = st.tuples(
+    st.integers(1, 3),  # store
+    st.integers(1, 5),  # product id; ids beyond the master are unknown
+    st.dates(dt.date(2018, 10, 1), dt.date(2021, 2, 1)),
+    st.integers(-5, 8),
+)
+
+
+def brute(products, sales, movements, level):
+    master = {i + 1: p for i, p in enumerate(products)}
+    root = {k: v[0] for k, v in master.items()}
+    fam = {k: v[1] for k, v in master.items()}
+    retail = {k: v[2] for k, v in master.items()}
+    supp = {k: v[3] for k, v in master.items()}
+    if level == STORE:
+        ents = {s for s, *_ in sales} | {s for s, *_ in movements}
+        ent_of = lambda s, pid: s
+    else:
+        ents = {v[1] for v in master.values()}
+        ent_of = lambda s, pid: fam[pid]
+    value, cost, ucost = (defaultdict(Decimal) for _ in range(3))
+    units = defaultdict(int)
+    for s, pid, d, q in sales:
+        y = d.year
+        if y not in P.years:
+            continue
+        if level == STORE:
+            units[(s, y)] += q
+        elif pid in master:
+            units[(fam[pid], y)] += q
+        if pid in master and retail[pid] is not None:
+            value[(ent_of(s, pid), y)] += q * retail[pid]
+    for s, pid, d, q in movements:
+        if q > 0 and d.year in P.years and pid in master and supp[pid] is not None:
+            (cost if retail[pid] is not None else ucost)[(ent_of(s, pid), d.year)] += q * supp[pid]
+    # stock-days from the definition: balance on every day of the period
+    by_key = defaultdict(list)
+    for s, pid, d, q in movements:
+        if root.get(pid) is not None:
+            by_key[(root[pid], s)].append((d, q))
+    sd = defaultdict(int)
+    for (r, s), mv in by_key.items():
+        first = min(d for d, _ in mv)
+        day = P.opening
+        while day <= P.closing:
+            bal = sum(q for d, q in mv if d <= day)
+            if day >= first and bal > 0:
+                if level == STORE:
+                    sd[(s, day.year)] += bal
+                else:
+                    for pid, rr in root.items():
+                        if rr == r:
+                            sd[(fam[pid], day.year)] += bal
+            day += DAY
+    out = {}
+    for e in ents:
+        for y in P.years:
+            k = (e, y)
+            hit = e is not None
+            b = (value[k] - cost[k]) if hit else Decimal(0)
+            c = ucost[k] if hit else Decimal(0)
+            u = units[k] if hit else 0
+            ms = sd[k] / 365 if hit else 0
+            rot = u / ms if ms else float(u)
+            adj = None if (level == FAMILY and not hit) else b - c
+            if level == STORE and e is None:
+                adj = "absent"
+            out[k] = (float(b), float(c), adj if adj in (None, "absent") else float(adj), rot)
+    return out
+
+
+SETTINGS = dict(
+    max_examples=int(os.environ.get("KPI_EXAMPLES", "8")),
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+    phases=[Phase.explicit, Phase.reuse, Phase.generate],  # no shrinking: each example runs Spark jobs
+)
+
+
+@pytest.mark.parametrize("level", [STORE, FAMILY])
+@settings(**SETTINGS)
+@given(
+    products=st.lists(product, min_size=1, max_size=4),
+    sales=st.lists(fact, max_size=12),
+    movements=st.lists(fact, max_size=16),
+)
+def test_kpis_equal_brute_force(spark, level, products, sales, movements):
+    pdf = products_df(spark, [(i + 1, *p) for i, p in enumerate(products)])
+    sdf = facts_df(spark, [(s, p, d.isoformat(), q) for s, p, d, q in sales])
+    mdf = facts_df(spark, [(s, p, d.isoformat(), q) for s, p, d, q in movements])
+    m = kpi.Measures.build(sdf, mdf, pdf, P)
+    iv = ledger.interval_stock(ledger.stock_ledger(mdf, pdf, P), P)
+    got_b = {(r[0], r[1]): r[2] for r in kpi.benefit(m, level).collect()}
+    got_c = {(r[0], r[1]): r[2] for r in unpriced.unpriced_cost(m, level).collect()}
+    got_a = {(r[0], r[1]): r[2] for r in unpriced.adjusted_benefit(m, level).collect()}
+    got_r = {(r[0], r[1]): r[2] for r in kpi.rotation(m, iv, pdf, level).collect()}
+    want = brute(products, sales, movements, level)
+    assert set(got_b) == set(want)
+    for k, (b, c, a, r) in want.items():
+        assert got_b[k] == pytest.approx(b)
+        assert got_c[k] == pytest.approx(c)
+        if a == "absent":
+            assert k not in got_a
+        elif a is None:
+            assert got_a[k] is None
+        else:
+            assert got_a[k] == pytest.approx(a)
+        assert got_r[k] == pytest.approx(r, rel=1e-9, abs=1e-12)
