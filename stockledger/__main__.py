@@ -10,7 +10,7 @@ import argparse
 import datetime as dt
 
 from .config import ADAPTER_PERIOD, RETAIL_PERIOD, Period, build_session
-from .plans.job import run_job
+from .plans.job import run_checks, run_job
 from .sources.adapter import driver_tables
 from .sources.tables import RetailTables
 
@@ -41,6 +41,7 @@ def main(argv=None) -> None:
     ap.add_argument("--no-root-fanout", action="store_true")
     ap.add_argument("--known-products-only", action="store_true")
     ap.add_argument("--skip-daily", action="store_true")
+    ap.add_argument("--validate", action="store_true", help="run the data-quality checks afterwards")
     ap.add_argument("--master", help="only for local runs; spark-submit sets it otherwise")
     args = ap.parse_args(argv)
 
@@ -60,6 +61,9 @@ def main(argv=None) -> None:
         daily=not args.skip_daily,
     )
     res.footprint(spark).orderBy("output").show(truncate=False)
+    if args.validate:
+        checks = run_checks(tables, args.out, _period(args), root_fanout=not args.no_root_fanout)
+        checks.show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -32,24 +32,33 @@ def _summary(name: str, df: DataFrame, bad) -> DataFrame:
 
 # ---------------------------------------------------------------- intervals
 
+def positive_violations(intervals: DataFrame) -> DataFrame:
+    """Intervals without positive stock (V1)."""
+    return intervals.filter(F.col("Stock") <= 0)
+
+
 def check_positive(intervals: DataFrame) -> DataFrame:
     """V1: every interval holds positive stock."""
     return _summary("positive_stock", intervals, F.col("Stock") <= 0)
 
 
+def _balances(intervals: DataFrame, rooted: DataFrame) -> DataFrame:
+    pts = intervals.select(*KEY, F.col("StartDate").alias("AsOf"), "Stock")
+    return stock_as_of(rooted, pts, carry=["Stock"])
+
+
+def _unbalanced():
+    return F.col("Balance").isNull() | (F.col("Balance") != F.col("Stock"))
+
+
 def balance_violations(intervals: DataFrame, rooted: DataFrame) -> DataFrame:
     """Intervals whose Stock differs from the sum of raw movements up to StartDate (V2)."""
-    pts = intervals.select(*KEY, F.col("StartDate").alias("AsOf"), "Stock")
-    bal = stock_as_of(rooted, pts, carry=["Stock"])
-    return bal.filter(F.col("Balance").isNull() | (F.col("Balance") != F.col("Stock")))
+    return _balances(intervals, rooted).filter(_unbalanced())
 
 
 def check_interval_balance(intervals: DataFrame, rooted: DataFrame) -> DataFrame:
     """V2, every interval: balance of all movements on or before its start = its Stock."""
-    pts = intervals.select(*KEY, F.col("StartDate").alias("AsOf"), "Stock")
-    bal = stock_as_of(rooted, pts, carry=["Stock"])
-    bad = F.col("Balance").isNull() | (F.col("Balance") != F.col("Stock"))
-    return _summary("interval_balance", bal, bad)
+    return _summary("interval_balance", _balances(intervals, rooted), _unbalanced())
 
 
 def _attach_days(intervals: DataFrame, daily: DataFrame) -> DataFrame:
@@ -96,6 +105,23 @@ def _attach_days(intervals: DataFrame, daily: DataFrame) -> DataFrame:
     )
 
 
+def _good_day():
+    return (
+        (F.col("_kind") == 1)
+        & F.col("StartDate").isNotNull()
+        & (F.col("Date") <= F.col("EndDate"))
+        & (F.col("_dstock") == F.col("IntervalStock"))
+    )
+
+
+def daily_violations(intervals: DataFrame, daily: DataFrame) -> DataFrame:
+    """Daily rows inside no interval of their key, or with another stock (V3)."""
+    rows = _attach_days(intervals, daily)
+    return rows.filter((F.col("_kind") == 1) & ~_good_day()).select(
+        *KEY, "Date", F.col("_dstock").alias("Stock"), "StartDate", "EndDate", "IntervalStock"
+    )
+
+
 def check_daily_expansion(intervals: DataFrame, daily: DataFrame) -> DataFrame:
     """V3: every interval has DATEDIFF + 1 daily rows of its stock, and no day is stray.
 
@@ -106,12 +132,7 @@ def check_daily_expansion(intervals: DataFrame, daily: DataFrame) -> DataFrame:
     """
     rows = _attach_days(intervals, daily)
     is_day = F.col("_kind") == 1
-    good = (
-        is_day
-        & F.col("StartDate").isNotNull()
-        & (F.col("Date") <= F.col("EndDate"))
-        & (F.col("_dstock") == F.col("IntervalStock"))
-    )
+    good = _good_day()
     per = rows.groupBy(*KEY, "StartDate").agg(
         F.sum(F.when(~is_day, 1).otherwise(0)).alias("_nint"),
         F.sum(F.when(good, 1).otherwise(0)).alias("_good"),

@@ -19,13 +19,16 @@ it was running, never a recompute from the raw facts.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import RETAIL_PERIOD, Period, scratch_path
-from ..operators import kpi, ledger, unpriced
+from ..operators import kpi, ledger, unpriced, validate
 from ..operators.kpi import FAMILY, STORE
+from ..schema import OUTPUTS
+from ..sources.readers import read_outputs
 from ..sources.sinks import output_footprint, output_path, register_views, write_output
 from ..sources.tables import RetailTables
 
@@ -104,3 +107,44 @@ def run_job(
 
 def published(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(output_path(out_dir, name))
+
+
+def run_checks(
+    tables: RetailTables,
+    out_dir: str,
+    period: Period = RETAIL_PERIOD,
+    *,
+    root_fanout: bool = True,
+) -> DataFrame:
+    """Validate a published output folder against the inputs (V1-V8), every key.
+
+    One row per check: ``(check, n_checked, n_violations)``. The daily-table
+    checks are skipped when the run wrote no daily table.
+    """
+    spark = tables.spark
+    fits = tables.products_fit_broadcast()
+    p, s, m = tables.products, tables.sales, tables.movements
+    names = [n for n in OUTPUTS if n != "daily_stock"]
+    outs = read_outputs(spark, out_dir, names)
+    iv = outs["interval_stock"]
+    rooted = ledger.attach_root(m, p, master_fits=fits)
+    checks = [
+        validate.check_contract(p, s, m, master_fits=fits),
+        validate.check_positive(iv),
+        validate.check_interval_balance(iv, rooted),
+        validate.check_benefit(outs["store_benefits"], s, m, p, STORE, period),
+        validate.check_benefit(outs["family_benefits"], s, m, p, FAMILY, period),
+    ]
+    try:
+        daily = spark.read.parquet(output_path(out_dir, "daily_stock")).drop("Anio")
+    except Exception:  # noqa: BLE001 - run without the daily table
+        daily = None
+    if daily is not None:
+        checks += [
+            validate.check_daily_expansion(iv, daily),
+            validate.check_rotation(outs["store_rotation"], s, p, daily, STORE, period),
+            validate.check_rotation(
+                outs["family_rotation"], s, p, daily, FAMILY, period, root_fanout=root_fanout
+            ),
+        ]
+    return reduce(DataFrame.unionByName, checks)

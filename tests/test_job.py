@@ -5,7 +5,7 @@ import os
 from conftest import SF001
 from stockledger.config import ADAPTER_PERIOD, scratch_path
 from stockledger.plans.catalog import queries
-from stockledger.plans.job import published, run_job
+from stockledger.plans.job import published, run_checks, run_job
 from stockledger.schema import OUTPUTS
 from stockledger.sources.adapter import driver_tables
 from stockledger.sources.readers import read_outputs
@@ -46,3 +46,24 @@ def test_command_line_runs_the_job(spark, capsys):
     main(["--driver-tables", SF001, "--out", out])
     assert "interval_stock" in capsys.readouterr().out
     assert spark.read.parquet(os.path.join(out, "interval_stock.parquet")).count() == 954
+
+
+def test_checks_of_a_published_folder(spark):
+    t = driver_tables(spark, SF001)
+    out = scratch_path(spark, "checked-job")
+    run_job(t, out, ADAPTER_PERIOD)
+    rows = {r.check: (r.n_checked, r.n_violations) for r in run_checks(t, out, ADAPTER_PERIOD).collect()}
+    assert rows["interval_balance"] == (954, 0)
+    assert rows["daily_expansion"] == (954, 0)
+    for name in ("positive_stock", "storeid_benefit", "family_benefit", "storeid_rotation", "family_rotation"):
+        assert rows[name][1] == 0 and rows[name][0] > 0, name
+    # a damaged published table is caught
+    bad = scratch_path(spark, "damaged")
+    spark.read.parquet(os.path.join(out, "interval_stock.parquet")).selectExpr(
+        "ProductRootCode", "StoreId", "StartDate", "EndDate", "Stock + 1 AS Stock"
+    ).write.parquet(os.path.join(bad, "interval_stock.parquet"))
+    for name in ("daily_stock", "store_benefits", "family_benefits", "store_rotation", "family_rotation",
+                 "store_benefits_v2", "family_benefits_v2"):
+        spark.read.parquet(os.path.join(out, f"{name}.parquet")).write.parquet(os.path.join(bad, f"{name}.parquet"))
+    rows = {r.check: r.n_violations for r in run_checks(t, bad, ADAPTER_PERIOD).collect()}
+    assert rows["interval_balance"] == 954 and rows["daily_expansion"] > 0
