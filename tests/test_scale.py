@@ -67,19 +67,63 @@ def test_shuffle_join_fallback_gives_same_results(spark, no_broadcast):
     assert _same(got["adj"], unpriced.adjusted_benefit(m2, STORE))
 
 
+def _hot_movements(t):
+    hot_pid = t.products.filter("ProductRootCode IS NOT NULL").orderBy("ProductId").first().ProductId
+    hot = (F.abs(F.hash("ProductId", "Date", "Quantity")) % 3) == 0
+    return t.movements.select(
+        F.when(hot, F.lit(0).cast("long")).otherwise(F.col("StoreId")).alias("StoreId"),
+        F.when(hot, F.lit(hot_pid)).otherwise(F.col("ProductId")).alias("ProductId"),
+        "Date",
+        "Quantity",
+    ), hot_pid
+
+
+def test_hot_product_through_shuffle_join_fallback(spark, no_broadcast):
+    """A third of the movements on one ProductId, master not broadcast: AQE
+    splits the hot partition of the sort-merge join, and the answer equals
+    the broadcast path's.
+
+    The fixture file is one Parquet row group, i.e. one map task, and AQE
+    splits a skewed partition along map outputs; the round-robin repartition
+    stands in for the many input files of a real table.
+    """
+    conf = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        t = driver_tables(spark, "/root/testdata/sf0.01")
+        mv, _ = _hot_movements(t)
+        mv = mv.repartition(16)
+        led = ledger.stock_ledger(mv, t.products, P, master_fits=False)
+        led_rows = led.collect()
+        plan = led._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "BroadcastHashJoin" not in plan
+        assert "SortMergeJoin(skew=true)" in plan
+        m = kpi.Measures.build(t.sales, mv, t.products, P, master_fits=False)
+        adj_rows = unpriced.adjusted_benefit(m, FAMILY).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    spark.conf.unset("stockledger.broadcast.maxBytes")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10485760")
+    led_b = ledger.stock_ledger(mv, t.products, P, master_fits=True)
+    m_b = kpi.Measures.build(t.sales, mv, t.products, P, master_fits=True)
+    key = lambda r: tuple("" if v is None else str(v) for v in r)
+    assert sorted(led_rows, key=key) == sorted(led_b.collect(), key=key)
+    assert sorted(adj_rows, key=key) == sorted(unpriced.adjusted_benefit(m_b, FAMILY).collect(), key=key)
+
+
 def test_hot_key_window_stays_bounded(spark):
     """A third of all movements moved onto one (root, store): each key's window
     still holds at most one row per day of the period plus the opening row."""
     t = driver_tables(spark, SF001)
-    hot_pid = t.products.filter("ProductRootCode IS NOT NULL").orderBy("ProductId").first().ProductId
-    mv = t.movements.withColumn(
-        "_hot", (F.abs(F.hash("ProductId", "Date", "Quantity")) % 3) == 0
-    ).select(
-        F.when(F.col("_hot"), F.lit(0).cast("long")).otherwise(F.col("StoreId")).alias("StoreId"),
-        F.when(F.col("_hot"), F.lit(hot_pid)).otherwise(F.col("ProductId")).alias("ProductId"),
-        "Date",
-        "Quantity",
-    )
+    mv, hot_pid = _hot_movements(t)
     share = mv.filter(F.col("ProductId") == hot_pid).count() / mv.count()
     assert share > 0.3
     led = ledger.stock_ledger(mv, t.products, P)
