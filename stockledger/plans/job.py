@@ -18,6 +18,8 @@ it was running, never a recompute from the raw facts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -57,6 +59,12 @@ def written(spark: SparkSession, run_dir: str):
     return store
 
 
+def _concurrently(pool: ThreadPoolExecutor, tasks: dict[str, Callable[[], object]]) -> dict:
+    """Submit independent Spark jobs from pool threads; wait for all, re-raise the first error."""
+    futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+    return {name: f.result() for name, f in futures.items()}
+
+
 def run_job(
     tables: RetailTables,
     out_dir: str,
@@ -65,6 +73,7 @@ def run_job(
     root_fanout: bool = True,
     known_products_only: bool = False,
     daily: bool = True,
+    parallel_jobs: int = 4,
 ) -> JobResult:
     """Compute and write every published output under ``out_dir``.
 
@@ -72,6 +81,11 @@ def run_job(
     checkpoint dir. ``daily=False`` skips the (keys x days) daily table; no
     KPI reads it. daily_stock is written partitioned by year, so readers of
     one year prune the rest.
+
+    Writes that do not depend on each other are submitted as concurrent
+    Spark jobs (``parallel_jobs`` threads): the daily table alongside the
+    KPI pre-aggregates, then the six KPI outputs together. Each write is
+    still one atomic, retryable job; only the submission overlaps.
     """
     spark = tables.spark
     fits = tables.products_fit_broadcast()
@@ -82,26 +96,36 @@ def run_job(
     outs["interval_stock"] = write_output(ledger.interval_stock(led, period), out_dir, "interval_stock")
     intervals = spark.read.parquet(outs["interval_stock"])
 
-    if daily:
-        d = ledger.daily_stock(intervals).withColumn("Anio", F.year("Date"))
-        outs["daily_stock"] = write_output(d, out_dir, "daily_stock", partition_by=["Anio"])
-
-    measures = kpi.Measures.build(
+    lazy = kpi.Measures.build(
         s, m, p, period, master_fits=fits, known_products_only=known_products_only
-    ).materialize(written(spark, scratch_path(spark, "measures")))
-
-    for level, prefix in ((STORE, "store"), (FAMILY, "family")):
-        outs[f"{prefix}_benefits"] = write_output(
-            kpi.benefit(measures, level), out_dir, f"{prefix}_benefits"
-        )
-        outs[f"{prefix}_rotation"] = write_output(
-            kpi.rotation(measures, intervals, p, level, root_fanout=root_fanout),
-            out_dir,
-            f"{prefix}_rotation",
-        )
-        outs[f"{prefix}_benefits_v2"] = write_output(
-            unpriced.adjusted_benefit(measures, level), out_dir, f"{prefix}_benefits_v2"
-        )
+    )
+    run_dir = scratch_path(spark, "measures")
+    store = written(spark, run_dir)
+    with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
+        pending_daily = None
+        if daily:
+            d = ledger.daily_stock(intervals).withColumn("Anio", F.year("Date"))
+            pending_daily = pool.submit(write_output, d, out_dir, "daily_stock", ["Anio"])
+        parts = {
+            name: getattr(lazy, name) for name in ("sales", "inbound", "stores", "families")
+        }
+        stored = _concurrently(pool, {n: (lambda n=n, df=df: store(df, n)) for n, df in parts.items()})
+        measures = kpi.Measures(period=period, **stored)
+
+        kpis: dict[str, Callable[[], str]] = {}
+        for level, prefix in ((STORE, "store"), (FAMILY, "family")):
+            frames = {
+                f"{prefix}_benefits": kpi.benefit(measures, level),
+                f"{prefix}_rotation": kpi.rotation(
+                    measures, intervals, p, level, root_fanout=root_fanout
+                ),
+                f"{prefix}_benefits_v2": unpriced.adjusted_benefit(measures, level),
+            }
+            for name, df in frames.items():
+                kpis[name] = lambda df=df, name=name: write_output(df, out_dir, name)
+        outs.update(_concurrently(pool, kpis))
+        if pending_daily is not None:
+            outs["daily_stock"] = pending_daily.result()
     return JobResult(out_dir, outs)
 
 
