@@ -1,6 +1,10 @@
 """Run every catalog query in Spark and its oracle in DuckDB; report mismatches.
 
-Usage: python tools/compare_oracle.py [sf_dir] [name ...]
+Compares column names, column types (Spark type mapped to DuckDB's) and the
+values exactly, order-insensitively. ``--round N`` compares doubles rounded
+to N places instead.
+
+Usage: python tools/compare_oracle.py [--round N] [sf_dir] [name ...]
 """
 
 from __future__ import annotations
@@ -21,13 +25,15 @@ from stockledger.plans.oracle_sql import oracle_sql  # noqa: E402
 TABLES = ("part", "lineitem", "orders")
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "date": "DATE", "double": "DOUBLE", "string": "VARCHAR"}
+ROUND: int | None = None
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
-    if hasattr(v, "isoformat"):
-        return v.isoformat()[:10]
+        return round(v, ROUND) if ROUND is not None else v
     return v
 
 
@@ -36,6 +42,9 @@ def _rows(rows):
 
 
 def main(argv):
+    global ROUND
+    if argv[:1] == ["--round"]:
+        ROUND, argv = int(argv[1]), argv[2:]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     only = set(argv[1:])
     spark = build_session("local[8]", 8)
@@ -58,15 +67,17 @@ def main(argv):
         t0 = time.time()
         rel = con.sql(sql[name])
         ocols = sorted(rel.columns)
+        stypes = {c: TYPES.get(t, t) for c, t in df.dtypes}
+        otypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
         orows = _rows(con.sql(f"SELECT {', '.join(chr(34)+c+chr(34) for c in ocols)} FROM ({sql[name]})").fetchall())
         to = time.time() - t0
-        ok = cols == ocols and srows == orows
+        ok = cols == ocols and srows == orows and stypes == otypes
         bad += not ok
         print(f"{name:28s} spark={len(srows):8d} duck={len(orows):8d} {'OK ' if ok else 'BAD'} {ts:.2f}s/{to:.2f}s")
         if not ok:
-            if cols != ocols:
+            if cols != ocols or stypes != otypes:
                 print("   cols", cols, ocols)
-                print("   spark types", df.dtypes, "duck types", list(zip(rel.columns, rel.types)))
+                print("   spark types", stypes, "duck types", otypes)
             else:
                 so, oo = set(srows), set(orows)
                 print("   spark-only", list(so - oo)[:3])
