@@ -32,7 +32,7 @@ LEVELS = (STORE, FAMILY)
 
 
 def zero_money():
-    return F.lit(0).cast("decimal(38,2)")
+    return F.lit(0).cast("decimal(38,6)")
 
 
 def _check_level(level: str) -> None:

@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(12, 2)
+# Prices are read as Decimal with 6 decimals: exact for prices with up to
+# six decimals (the original's supplier prices are not whole cents), and sums
+# of Decimal do not depend on partitioning or task order.
+MONEY = T.DecimalType(18, 6)
 
 PRODUCTS = T.StructType(
     [

@@ -10,6 +10,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 from .tables import RetailTables
@@ -25,6 +26,7 @@ STORE_MOD = 10               # store = l_suppkey % 10
 ORPHAN_STORE, ORPHAN_SUPP_REM = 99, 3  # unknown products of supplier rem 3 go to store 99
 RETURN_FLAG = "R"            # returned lines: outbound x 2 in movements, the sales rows
 NO_SALES_STORE, NO_SALES_YEAR = 7, 1999
+CENTS = T.DecimalType(12, 2)  # prices of the mapping are whole cents
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,7 +35,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def adapt_products(part: DataFrame) -> DataFrame:
     key = F.col("p_partkey")
-    retail = F.col("p_retailprice").cast(S.MONEY)
+    retail = F.col("p_retailprice").cast(CENTS)
     return part.filter(key % PRODUCT_DROP_MOD != 0).select(
         key.cast("long").alias("ProductId"),
         F.when(key % NULL_ROOT_MOD == 0, F.lit(None))
@@ -43,7 +45,7 @@ def adapt_products(part: DataFrame) -> DataFrame:
         .otherwise(F.col("p_type"))
         .alias("Family"),
         F.when(key % UNPRICED_MOD == 0, F.lit(None)).otherwise(retail).alias("RetailPrice"),
-        (retail * F.lit(SUPPLIER_FACTOR).cast("decimal(2,1)")).cast(S.MONEY).alias("SupplierPrice"),
+        (retail * F.lit(SUPPLIER_FACTOR).cast("decimal(2,1)")).cast(CENTS).alias("SupplierPrice"),
     )
 
 
