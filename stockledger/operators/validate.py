@@ -164,6 +164,8 @@ def check_benefit(
     products: DataFrame,
     level: str,
     period: Period,
+    *,
+    master_fits: bool | None = None,
 ) -> DataFrame:
     """V4, V5: each published benefit = sales value - inbound cost, recomputed.
 
@@ -172,7 +174,9 @@ def check_benefit(
     than in the join.
     """
     cols = ["ProductId", "RetailPrice", "SupplierPrice"] + ([FAMILY] if level == FAMILY else [])
-    master = products.select(*cols)
+    if master_fits is None:
+        master_fits = fits_broadcast(products)
+    master = maybe_broadcast(products.select(*cols), master_fits)
     yr = year_of("Date").alias(YEAR)
     priced = F.col("RetailPrice").isNotNull()
     sv = (
@@ -245,6 +249,28 @@ def check_rotation(
 
 # ---------------------------------------------------------------- contract
 
+def _rule_rows(agg: DataFrame, rules: list[tuple[str, str]], n_col: str = "_n") -> DataFrame:
+    """Unpivot a one-row aggregate into ``(check, n_checked, n_violations)`` rows."""
+    rows = [
+        F.struct(
+            F.lit(name).alias("check"),
+            F.col(n_col).cast("long").alias("n_checked"),
+            F.coalesce(F.col(col), F.lit(0)).cast("long").alias("n_violations"),
+        )
+        for name, col in rules
+    ]
+    return agg.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+
+
+def _null_rules(name: str, df: DataFrame, cols, extra=()):
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    aggs += [F.sum(F.col(c).isNull().cast("long")).alias(f"_null_{c}") for c in cols]
+    aggs += [a for a, _ in extra]
+    rules = [(f"{name}_{c.lower()}_not_null", f"_null_{c}") for c in cols]
+    rules += [r for _, r in extra]
+    return _rule_rows(df.agg(*aggs), rules)
+
+
 def check_contract(
     products: DataFrame,
     sales: DataFrame,
@@ -254,28 +280,32 @@ def check_contract(
 ) -> DataFrame:
     """V8: input contract (S2, S16, S26), one row per rule.
 
-    ``unknown_product_movements`` is informational: such rows are dropped
-    by design (S1).
+    One pass over each table: every rule of a table is a column of one
+    aggregate, unpivoted afterwards. ``unknown_product_movements`` is
+    informational: such rows are dropped by design (S1).
     """
-    dup = (
-        products.groupBy("ProductId")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .agg(
-            F.lit("unique_product_id").alias("check"),
-            F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("n_checked"),
-            F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n") - 1).otherwise(0)), F.lit(0))
-            .cast("long")
-            .alias("n_violations"),
-        )
+    cols = ("Date", "StoreId", "ProductId", "Quantity")
+    per_id = products.groupBy("ProductId").agg(
+        F.count(F.lit(1)).alias("_c"),
+        F.sum(F.col("ProductRootCode").isNull().cast("long")).alias("_nr"),
+    )
+    master = _rule_rows(
+        per_id.agg(
+            F.sum("_c").alias("_n"),
+            F.sum(F.when(F.col("_c") > 1, F.col("_c") - 1).otherwise(0)).alias("_dup"),
+            F.sum("_nr").alias("_noroot"),
+        ),
+        [("unique_product_id", "_dup"), ("product_root_not_null", "_noroot")],
     )
-    rows = [dup]
-    for name, df in (("movements", movements), ("sales", sales)):
-        for c in ("Date", "StoreId", "ProductId", "Quantity"):
-            rows.append(_summary(f"{name}_{c.lower()}_not_null", df, F.col(c).isNull()))
-    rows.append(_summary("product_root_not_null", products, F.col("ProductRootCode").isNull()))
     if master_fits is None:
         master_fits = fits_broadcast(products)
     known = products.select("ProductId").distinct().withColumn("_known", F.lit(True))
-    unk = movements.select("ProductId").join(maybe_broadcast(known, master_fits), "ProductId", "left")
-    rows.append(_summary("unknown_product_movements", unk, F.col("_known").isNull()))
-    return reduce(DataFrame.unionByName, rows)
+    mv = movements.join(maybe_broadcast(known, master_fits), "ProductId", "left")
+    unknown = (
+        F.sum(F.col("_known").isNull().cast("long")).alias("_unknown"),
+        ("unknown_product_movements", "_unknown"),
+    )
+    return reduce(
+        DataFrame.unionByName,
+        [master, _null_rules("movements", mv, cols, [unknown]), _null_rules("sales", sales, cols)],
+    )

@@ -188,10 +188,11 @@ def _queries() -> dict[str, Callable[[Plan], DataFrame]]:
         ),
         "check_daily_expansion": lambda p: validate.check_daily_expansion(p.intervals(), p.daily()),
         "check_store_benefit": lambda p: validate.check_benefit(
-            p.benefit(STORE), p.sales, p.movements, p.products, STORE, p.period
+            p.benefit(STORE), p.sales, p.movements, p.products, STORE, p.period, master_fits=p.fits
         ),
         "check_family_benefit": lambda p: validate.check_benefit(
-            p.benefit(FAMILY), p.sales, p.movements, p.products, FAMILY, p.period
+            p.benefit(FAMILY), p.sales, p.movements, p.products, FAMILY, p.period,
+            master_fits=p.fits,
         ),
         "check_store_rotation": lambda p: validate.check_rotation(
             p.rotation(STORE), p.sales, p.products, p.daily(), STORE, p.period

@@ -156,8 +156,8 @@ def run_checks(
         validate.check_contract(p, s, m, master_fits=fits),
         validate.check_positive(iv),
         validate.check_interval_balance(iv, rooted),
-        validate.check_benefit(outs["store_benefits"], s, m, p, STORE, period),
-        validate.check_benefit(outs["family_benefits"], s, m, p, FAMILY, period),
+        validate.check_benefit(outs["store_benefits"], s, m, p, STORE, period, master_fits=fits),
+        validate.check_benefit(outs["family_benefits"], s, m, p, FAMILY, period, master_fits=fits),
     ]
     try:
         daily = spark.read.parquet(output_path(out_dir, "daily_stock")).drop("Anio")
