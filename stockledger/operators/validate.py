@@ -204,27 +204,40 @@ def check_benefit(
     return _summary(f"{level.lower()}_benefit", re, ~_close(F.col("Beneficio"), F.col("_re")))
 
 
+def daily_stock_days(daily: DataFrame, period: Period) -> DataFrame:
+    """Sum of daily stock per (store, root, year) over the reporting years.
+
+    The first step of both rotation checks; a run checking both levels
+    computes it once (``run_checks`` writes it and reads it back).
+    """
+    return (
+        daily.filter(in_years("Date", period))
+        .groupBy(STORE, "ProductRootCode", year_of("Date").alias(YEAR))
+        .agg(F.sum("Stock").alias("StockDays"))
+    )
+
+
 def check_rotation(
     published: DataFrame,
     sales: DataFrame,
     products: DataFrame,
-    daily: DataFrame,
+    stock_days: DataFrame,
     level: str,
     period: Period,
     *,
     root_fanout: bool = True,
 ) -> DataFrame:
-    """V6, V7: each published rotation = units / (sum of daily stock / days), from the daily table.
+    """V6, V7: each published rotation = units / (sum of daily stock / days).
 
-    Mean stock is read from the exploded daily rows here, independently of
-    the interval arithmetic used to publish it.
+    ``stock_days`` is :func:`daily_stock_days` of the exploded daily table,
+    so mean stock is checked independently of the interval arithmetic used
+    to publish it.
     """
-    d = daily.filter(in_years("Date", period))
     if level == STORE:
-        sd = d.groupBy(STORE, year_of("Date").alias(YEAR)).agg(F.sum("Stock").alias("_sd"))
+        sd = stock_days.groupBy(STORE, YEAR).agg(F.sum("StockDays").alias("_sd"))
     else:
-        per_root = d.groupBy("ProductRootCode", year_of("Date").alias(YEAR)).agg(
-            F.sum("Stock").alias("_rsd")
+        per_root = stock_days.groupBy("ProductRootCode", YEAR).agg(
+            F.sum("StockDays").alias("_rsd")
         )
         fam = products.filter(F.col("ProductRootCode").isNotNull()).groupBy("ProductRootCode", FAMILY)
         fan = fam.count() if root_fanout else fam.agg(F.lit(1).cast("long").alias("count"))

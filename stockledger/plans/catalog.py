@@ -195,10 +195,12 @@ def _queries() -> dict[str, Callable[[Plan], DataFrame]]:
             master_fits=p.fits,
         ),
         "check_store_rotation": lambda p: validate.check_rotation(
-            p.rotation(STORE), p.sales, p.products, p.daily(), STORE, p.period
+            p.rotation(STORE), p.sales, p.products,
+            validate.daily_stock_days(p.daily(), p.period), STORE, p.period,
         ),
         "check_family_rotation": lambda p: validate.check_rotation(
-            p.rotation(FAMILY), p.sales, p.products, p.daily(), FAMILY, p.period
+            p.rotation(FAMILY), p.sales, p.products,
+            validate.daily_stock_days(p.daily(), p.period), FAMILY, p.period,
         ),
         "check_contract": lambda p: validate.check_contract(
             p.products, p.sales, p.movements, master_fits=p.fits

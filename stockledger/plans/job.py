@@ -164,11 +164,14 @@ def run_checks(
     except Exception:  # noqa: BLE001 - run without the daily table
         daily = None
     if daily is not None:
+        sums = written(spark, scratch_path(spark, "checks"))(
+            validate.daily_stock_days(daily, period), "daily_stock_days"
+        )
         checks += [
             validate.check_daily_expansion(iv, daily),
-            validate.check_rotation(outs["store_rotation"], s, p, daily, STORE, period),
+            validate.check_rotation(outs["store_rotation"], s, p, sums, STORE, period),
             validate.check_rotation(
-                outs["family_rotation"], s, p, daily, FAMILY, period, root_fanout=root_fanout
+                outs["family_rotation"], s, p, sums, FAMILY, period, root_fanout=root_fanout
             ),
         ]
     return reduce(DataFrame.unionByName, checks)

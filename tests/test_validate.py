@@ -64,11 +64,11 @@ def test_kpi_faults(world, level):
     n_1999 = ben.filter("Anio = 1999").count()
     assert _v(validate.check_benefit(bad, t.sales, t.movements, t.products, level, P))[1] == n_1999
     rot = kpi.rotation(m, iv, t.products, level)
-    daily = ledger.daily_stock(iv)
-    assert _v(validate.check_rotation(rot, t.sales, t.products, daily, level, P))[1] == 0
+    sd = validate.daily_stock_days(ledger.daily_stock(iv), P)
+    assert _v(validate.check_rotation(rot, t.sales, t.products, sd, level, P))[1] == 0
     bad = rot.withColumn("Rotacion", F.col("Rotacion") * 1.01 + 0.01)
     n = rot.count()
-    assert _v(validate.check_rotation(bad, t.sales, t.products, daily, level, P))[1] == n
+    assert _v(validate.check_rotation(bad, t.sales, t.products, sd, level, P))[1] == n
 
 
 def test_contract_faults(spark):
