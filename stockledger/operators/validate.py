@@ -62,32 +62,39 @@ def check_interval_balance(intervals: DataFrame, rooted: DataFrame) -> DataFrame
 
 
 def _attach_days(intervals: DataFrame, daily: DataFrame) -> DataFrame:
-    """Intervals and daily rows of a key in one date-ordered stream.
-
-    Every row carries the latest interval of its key starting on or before
-    it (an interval row carries itself). A merge of two sorted streams per
-    key (window), not a range join: the window of a key holds its days and
-    its intervals, both bounded by the days of the period. When both inputs
-    are already hash-partitioned by key -- daily rows generated from the
-    intervals are -- the union needs no shuffle at all.
+    """Intervals and distinct daily rows of a key in one date-ordered stream.
+
+    Daily rows are first collapsed to distinct (key, day, stock) with a copy
+    count -- a map-side partial aggregate, which needs no exchange when the
+    daily rows are already partitioned by key -- so even a table with many
+    duplicate rows gives each key's window at most one row per (day, stock).
+    Every row then carries the latest interval of its key starting on or
+    before it (an interval row carries itself): a merge of two sorted
+    streams per key, not a range join.
     """
     iv = intervals.select(
         *KEY,
         F.col("StartDate").alias("Date"),
         F.lit(0).alias("_kind"),
+        F.lit(0).cast("long").alias("_copies"),
         F.col("StartDate").alias("_start"),
         F.col("EndDate").alias("_end"),
         F.col("Stock").alias("_istock"),
         F.lit(None).cast("long").alias("_dstock"),
     )
-    dy = daily.select(
-        *KEY,
-        "Date",
-        F.lit(1).alias("_kind"),
-        F.lit(None).cast("date").alias("_start"),
-        F.lit(None).cast("date").alias("_end"),
-        F.lit(None).cast("long").alias("_istock"),
-        F.col("Stock").alias("_dstock"),
+    dy = (
+        daily.groupBy(*KEY, "Date", "Stock")
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .select(
+            *KEY,
+            "Date",
+            F.lit(1).alias("_kind"),
+            "_copies",
+            F.lit(None).cast("date").alias("_start"),
+            F.lit(None).cast("date").alias("_end"),
+            F.lit(None).cast("long").alias("_istock"),
+            F.col("Stock").alias("_dstock"),
+        )
     )
     w = (
         Window.partitionBy(*KEY)
@@ -98,6 +105,7 @@ def _attach_days(intervals: DataFrame, daily: DataFrame) -> DataFrame:
         *KEY,
         "Date",
         "_kind",
+        "_copies",
         "_dstock",
         F.last("_start", ignorenulls=True).over(w).alias("StartDate"),
         F.last("_end", ignorenulls=True).over(w).alias("EndDate"),
@@ -115,10 +123,17 @@ def _good_day():
 
 
 def daily_violations(intervals: DataFrame, daily: DataFrame) -> DataFrame:
-    """Daily rows inside no interval of their key, or with another stock (V3)."""
+    """Daily rows inside no interval of their key, with another stock, or repeated (V3)."""
     rows = _attach_days(intervals, daily)
-    return rows.filter((F.col("_kind") == 1) & ~_good_day()).select(
-        *KEY, "Date", F.col("_dstock").alias("Stock"), "StartDate", "EndDate", "IntervalStock"
+    bad = (F.col("_kind") == 1) & (~_good_day() | (F.col("_copies") > 1))
+    return rows.filter(bad).select(
+        *KEY,
+        "Date",
+        F.col("_dstock").alias("Stock"),
+        F.col("_copies").alias("Copies"),
+        "StartDate",
+        "EndDate",
+        "IntervalStock",
     )
 
 
@@ -126,9 +141,10 @@ def check_daily_expansion(intervals: DataFrame, daily: DataFrame) -> DataFrame:
     """V3: every interval has DATEDIFF + 1 daily rows of its stock, and no day is stray.
 
     n_checked counts intervals. A violation is an interval whose matching
-    day count is off, or a daily row inside no interval or with another
-    stock. Counting groups rows by (key, attached start), which the merged
-    stream's key partitioning already satisfies: no join, no extra shuffle.
+    day count is off, a daily row inside no interval or with another stock,
+    or each extra copy of a repeated row. Counting groups rows by (key,
+    attached start), which the merged stream's key partitioning already
+    satisfies: no join, no extra shuffle.
     """
     rows = _attach_days(intervals, daily)
     is_day = F.col("_kind") == 1
@@ -136,7 +152,9 @@ def check_daily_expansion(intervals: DataFrame, daily: DataFrame) -> DataFrame:
     per = rows.groupBy(*KEY, "StartDate").agg(
         F.sum(F.when(~is_day, 1).otherwise(0)).alias("_nint"),
         F.sum(F.when(good, 1).otherwise(0)).alias("_good"),
-        F.sum(F.when(is_day & ~good, 1).otherwise(0)).alias("_stray"),
+        F.sum(
+            F.when(good, F.col("_copies") - 1).when(is_day, F.col("_copies")).otherwise(0)
+        ).alias("_stray"),
         F.max("EndDate").alias("_end"),
     )
     wrong = (F.col("_nint") > 0) & (

@@ -20,7 +20,8 @@ def world(spark):
     t = driver_tables(spark, SF)
     rooted = ledger.attach_root(t.movements, t.products)
     iv = ledger.interval_stock(ledger.stock_ledger(t.movements, t.products, P), P).cache()
-    return t, rooted, iv
+    yield t, rooted, iv
+    iv.unpersist()
 
 
 def _v(df):
@@ -52,6 +53,9 @@ def test_daily_faults(world):
     assert _v(validate.check_daily_expansion(iv, _bump(daily, "Stock", hit)))[1] == 2  # bad stock: stray + short
     stray = daily.limit(1).withColumn("Date", F.lit(dt.date(1990, 1, 1)))
     assert _v(validate.check_daily_expansion(iv, daily.unionByName(stray)))[1] == 1
+    twice = daily.filter(hit)
+    assert _v(validate.check_daily_expansion(iv, daily.unionByName(twice).unionByName(twice)))[1] == 2
+    assert validate.daily_violations(iv, daily.unionByName(twice)).count() == 1
 
 
 @pytest.mark.parametrize("level", [STORE, FAMILY])
