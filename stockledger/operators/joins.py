@@ -47,9 +47,11 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
 
 
 def maybe_broadcast(df: DataFrame, fits: bool) -> DataFrame:
-    """Hint a broadcast when ``fits``; otherwise leave the choice to the planner.
+    """Broadcast ``df`` when its measured size ``fits``; otherwise pin a sort-merge join.
 
-    Beyond the bound the join stays a shuffle join, and AQE's skew-join
+    Beyond the bound the ``merge`` hint keeps the planner from broadcasting
+    it anyway on a file-size estimate (compressed Parquet understates the
+    in-memory size). The join is then a shuffle join, and AQE's skew-join
     handling splits a hot join key across tasks.
     """
-    return F.broadcast(df) if fits else df
+    return F.broadcast(df) if fits else df.hint("merge")

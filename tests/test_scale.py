@@ -143,3 +143,13 @@ def test_latest_interval_sample_is_ordered(spark):
     full = ledger.latest_interval(iv).orderBy(*ledger.KEY).limit(3).collect()
     assert ledger.latest_interval(iv, n=3).collect() == full
     assert dt.date(1999, 1, 1) <= full[0].StartDate <= dt.date(2000, 12, 31)
+
+
+def test_measured_decision_overrides_file_size_estimate(spark):
+    """Master judged too large: no broadcast even though Spark's own
+    file-size estimate would allow one."""
+    t = driver_tables(spark, SF001)
+    iv = ledger.interval_stock(ledger.stock_ledger(t.movements, t.products, P, master_fits=False), P)
+    iv.collect()
+    plan = iv._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
