@@ -1,4 +1,4 @@
-"""Benchmark: headline queries and the whole job on one scale factor.
+"""Benchmark: headline queries, the whole job and its validation run on one scale factor.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Prints one JSON line. Each query is timed from building its DataFrame to
@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from stockledger.config import ADAPTER_PERIOD, build_session  # noqa: E402
 from stockledger.plans.catalog import queries  # noqa: E402
-from stockledger.plans.job import run_job  # noqa: E402
+from stockledger.plans.job import run_checks, run_job  # noqa: E402
 from stockledger.sources.adapter import driver_tables  # noqa: E402
 
 HEADLINE = (
@@ -61,15 +61,22 @@ def main() -> None:
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
 
+    tables = driver_tables(spark, sf_dir)
+    out = os.path.join(scratch, "out")
     t0 = time.perf_counter()
-    run_job(driver_tables(spark, sf_dir), os.path.join(scratch, "out"), ADAPTER_PERIOD)
+    run_job(tables, out, ADAPTER_PERIOD)
     times["full_job"] = round(time.perf_counter() - t0, 3)
 
+    # the validation notebook's counterpart: every check over the published folder
+    t0 = time.perf_counter()
+    run_checks(tables, out, ADAPTER_PERIOD).write.format("noop").mode("overwrite").save()
+    times["full_checks"] = round(time.perf_counter() - t0, 3)
+
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(
         json.dumps(
             {
-                "metric": "headline_queries_plus_full_job",
+                "metric": "headline_queries_plus_full_job_and_checks",
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
