@@ -9,7 +9,9 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from .config import ADAPTER_PERIOD, RETAIL_PERIOD, Period, build_session
+import os
+
+from .config import ADAPTER_PERIOD, RETAIL_PERIOD, Period, build_session, size_shuffle_partitions
 from .plans.job import run_checks, run_job
 from .sources.adapter import driver_tables
 from .sources.tables import RetailTables
@@ -47,10 +49,16 @@ def main(argv=None) -> None:
 
     spark = build_session(args.master)
     if args.driver_tables:
-        tables = driver_tables(spark, args.driver_tables)
+        inputs = [os.path.join(args.driver_tables, f"{t}.parquet") for t in ("lineitem", "orders")]
     else:
         if not (args.sales and args.movements):
             ap.error("--products needs --sales and --movements")
+        inputs = [args.sales, args.movements]
+    # shuffle partitions from the fact tables' size, unless set at submit time
+    size_shuffle_partitions(spark, inputs)
+    if args.driver_tables:
+        tables = driver_tables(spark, args.driver_tables)
+    else:
         tables = RetailTables.from_parquet(spark, args.products, args.sales, args.movements)
     res = run_job(
         tables,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import os
 import tempfile
 import uuid
@@ -120,3 +121,46 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+# Fixed default: target input bytes per shuffle partition when sizing them.
+BYTES_PER_PARTITION = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths``: a distributed listing, no content read."""
+    from pyspark.sql import functions as F
+
+    total = 0
+    for path in paths:
+        files = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .load(path)
+            .select("length")
+        )
+        total += files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return int(total)
+
+
+def size_shuffle_partitions(
+    spark: SparkSession,
+    paths,
+    bytes_per_partition: int = BYTES_PER_PARTITION,
+    *,
+    force: bool = False,
+) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the input size, unless the user set it.
+
+    About one partition per ``bytes_per_partition`` of input, never below the
+    default parallelism: the ledger's first shuffle carries roughly the
+    movements after map-side combining, and AQE coalesces the smaller
+    shuffles later in the job, so erring high is cheap where erring low
+    leaves partitions too large for an executor.
+    """
+    sc = spark.sparkContext
+    if not force and sc.getConf().contains("spark.sql.shuffle.partitions"):
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(sc.defaultParallelism, math.ceil(input_bytes(spark, paths) / bytes_per_partition))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -79,3 +79,19 @@ def test_command_line_on_retail_files(spark, retail_dir):
         (10, 1, dt.date(2019, 1, 1), dt.date(2019, 1, 31), 5),
         (10, 1, dt.date(2019, 2, 1), dt.date(2020, 12, 31), 18),
     }
+
+
+def test_shuffle_partitions_sized_from_input(spark):
+    from stockledger.config import input_bytes, size_shuffle_partitions
+
+    path = "/root/testdata/sf0.01/lineitem.parquet"
+    size = os.path.getsize(path)
+    assert input_bytes(spark, [path]) == size
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    assert size_shuffle_partitions(spark, [path]) == int(old)  # set by the session: kept
+    try:
+        n = size_shuffle_partitions(spark, [path], bytes_per_partition=size // 40, force=True)
+        assert n == max(spark.sparkContext.defaultParallelism, 41)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
