@@ -148,19 +148,21 @@ def size_shuffle_partitions(
     paths,
     bytes_per_partition: int = BYTES_PER_PARTITION,
     *,
+    max_partitions: int = 100_000,
     force: bool = False,
 ) -> int:
     """Set ``spark.sql.shuffle.partitions`` from the input size, unless the user set it.
 
     About one partition per ``bytes_per_partition`` of input, never below the
-    default parallelism: the ledger's first shuffle carries roughly the
-    movements after map-side combining, and AQE coalesces the smaller
-    shuffles later in the job, so erring high is cheap where erring low
-    leaves partitions too large for an executor.
+    default parallelism and at most ``max_partitions``: the ledger's first
+    shuffle carries the pruned, map-side-combined movements (well under the
+    raw input), AQE coalesces the smaller shuffles later in the job, and
+    shuffle bookkeeping grows with map tasks x partitions.
     """
     sc = spark.sparkContext
     if not force and sc.getConf().contains("spark.sql.shuffle.partitions"):
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n = max(sc.defaultParallelism, math.ceil(input_bytes(spark, paths) / bytes_per_partition))
+    wanted = math.ceil(input_bytes(spark, paths) / bytes_per_partition)
+    n = max(sc.defaultParallelism, min(max_partitions, wanted))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
