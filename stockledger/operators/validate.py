@@ -175,51 +175,62 @@ def _close(a, b):
     return F.abs(a - b) <= F.lit(TOLERANCE) * F.greatest(F.lit(1.0), F.abs(a), F.abs(b))
 
 
-def check_benefit(
-    published: DataFrame,
+def benefit_facts(
     sales: DataFrame,
     movements: DataFrame,
     products: DataFrame,
-    level: str,
     period: Period,
     *,
     master_fits: bool | None = None,
 ) -> DataFrame:
-    """V4, V5: each published benefit = sales value - inbound cost, recomputed.
+    """Sales value and inbound cost per (store, family, year), recomputed for V4/V5.
 
-    Recomputed another way than published: grouped on ``year(Date)`` over
-    the whole fact tables, with the price condition inside the sum rather
-    than in the join.
+    Computed another way than the published figures: the price condition
+    sits inside the sums instead of in the join, with no flags, spine or
+    left joins. One pass over each fact table serves both levels; a run
+    checking both writes this small table once (``run_checks``).
     """
-    cols = ["ProductId", "RetailPrice", "SupplierPrice"] + ([FAMILY] if level == FAMILY else [])
     if master_fits is None:
         master_fits = fits_broadcast(products)
-    master = maybe_broadcast(products.select(*cols), master_fits)
-    yr = year_of("Date").alias(YEAR)
+    master = maybe_broadcast(
+        products.select("ProductId", FAMILY, "RetailPrice", "SupplierPrice"), master_fits
+    )
     priced = F.col("RetailPrice").isNotNull()
+    keys = [STORE, FAMILY, year_of("Date").alias(YEAR)]
     sv = (
-        sales.join(master, "ProductId")
-        .groupBy(level, yr)
-        .agg(F.sum(F.when(priced, F.col("Quantity") * F.col("RetailPrice"))).alias("_sv"))
+        sales.filter(in_years("Date", period))
+        .join(master, "ProductId")
+        .groupBy(*keys)
+        .agg(
+            F.sum(F.when(priced, F.col("Quantity") * F.col("RetailPrice"))).alias("SalesValue"),
+            F.lit(None).cast("decimal(38,6)").alias("InboundCost"),
+        )
     )
     ic = (
-        movements.filter(F.col("Quantity") > 0)
+        movements.filter((F.col("Quantity") > 0) & in_years("Date", period))
         .join(master, "ProductId")
-        .groupBy(level, yr)
-        .agg(F.sum(F.when(priced, F.col("Quantity") * F.col("SupplierPrice"))).alias("_ic"))
-    )
-    re = (
-        published.join(sv, [level, YEAR], "left")
-        .join(ic, [level, YEAR], "left")
-        .select(
-            F.col("Beneficio"),
-            (
-                F.coalesce(F.col("_sv").cast("double"), F.lit(0.0))
-                - F.coalesce(F.col("_ic").cast("double"), F.lit(0.0))
-            ).alias("_re"),
+        .groupBy(*keys)
+        .agg(
+            F.lit(None).cast("decimal(38,6)").alias("SalesValue"),
+            F.sum(F.when(priced, F.col("Quantity") * F.col("SupplierPrice"))).alias("InboundCost"),
         )
     )
-    return _summary(f"{level.lower()}_benefit", re, ~_close(F.col("Beneficio"), F.col("_re")))
+    return sv.unionByName(ic)
+
+
+def check_benefit(published: DataFrame, facts: DataFrame, level: str) -> DataFrame:
+    """V4, V5: each published benefit = sales value - inbound cost, from :func:`benefit_facts`."""
+    re = facts.groupBy(level, YEAR).agg(
+        F.sum("SalesValue").alias("_sv"), F.sum("InboundCost").alias("_ic")
+    )
+    rows = published.join(re, [level, YEAR], "left").select(
+        F.col("Beneficio"),
+        (
+            F.coalesce(F.col("_sv").cast("double"), F.lit(0.0))
+            - F.coalesce(F.col("_ic").cast("double"), F.lit(0.0))
+        ).alias("_re"),
+    )
+    return _summary(f"{level.lower()}_benefit", rows, ~_close(F.col("Beneficio"), F.col("_re")))
 
 
 def daily_stock_days(daily: DataFrame, period: Period) -> DataFrame:

@@ -93,6 +93,11 @@ class Plan:
     def adjusted(self, level: str) -> DataFrame:
         return unpriced.adjusted_benefit(self.measures(), level)
 
+    def benefit_facts(self) -> DataFrame:
+        return validate.benefit_facts(
+            self.sales, self.movements, self.products, self.period, master_fits=self.fits
+        )
+
 
 def footprint(p: Plan) -> DataFrame:
     """Run the whole job into a fresh folder of the shared checkpoint dir; report its size (IO7)."""
@@ -188,11 +193,10 @@ def _queries() -> dict[str, Callable[[Plan], DataFrame]]:
         ),
         "check_daily_expansion": lambda p: validate.check_daily_expansion(p.intervals(), p.daily()),
         "check_store_benefit": lambda p: validate.check_benefit(
-            p.benefit(STORE), p.sales, p.movements, p.products, STORE, p.period, master_fits=p.fits
+            p.benefit(STORE), p.benefit_facts(), STORE
         ),
         "check_family_benefit": lambda p: validate.check_benefit(
-            p.benefit(FAMILY), p.sales, p.movements, p.products, FAMILY, p.period,
-            master_fits=p.fits,
+            p.benefit(FAMILY), p.benefit_facts(), FAMILY
         ),
         "check_store_rotation": lambda p: validate.check_rotation(
             p.rotation(STORE), p.sales, p.products,

@@ -163,21 +163,21 @@ def run_checks(
     outs = read_outputs(spark, out_dir, names)
     iv = outs["interval_stock"]
     rooted = ledger.attach_root(m, p, master_fits=fits)
+    store = written(spark, scratch_path(spark, "checks"))
+    facts = store(validate.benefit_facts(s, m, p, period, master_fits=fits), "benefit_facts")
     checks = [
         validate.check_contract(p, s, m, master_fits=fits),
         validate.check_positive(iv),
         validate.check_interval_balance(iv, rooted),
-        validate.check_benefit(outs["store_benefits"], s, m, p, STORE, period, master_fits=fits),
-        validate.check_benefit(outs["family_benefits"], s, m, p, FAMILY, period, master_fits=fits),
+        validate.check_benefit(outs["store_benefits"], facts, STORE),
+        validate.check_benefit(outs["family_benefits"], facts, FAMILY),
     ]
     try:
         daily = spark.read.parquet(output_path(out_dir, "daily_stock")).drop("Anio")
     except Exception:  # noqa: BLE001 - run without the daily table
         daily = None
     if daily is not None:
-        sums = written(spark, scratch_path(spark, "checks"))(
-            validate.daily_stock_days(daily, period), "daily_stock_days"
-        )
+        sums = store(validate.daily_stock_days(daily, period), "daily_stock_days")
         checks += [
             validate.check_daily_expansion(iv, daily),
             validate.check_rotation(outs["store_rotation"], s, p, sums, STORE, period),

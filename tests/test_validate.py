@@ -63,10 +63,11 @@ def test_kpi_faults(world, level):
     t, _, iv = world
     m = kpi.Measures.build(t.sales, t.movements, t.products, P)
     ben = kpi.benefit(m, level)
-    assert _v(validate.check_benefit(ben, t.sales, t.movements, t.products, level, P))[1] == 0
+    facts = validate.benefit_facts(t.sales, t.movements, t.products, P)
+    assert _v(validate.check_benefit(ben, facts, level))[1] == 0
     bad = ben.withColumn("Beneficio", F.when(F.col("Anio") == 1999, F.col("Beneficio") + 1).otherwise(F.col("Beneficio")))
     n_1999 = ben.filter("Anio = 1999").count()
-    assert _v(validate.check_benefit(bad, t.sales, t.movements, t.products, level, P))[1] == n_1999
+    assert _v(validate.check_benefit(bad, facts, level))[1] == n_1999
     rot = kpi.rotation(m, iv, t.products, level)
     sd = validate.daily_stock_days(ledger.daily_stock(iv), P)
     assert _v(validate.check_rotation(rot, t.sales, t.products, sd, level, P))[1] == 0
