@@ -52,17 +52,61 @@ DAILY_STOCK = T.StructType(
     ]
 )
 
-# Published output names (fixed values of the original job).
-OUTPUTS = (
-    "interval_stock",
-    "daily_stock",
-    "store_benefits",
-    "family_benefits",
-    "store_rotation",
-    "family_rotation",
-    "store_benefits_v2",
-    "family_benefits_v2",
+# Fixed values of the original job: the published tables and their columns
+# (the year column is spelled Anio throughout).
+STORE_BENEFITS = T.StructType(
+    [
+        T.StructField("StoreId", T.LongType()),
+        T.StructField("Anio", T.IntegerType()),
+        T.StructField("Beneficio", T.DoubleType()),
+    ]
+)
+FAMILY_BENEFITS = T.StructType(
+    [
+        T.StructField("Family", T.StringType()),
+        T.StructField("Anio", T.IntegerType()),
+        T.StructField("Beneficio", T.DoubleType()),
+    ]
+)
+STORE_ROTATION = T.StructType(
+    [
+        T.StructField("StoreId", T.LongType()),
+        T.StructField("Anio", T.IntegerType()),
+        T.StructField("Rotacion", T.DoubleType()),
+    ]
+)
+FAMILY_ROTATION = T.StructType(
+    [
+        T.StructField("Family", T.StringType()),
+        T.StructField("Anio", T.IntegerType()),
+        T.StructField("Rotacion", T.DoubleType()),
+    ]
+)
+STORE_BENEFITS_V2 = T.StructType(
+    [
+        T.StructField("StoreId", T.LongType()),
+        T.StructField("Anio", T.IntegerType()),
+        T.StructField("TotalBeneficio", T.DoubleType()),
+    ]
+)
+FAMILY_BENEFITS_V2 = T.StructType(
+    [
+        T.StructField("Family", T.StringType()),
+        T.StructField("Anio", T.IntegerType()),
+        T.StructField("TotalBeneficio", T.DoubleType()),
+    ]
 )
+OUTPUT_SCHEMAS = {
+    "interval_stock": INTERVAL_STOCK,
+    "daily_stock": DAILY_STOCK,
+    "store_benefits": STORE_BENEFITS,
+    "family_benefits": FAMILY_BENEFITS,
+    "store_rotation": STORE_ROTATION,
+    "family_rotation": FAMILY_ROTATION,
+    "store_benefits_v2": STORE_BENEFITS_V2,
+    "family_benefits_v2": FAMILY_BENEFITS_V2,
+}
+OUTPUTS = tuple(OUTPUT_SCHEMAS)
 
 
 def _cast(name: str, dtype: T.DataType) -> Column:

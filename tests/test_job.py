@@ -6,7 +6,7 @@ from conftest import SF001
 from stockledger.config import ADAPTER_PERIOD, scratch_path
 from stockledger.plans.catalog import queries
 from stockledger.plans.job import published, run_checks, run_job
-from stockledger.schema import OUTPUTS
+from stockledger.schema import OUTPUT_SCHEMAS, OUTPUTS
 from stockledger.sources.adapter import driver_tables
 from stockledger.sources.readers import read_outputs
 
@@ -16,6 +16,10 @@ def test_job_writes_every_output(spark):
     res = run_job(driver_tables(spark, SF001), out, ADAPTER_PERIOD)
     assert set(res.outputs) == set(OUTPUTS)
     outs = read_outputs(spark, out)
+    for name, df in outs.items():
+        got = [(f.name, f.dataType) for f in df.schema.fields if f.name != "Anio" or name != "daily_stock"]
+        want = [(f.name, f.dataType) for f in OUTPUT_SCHEMAS[name].fields]
+        assert got == want, name
     assert outs["interval_stock"].count() == 954
     assert outs["daily_stock"].count() == 38996
     assert sorted(r.Anio for r in outs["daily_stock"].select("Anio").distinct().collect()) == [1999, 2000]
