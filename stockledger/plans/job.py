@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ..config import RETAIL_PERIOD, Period, scratch_path
 from ..operators import kpi, ledger, unpriced, validate
 from ..operators.kpi import FAMILY, STORE
-from ..schema import OUTPUTS
+from ..schema import OUTPUT_SCHEMAS, OUTPUTS, check_schema
 from ..sources.readers import read_outputs
 from ..sources.sinks import output_footprint, output_path, register_views, write_output
 from ..sources.tables import RetailTables
@@ -50,6 +50,12 @@ class JobResult:
         return frames
 
 
+def publish(df: DataFrame, out_dir: str, name: str, partition_by=None) -> str:
+    """Write a published table after checking it against its declared schema."""
+    check_schema(df.drop(*(partition_by or [])), OUTPUT_SCHEMAS[name], name)
+    return write_output(df, out_dir, name, partition_by)
+
+
 def written(spark: SparkSession, run_dir: str):
     """A ``store(df, name)`` that writes ``df`` under ``run_dir`` and reads it back."""
 
@@ -97,7 +103,7 @@ def run_job(
     # already emits that order, so the planner adds no sort for it.
     led = ledger.stock_ledger(m, p, period, master_fits=fits)
     iv = ledger.interval_stock(led, period).sortWithinPartitions(*ledger.KEY, "StartDate")
-    outs["interval_stock"] = write_output(iv, out_dir, "interval_stock")
+    outs["interval_stock"] = publish(iv, out_dir, "interval_stock")
     intervals = spark.read.parquet(outs["interval_stock"])
 
     lazy = kpi.Measures.build(
@@ -116,7 +122,7 @@ def run_job(
                 .withColumn("Anio", F.year("Date"))
                 .sortWithinPartitions("Anio", *ledger.KEY, "Date")
             )
-            pending_daily = pool.submit(write_output, d, out_dir, "daily_stock", ["Anio"])
+            pending_daily = pool.submit(publish, d, out_dir, "daily_stock", ["Anio"])
         parts = {
             name: getattr(lazy, name) for name in ("sales", "inbound", "stores", "families")
         }
@@ -133,7 +139,7 @@ def run_job(
                 f"{prefix}_benefits_v2": unpriced.adjusted_benefit(measures, level),
             }
             for name, df in frames.items():
-                kpis[name] = lambda df=df, name=name: write_output(df, out_dir, name)
+                kpis[name] = lambda df=df, name=name: publish(df, out_dir, name)
         outs.update(_concurrently(pool, kpis))
         if pending_daily is not None:
             outs["daily_stock"] = pending_daily.result()

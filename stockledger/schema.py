@@ -126,3 +126,15 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     if missing:
         raise ValueError(f"input lacks columns {missing}; has {df.columns}")
     return df.select([_cast(f.name, f.dataType) for f in schema.fields])
+
+
+def check_schema(df: DataFrame, schema: T.StructType, name: str = "") -> DataFrame:
+    """Raise unless ``df`` has exactly ``schema``'s columns and types, in order.
+
+    Analysis only, no job: a guard before publishing a table.
+    """
+    got = [(f.name, f.dataType) for f in df.schema.fields]
+    want = [(f.name, f.dataType) for f in schema.fields]
+    if got != want:
+        raise ValueError(f"output {name or '?'} has {got}, expected {want}")
+    return df

@@ -74,3 +74,17 @@ def test_no_cartesian_products(spark):
 def test_daily_check_merges_without_extra_shuffle(spark):
     plan = _formatted(Q["check_daily_expansion"](spark, SF001))
     assert "SortMergeJoin" not in plan
+
+
+def test_measures_share_one_cube_scan(spark):
+    """Benefit and unpriced cost read one inbound cube: its exchange is reused."""
+    df = Q["family_benefits_v2"](spark, SF001)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in final
+
+
+def test_store_universe_reads_only_store_columns(spark):
+    plan = _formatted(Q["store_universe"](spark, SF001))
+    for schema in re.findall(r"ReadSchema: (struct<[^\n]*>)", plan):
+        assert "l_quantity" not in schema and "l_shipdate" not in schema and "p_type" not in schema
