@@ -71,3 +71,5 @@ def test_checks_of_a_published_folder(spark):
         spark.read.parquet(os.path.join(out, f"{name}.parquet")).write.parquet(os.path.join(bad, f"{name}.parquet"))
     rows = {r.check: r.n_violations for r in run_checks(t, bad, ADAPTER_PERIOD).collect()}
     assert rows["interval_balance"] == 954 and rows["daily_expansion"] > 0
+    light = {r.check for r in run_checks(t, out, ADAPTER_PERIOD, check_daily=False).collect()}
+    assert "daily_expansion" not in light and "family_rotation" in light
