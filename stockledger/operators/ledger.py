@@ -10,6 +10,8 @@ one opening row, however many movements a hot key has.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,12 +103,37 @@ def interval_stock(ledger: DataFrame, period: Period) -> DataFrame:
     )
 
 
-def daily_stock(intervals: DataFrame) -> DataFrame:
+# Fixed defaults: in-memory width of one daily row (root, store, date, stock,
+# year) and the output size aimed at per task when expanding to days.
+DAILY_ROW_BYTES = 40
+DAILY_BYTES_PER_TASK = 128 * 1024 * 1024
+
+
+def daily_partitions(intervals: DataFrame, bytes_per_task: int = DAILY_BYTES_PER_TASK) -> int:
+    """Tasks for the daily expansion, sized for its output rather than its input.
+
+    Every interval becomes DATEDIFF + 1 rows (about 41 on the driver tables),
+    so partitions sized for the intervals give tasks far too large for the
+    days they produce. One aggregate over the intervals gives the exact day
+    count; call it on a written (small) interval table.
+    """
+    days = intervals.agg(
+        F.coalesce(F.sum(F.datediff("EndDate", "StartDate") + 1), F.lit(0))
+    ).first()[0]
+    wanted = math.ceil(days * DAILY_ROW_BYTES / bytes_per_task)
+    return max(intervals.sparkSession.sparkContext.defaultParallelism, wanted)
+
+
+def daily_stock(intervals: DataFrame, partitions: int | None = None) -> DataFrame:
     """One row per day of every interval, both ends included (B3; S9, S10).
 
-    A narrow generator: no shuffle, the output partitions follow the
-    intervals' partitions.
+    A narrow generator: without ``partitions`` there is no shuffle and the
+    output follows the intervals' partitions. With it, the intervals are
+    first hash-partitioned by key into that many tasks (see
+    :func:`daily_partitions`), which moves the intervals, not the days.
     """
+    if partitions is not None:
+        intervals = intervals.repartition(partitions, *KEY)
     return intervals.select(*KEY, day_series("StartDate", "EndDate").alias("Date"), "Stock")
 
 

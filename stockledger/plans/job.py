@@ -18,7 +18,6 @@ it was running, never a recompute from the raw facts.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -66,27 +65,6 @@ def written(spark: SparkSession, run_dir: str):
     return store
 
 
-# Fixed defaults: in-memory width of one daily row (root, store, date, stock,
-# year) and the output size aimed at per task when expanding to days.
-DAILY_ROW_BYTES = 40
-DAILY_BYTES_PER_TASK = 128 * 1024 * 1024
-
-
-def daily_partitions(intervals: DataFrame, bytes_per_task: int = DAILY_BYTES_PER_TASK) -> int:
-    """Tasks for the daily expansion, sized for its output, not its input.
-
-    Every interval becomes DATEDIFF + 1 rows (about 41 on the driver tables),
-    so partitions sized for the intervals would give tasks far too large
-    for the days they produce. One aggregate over the (small, written)
-    intervals gives the exact day count.
-    """
-    days = intervals.agg(
-        F.coalesce(F.sum(F.datediff("EndDate", "StartDate") + 1), F.lit(0))
-    ).first()[0]
-    wanted = math.ceil(days * DAILY_ROW_BYTES / bytes_per_task)
-    return max(intervals.sparkSession.sparkContext.defaultParallelism, wanted)
-
-
 def _concurrently(pool: ThreadPoolExecutor, tasks: dict[str, Callable[[], object]]) -> dict:
     """Submit independent Spark jobs from pool threads; wait for all, re-raise the first error."""
     futures = {name: pool.submit(fn) for name, fn in tasks.items()}
@@ -139,9 +117,8 @@ def run_job(
             # A year-partitioned write sorts each task's rows by year anyway;
             # sorting by (year, key, day) in that same pass keeps every file in
             # key order (smaller, and per-key lookups skip row groups).
-            by_key = intervals.repartition(daily_partitions(intervals), *ledger.KEY)
             d = (
-                ledger.daily_stock(by_key)
+                ledger.daily_stock(intervals, ledger.daily_partitions(intervals))
                 .withColumn("Anio", F.year("Date"))
                 .sortWithinPartitions("Anio", *ledger.KEY, "Date")
             )
