@@ -73,3 +73,16 @@ def test_checks_of_a_published_folder(spark):
     assert rows["interval_balance"] == 954 and rows["daily_expansion"] > 0
     light = {r.check for r in run_checks(t, out, ADAPTER_PERIOD, check_daily=False).collect()}
     assert "daily_expansion" not in light and "family_rotation" in light
+
+
+def test_job_without_daily_table_and_known_products_only(spark):
+    t = driver_tables(spark, SF001)
+    out = scratch_path(spark, "no-daily")
+    res = run_job(t, out, ADAPTER_PERIOD, daily=False, known_products_only=True)
+    assert "daily_stock" not in res.outputs
+    assert not os.path.exists(os.path.join(out, "daily_stock.parquet"))
+    stores = {r.StoreId for r in published(spark, out, "store_benefits").collect()}
+    assert 99 not in stores  # store 99 has movements of unknown products only (S15)
+    checks = {r.check: r.n_violations for r in run_checks(t, out, ADAPTER_PERIOD).collect()}
+    assert "daily_expansion" not in checks and "storeid_rotation" not in checks
+    assert checks["interval_balance"] == 0 and checks["storeid_benefit"] == 0
