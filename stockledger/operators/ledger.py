@@ -120,8 +120,7 @@ def daily_partitions(intervals: DataFrame, bytes_per_task: int = DAILY_BYTES_PER
     days = intervals.agg(
         F.coalesce(F.sum(F.datediff("EndDate", "StartDate") + 1), F.lit(0))
     ).first()[0]
-    wanted = math.ceil(days * DAILY_ROW_BYTES / bytes_per_task)
-    return max(intervals.sparkSession.sparkContext.defaultParallelism, wanted)
+    return max(1, math.ceil(days * DAILY_ROW_BYTES / bytes_per_task))
 
 
 def daily_stock(intervals: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -117,8 +117,12 @@ def run_job(
             # A year-partitioned write sorts each task's rows by year anyway;
             # sorting by (year, key, day) in that same pass keeps every file in
             # key order (smaller, and per-key lookups skip row groups).
+            # Re-spread the intervals only when the written layout would give
+            # tasks too much output (the expansion multiplies rows ~41x).
+            n = ledger.daily_partitions(intervals)
+            spread = n if n > len(intervals.inputFiles()) else None
             d = (
-                ledger.daily_stock(intervals, ledger.daily_partitions(intervals))
+                ledger.daily_stock(intervals, spread)
                 .withColumn("Anio", F.year("Date"))
                 .sortWithinPartitions("Anio", *ledger.KEY, "Date")
             )

@@ -164,9 +164,8 @@ def test_daily_partitions_sized_for_output(m1):
     products, movements = m1
     iv = _intervals(products, movements)
     days = sum(M1_DAYS.values())
-    assert ledger.daily_partitions(iv, bytes_per_task=ledger.DAILY_ROW_BYTES * 100) == max(
-        iv.sparkSession.sparkContext.defaultParallelism, -(-days // 100)
-    )
+    assert ledger.daily_partitions(iv, bytes_per_task=ledger.DAILY_ROW_BYTES * 100) == -(-days // 100)
+    assert ledger.daily_partitions(iv) == 1
     spread = ledger.daily_stock(iv, partitions=4)
     assert spread.rdd.getNumPartitions() == 4
     assert spread.exceptAll(ledger.daily_stock(iv)).count() == 0
