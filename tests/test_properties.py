@@ -87,3 +87,27 @@ def test_order_and_split_invariance(spark, rows, seed, cut):
         split += [(s, p, d, cut), (s, p, d, q - cut)]
     split += shuffled[1:]
     assert {tuple(r) for r in spark_intervals(spark, split).collect()} == base
+
+
+points = st.lists(
+    st.tuples(st.sampled_from([1, 2]), st.integers(1, 2), st.dates(dt.date(2018, 12, 1), dt.date(2019, 5, 1))),
+    min_size=1,
+    max_size=8,
+)
+
+
+@settings(**SETTINGS)
+@given(rows=moves, pts=points)
+def test_stock_as_of_equals_definition(spark, rows, pts):
+    """Balance at a point = sum of quantities dated on or before it (null if none)."""
+    mv = facts_df(spark, [(s, p, d.isoformat(), q) for s, p, d, q in rows])
+    rooted = ledger.attach_root(mv, products_df(spark, PRODUCTS), master_fits=True)
+    pdf = spark.createDataFrame(
+        [(r, s, d) for r, s, d in pts], "ProductRootCode long, StoreId long, AsOf date"
+    )
+    got = sorted((r.ProductRootCode, r.StoreId, r.AsOf, r.Balance) for r in ledger.stock_as_of(rooted, pdf).collect())
+    want = []
+    for r, s, d in pts:
+        qs = [q for st_, pid, day, q in rows if ROOT.get(pid) == r and st_ == s and day <= d]
+        want.append((r, s, d, sum(qs) if qs else None))
+    assert got == sorted(want)
