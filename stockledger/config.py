@@ -84,10 +84,20 @@ def build_session(
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect client (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise here
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
@@ -95,7 +105,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     checkpoint dir). Only when neither is set -- tests and local runs -- a
     private folder under the system temp dir is created and registered.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:  # Spark Connect: the folder must come from the session
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set; a shared folder is needed")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -159,10 +174,12 @@ def size_shuffle_partitions(
     raw input), AQE coalesces the smaller shuffles later in the job, and
     shuffle bookkeeping grows with map tasks x partitions.
     """
-    sc = spark.sparkContext
-    if not force and sc.getConf().contains("spark.sql.shuffle.partitions"):
+    sc = _context(spark)
+    user_set = sc.getConf().contains("spark.sql.shuffle.partitions") if sc is not None else True
+    if not force and user_set:  # on Connect the submit-time settings are not visible: keep them
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = math.ceil(input_bytes(spark, paths) / bytes_per_partition)
-    n = max(sc.defaultParallelism, min(max_partitions, wanted))
+    floor = sc.defaultParallelism if sc is not None else 1
+    n = max(floor, min(max_partitions, wanted))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n
