@@ -51,7 +51,7 @@ def spark_intervals(spark, rows):
 
 
 SETTINGS = dict(
-    max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=12, deadline=None, derandomize=True, database=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 
