@@ -33,16 +33,22 @@ def main(argv=None) -> None:
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--driver-tables", help="folder with part/lineitem/orders parquet")
     src.add_argument("--products", help="products parquet (with --sales and --movements)")
-    ap.add_argument("--sales")
-    ap.add_argument("--movements")
+    ap.add_argument("--sales", help="sales parquet")
+    ap.add_argument("--movements", help="signed stock movements parquet")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
-    ap.add_argument("--opening")
-    ap.add_argument("--closing")
+    ap.add_argument("--opening", help="opening day, YYYY-MM-DD (earlier balances fold onto it)")
+    ap.add_argument("--closing", help="closing day, YYYY-MM-DD (later movements are ignored)")
     ap.add_argument("--years", help="comma-separated reporting years")
     ap.add_argument("--calendar-days", action="store_true", help="mean stock over 365/366 days")
-    ap.add_argument("--no-root-fanout", action="store_true")
-    ap.add_argument("--known-products-only", action="store_true")
-    ap.add_argument("--skip-daily", action="store_true")
+    ap.add_argument(
+        "--no-root-fanout", action="store_true",
+        help="family stock counts each (root, family) once, not once per product",
+    )
+    ap.add_argument(
+        "--known-products-only", action="store_true",
+        help="store list from movements of known products only",
+    )
+    ap.add_argument("--skip-daily", action="store_true", help="do not write the daily table")
     ap.add_argument("--validate", action="store_true", help="run the data-quality checks afterwards")
     ap.add_argument(
         "--skip-daily-check", action="store_true",
