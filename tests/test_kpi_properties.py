@@ -32,7 +32,7 @@ fact = st.tuples(
 )
 
 
-def brute(products, sales, movements, level):
+def brute(products, sales, movements, level, root_fanout=True):
     master = {i + 1: p for i, p in enumerate(products)}
     root = {k: v[0] for k, v in master.items()}
     fam = {k: v[1] for k, v in master.items()}
@@ -74,9 +74,9 @@ def brute(products, sales, movements, level):
                 if level == STORE:
                     sd[(s, day.year)] += bal
                 else:
-                    for pid, rr in root.items():
-                        if rr == r:
-                            sd[(fam[pid], day.year)] += bal
+                    sharing = [fam[pid] for pid, rr in root.items() if rr == r]
+                    for f in (sharing if root_fanout else set(sharing)):
+                        sd[(f, day.year)] += bal
             day += DAY
     out = {}
     for e in ents:
@@ -105,14 +105,14 @@ SETTINGS = dict(
 )
 
 
-@pytest.mark.parametrize("level", [STORE, FAMILY])
+@pytest.mark.parametrize("level,root_fanout", [(STORE, True), (FAMILY, True), (FAMILY, False)])
 @settings(**SETTINGS)
 @given(
     products=st.lists(product, min_size=1, max_size=4),
     sales=st.lists(fact, max_size=12),
     movements=st.lists(fact, max_size=16),
 )
-def test_kpis_equal_brute_force(spark, level, products, sales, movements):
+def test_kpis_equal_brute_force(spark, level, root_fanout, products, sales, movements):
     pdf = products_df(spark, [(i + 1, *p) for i, p in enumerate(products)])
     sdf = facts_df(spark, [(s, p, d.isoformat(), q) for s, p, d, q in sales])
     mdf = facts_df(spark, [(s, p, d.isoformat(), q) for s, p, d, q in movements])
@@ -121,8 +121,11 @@ def test_kpis_equal_brute_force(spark, level, products, sales, movements):
     got_b = {(r[0], r[1]): r[2] for r in kpi.benefit(m, level).collect()}
     got_c = {(r[0], r[1]): r[2] for r in unpriced.unpriced_cost(m, level).collect()}
     got_a = {(r[0], r[1]): r[2] for r in unpriced.adjusted_benefit(m, level).collect()}
-    got_r = {(r[0], r[1]): r[2] for r in kpi.rotation(m, iv, pdf, level).collect()}
-    want = brute(products, sales, movements, level)
+    got_r = {
+        (r[0], r[1]): r[2]
+        for r in kpi.rotation(m, iv, pdf, level, root_fanout=root_fanout).collect()
+    }
+    want = brute(products, sales, movements, level, root_fanout)
     assert set(got_b) == set(want)
     for k, (b, c, a, r) in want.items():
         assert got_b[k] == pytest.approx(b)
