@@ -4,6 +4,8 @@ import duckdb
 
 import __spark_entry__ as E
 from conftest import SF001
+from stockledger.plans import catalog
+from stockledger.plans.oracle_sql import oracle_sql as _oracle_sql
 
 
 def test_entry_runs_the_flagship_query(spark):
@@ -13,8 +15,9 @@ def test_entry_runs_the_flagship_query(spark):
 
 
 def test_keys_line_up():
-    q, sql = E.queries(), E.oracle_sql()
-    assert set(sql) <= set(q)
+    assert set(E.oracle_sql()) <= set(E.queries())
+    q, sql = catalog.queries(), _oracle_sql()
+    assert set(sql) <= set(q) <= set(E.queries())
     assert set(q) - set(sql) == {"output_footprint"}
     assert len(q) == 48
 
@@ -23,7 +26,7 @@ def test_every_oracle_parses():
     con = duckdb.connect()
     for t in ("part", "lineitem", "orders"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
-    for name, sql in E.oracle_sql().items():
+    for name, sql in _oracle_sql().items():
         con.execute(f"EXPLAIN {sql}")
         assert "limit" not in sql.lower() or name in {
             "interval_band", "top_store_benefits", "top_family_benefits",
