@@ -200,7 +200,8 @@ def pack(
                 names=[*names, "sequence_id", "offset"],
             )
 
-    kept = [f for f in cut.schema.fields if f.name != "salt"]
+    kept = [f for f in numbered.schema.fields if f.name not in ("salt", "in_salt")]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", sequence_id long, offset long"
     out = numbered.mapInArrow(run, schema)
-    return out.withColumnRenamed("id", id_col)
+    rest = [f.name for f in kept if f.name not in ("id", "start", "length", "ids_crc32", "doc_tokens")]
+    return out.select(F.col("id").alias(id_col), "start", "length", "ids_crc32", "doc_tokens", *rest, "sequence_id", "offset")
