@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockledger.llm import near_dup, packing, token_counts
+from stockledger.llm import line_dedup, near_dup, oracle, packing, token_counts
 from stockledger.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -21,6 +22,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256")
+    )
+
+
 def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,9 +36,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_token_counts": op6_token_counts,
         "op7_packing": op7_packing,
+        "op9_line_dedup": op9_line_dedup,
         "op10_minhash_near_dup": op10_minhash_near_dup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op9_line_dedup": oracle.OP9,
+    }
