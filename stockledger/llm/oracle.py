@@ -39,3 +39,35 @@ LEFT JOIN gone g ON d.doc_id = g.doc_id AND md5(d.text) = g.version
 LEFT JOIN stay s ON d.doc_id = s.doc_id AND md5(d.text) = s.version
 """
 )
+
+#: Words and window matches of ``docs`` against ``benchmark``.
+CONTAMINATION = r"""
+  dw AS (
+    SELECT doc_id, text, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM (SELECT DISTINCT doc_id, text FROM {docs})),
+  iw AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE text IS NOT NULL),
+  wins AS (
+    SELECT DISTINCT item_id, array_to_string(w[s:s + 12], ' ') AS t, least(13, len(w)) AS n
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM iw WHERE len(w) > 0)),
+  ns AS (SELECT DISTINCT n FROM wins),
+  places AS (
+    SELECT doc_id, text, n, s, array_to_string(w[s:s + n - 1], ' ') AS t
+    FROM (SELECT doc_id, text, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM dw, ns WHERE len(w) >= n)),
+  occ AS (SELECT doc_id, text, item_id, s, p.n FROM places p JOIN wins USING (t, n)),
+  hit AS (
+    SELECT doc_id, text, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, text, unnest(range(s, s + n)) AS i FROM occ) GROUP BY ALL),
+  held AS (
+    SELECT doc_id, text, count(*) AS n_items, sha256(string_agg(i, ',' ORDER BY i)) AS items_sha256
+    FROM (SELECT DISTINCT doc_id, text, item_id::VARCHAR AS i FROM occ) GROUP BY ALL),
+  judged AS (
+    SELECT d.doc_id, d.text, coalesce(len(d.w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= coalesce(len(d.w), 0), false) AS contaminated
+    FROM dw d LEFT JOIN hit ON d.doc_id = hit.doc_id AND d.text = hit.text LEFT JOIN held ON d.doc_id = held.doc_id AND d.text = held.text)
+"""
+
+OP4 = (
+    "WITH" + CONTAMINATION.format(docs="documents")
+    + "SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM documents d JOIN judged j USING (doc_id) WHERE d.text IS NOT DISTINCT FROM j.text"
+)
