@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import chat, decontam, language_id, line_dedup, near_dup, oracle, packing, token_counts
+from stockledger.llm import ann, chat, decontam, language_id, line_dedup, near_dup, oracle, packing, token_counts
 from stockledger.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -34,6 +34,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("version")
 
@@ -60,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op2_chat_format": op2_chat_format,
+        "op3_nearest_neighbours": op3_nearest_neighbours,
         "op4_decontamination": op4_decontamination,
         "op6_token_counts": op6_token_counts,
         "op7_packing": op7_packing,
