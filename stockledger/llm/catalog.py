@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import ann, chat, decontam, language_id, line_dedup, near_dup, oracle, packing, token_counts
+from stockledger.llm import ann, chat, decontam, language_id, line_dedup, lm_scoring, near_dup, oracle, packing, token_counts
 from stockledger.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -50,6 +50,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets: documents labelled as of good quality."""
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return lm_scoring.score(table(spark, sf_dir, "documents"), good)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256")
@@ -68,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_decontamination": op4_decontamination,
         "op6_token_counts": op6_token_counts,
         "op7_packing": op7_packing,
+        "op8_lm_scoring": op8_lm_scoring,
         "op9_line_dedup": op9_line_dedup,
         "op10_minhash_near_dup": op10_minhash_near_dup,
     }
