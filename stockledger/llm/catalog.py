@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import ann, chat, decontam, language_id, line_dedup, lm_scoring, near_dup, oracle, packing, token_counts
+from stockledger.llm import ann, chat, decontam, language_id, line_dedup, lm_scoring, near_dup, oracle, packing, substring_dedup, token_counts
 from stockledger.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -42,6 +42,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("version")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.shared_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -72,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_chat_format": op2_chat_format,
         "op3_nearest_neighbours": op3_nearest_neighbours,
         "op4_decontamination": op4_decontamination,
+        "op5_substring_dedup": op5_substring_dedup,
         "op6_token_counts": op6_token_counts,
         "op7_packing": op7_packing,
         "op8_lm_scoring": op8_lm_scoring,
