@@ -76,7 +76,7 @@ def set_key(values: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
-    """id, n_shingles, cls (the set's name, null if empty) and the minwise tokens of each row."""
+    """id, version, n_shingles, cls (the set's name, null if empty) and the minwise tokens of each row."""
     multipliers = seeds(coordinates, 11)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,11 +99,11 @@ def signatures(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
                             tokens[:, j] = np.minimum.reduceat(flat * m, starts)
                     held = np.cumsum(np.concatenate([[0], (np.array(sizes) > 0) * coordinates]))
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), lists(tokens.reshape(-1).view(np.int64), held)],
-                        names=["id", "n_shingles", "cls", "tokens"],
+                        [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), lists(tokens.reshape(-1).view(np.int64), held)],
+                        names=["id", "version", "n_shingles", "cls", "tokens"],
                     )
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, n_shingles long, cls binary, tokens array<long>")
+    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, version long, n_shingles long, cls binary, tokens array<long>")
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -205,12 +205,13 @@ def _pivots(nodes: DataFrame, pivots: int, level: int) -> DataFrame:
     return one.withColumn("rank", rank).where(F.col("rank") <= pivots).select("node", "label", "cls")
 
 
-def near_duplicates(
+def resolve(
     docs: DataFrame, *, words: int = 3, percent: int = 85, trees: int = 4, branching: int = 2, coordinates: int = 32,
     leaf: int = 64, depth: int = 6, pivots: int = 8, salts: int = 16, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """Per row: its id, n_shingles, component_id (smallest id reachable over links) and kept."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    """Per row: id, version (hash of the text), n_shingles, root (its component; null if the set is empty) and component_id."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("version"))
     signed = written(signatures(rows, words, coordinates), "signatures")
     classes = written(
         signed.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id"), F.first("tokens").alias("tokens")), "classes"
@@ -260,10 +261,39 @@ def near_duplicates(
         found = found.union(more)
     member = components(found)
     by_class = classes.select("cls", "id").join(member.withColumnRenamed("v", "cls"), "cls", "left").select("cls", "id", F.coalesce("root", "cls").alias("root"))
-    smallest = written(by_class, "members")
-    smallest = smallest.join(smallest.groupBy("root").agg(F.min("id").alias("component_id")), "root").select("cls", "component_id")
-    full = signed.where("cls is not null").join(smallest, "cls").select("id", "n_shingles", "component_id")
-    empty = signed.where("cls is null").select("id", "n_shingles", F.col("id").alias("component_id"))
-    return full.union(empty).select(
+    named = written(by_class, "members")
+    named = named.join(named.groupBy("root").agg(F.min("id").alias("component_id")), "root").select("cls", "root", "component_id")
+    columns = ["id", "version", "n_shingles", "root", "component_id"]
+    full = signed.where("cls is not null").join(named, "cls").select(*columns)
+    empty = signed.where("cls is null").select("id", "version", "n_shingles", F.col("cls").alias("root"), F.col("id").alias("component_id"))
+    return full.union(empty)
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **how) -> DataFrame:
+    """Per row: its id, n_shingles, component_id (smallest id reachable over links) and kept."""
+    return resolve(docs, id_col=id_col, **how).select(
         F.col("id").alias(id_col), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept")
     )
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows and columns of ``docs``, one row of each component: the smallest (id, text hash).
+
+    Rows without shingles stay. The rows that go are joined away, so texts are
+    moved only if those are too many to broadcast.
+    """
+    found = written(resolve(docs, id_col=id_col, text_col=text_col, **how).where("root is not null").select("id", "version", "root"), "resolved")
+    first = found.groupBy("root").agg(F.min(F.struct("id", "version")).alias("first"))
+    gone = written(found.join(first, "root").where(F.struct("id", "version") != F.col("first")).select("id", "version").distinct(), "near-copies")
+    version = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+    def place(side: DataFrame, how_: str, of: DataFrame) -> DataFrame:
+        side = side.select(F.col("id").alias("__id"), F.col("version").alias("__version"))
+        return of.join(maybe_broadcast(side, fits_broadcast(side)), (F.col(id_col) == F.col("__id")) & (version == F.col("__version")), how_)
+
+    left = place(gone, "left_anti", docs)
+    repeated = written(found.groupBy("id", "version").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated-rows")
+    if rows_of(repeated) == 0:
+        return left
+    once = place(repeated, "left_semi", left).withColumn("__v", version).dropDuplicates([id_col, "__v"]).drop("__v")
+    return place(repeated, "left_anti", left).union(once)
