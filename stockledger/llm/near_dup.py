@@ -7,19 +7,20 @@ Every class has ``coordinates`` minwise tokens (the smallest image of its set
 under fixed hash functions). A *node* of a tree holds the classes that agree
 on the minwise tokens chosen along its path; which tokens a node branches on
 depends on its path alone. Each of the independent ``trees`` branches its root
-on ``branching`` tokens, deeper nodes on two. With similarity s the two
-classes of a pair part in a whole root level with probability
-(1 - s) ** (trees * branching): 2.6e-7 for the default and s = 0.85.
-
-* Nodes of at most ``leaf`` classes are compared exhaustively inside one task,
-  on full sets; nodes with the same members are compared once. Inside a leaf a
-  pair already connected needs no comparison, so a leaf yields a forest.
-* A larger node compares all its members with a few pivots and lets them go.
-  Members linked to one pivot carry one label. A child node whose members all
-  carry one label can teach nothing and ends; so a large group of copies costs
-  comparisons in proportion to its size, never its square. Beyond ``depth``
-  levels the node is no longer branched but goes on losing pivots until it is
-  done, so nothing is dropped.
+on ``branching`` tokens, deeper nodes on two. Two classes of similarity s meet
+in no child of any root with probability (1 - s) ** (trees * branching); the
+number of trees follows from the ``recall`` asked for at the threshold.
+
+* Small nodes (at most ``leaf`` classes and ``leaf_shingles`` shingles) are
+  compared exhaustively inside one task, on full sets, by one matrix product
+  of their incidence; nodes with the same members are compared once.
+* A larger node is cut into chunks of that size by a hash. Each chunk is
+  compared exhaustively together with a few pivots that all chunks of the node
+  see; then the pivots leave. Classes found connected carry one label. A child
+  node whose members all carry one label can teach nothing and ends; so a
+  large group of copies costs comparisons in proportion to its size, never its
+  square. Beyond ``depth`` levels a node is no longer branched but goes on
+  being cut anew and losing pivots until it is done, so nothing is dropped.
 
 Links are joined to components on the executors.
 
@@ -32,6 +33,7 @@ Other columns of the input are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -136,66 +138,105 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def forest(names: list[bytes], sets: list[np.ndarray], percent: int) -> list[tuple[bytes, bytes]]:
-    """Links that connect what full pairwise comparison would connect; pairs already connected are not compared."""
-    root = list(range(len(names)))
-
-    def top(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    found = []
-    for i in range(len(names)):
-        for j in range(i):
-            a, b = top(i), top(j)
-            if a != b and linked(sets[i], sets[j], percent):
-                root[max(a, b)] = min(a, b)
-                found.append((names[i], names[j]))
-    return found
-
-
-def compare_leaves(leaves: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links inside ``leaves(members)``, arrays of at most ``leaf`` classes."""
-    grouped = (
-        leaves.dropDuplicates(["members"])
-        .select(F.xxhash64("members").alias("leaf"), F.explode("members").alias("cls"))
-        .join(sets, "cls")
-        .groupBy("leaf")
-        .agg(F.collect_list("cls").alias("names"), F.collect_list("shingles").alias("sets"))
-    )
+def stars(sets: list[np.ndarray], first: np.ndarray, percent: int) -> np.ndarray:
+    """Each member's root: the component's member of least ``first``, over all pairs that are linked."""
+    n = len(sets)
+    link = np.zeros((n, n), bool)
+    if n <= 6:
+        for i in range(n):
+            for j in range(i):
+                link[i, j] = link[j, i] = linked(sets[i], sets[j], percent)
+    else:
+        sizes = np.fromiter(map(len, sets), np.int64, n)
+        row = np.repeat(np.arange(n), sizes)
+        _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        number = np.cumsum(count > 1) - 1  # a shingle of one set alone is common to none
+        shared = count[column] > 1
+        row, column = row[shared], number[column[shared]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        common = np.zeros((n, n), np.float32)
+        step = 4096
+        cuts = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else -1) + 1 + step, step))
+        for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            block = np.zeros((n, step), np.float32)
+            block[row[lo:hi], column[lo:hi] - i * step] = 1
+            common += block @ block.T
+        common = common.astype(np.int64)
+        link = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    label = np.argsort(np.argsort(first, kind="stable"))
+    np.fill_diagonal(link, True)
+    while True:
+        least = np.where(link, label[None, :], n).min(axis=1)
+        if (least == label).all():
+            break
+        label = least
+    return np.argsort(first, kind="stable")[label]
+
+
+def compare(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(grp, cls, root) of the members of ``members(grp, cls, pivot)`` linked to others of their group, roots included.
+
+    A root is a pivot if its component holds one. Groups are bounded; their rows
+    come sorted, so a task holds one group at a time.
+    """
+    rows = members.join(sets, "cls").select("grp", "cls", "pivot", "shingles").repartition("grp").sortWithinPartitions("grp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            links = []
-            for row in range(batch.num_rows):
-                inner = batch.column("sets")[row].values
-                values = inner.flatten().to_numpy(zero_copy_only=False)
-                first = np.concatenate([[0], np.cumsum(np.diff(inner.offsets.to_numpy()))])
-                members = [np.sort(values[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
-                links += forest(batch.column("names")[row].as_py(), members, percent)
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.binary()) for i in (0, 1)], names=["u", "v"])
+        group, names, pivot, held, out = None, [], [], [], []
 
-    return grouped.mapInArrow(run, "u binary, v binary")
+        def judge() -> None:
+            if len(names) > 1:
+                order = sorted(range(len(names)), key=lambda i: (not pivot[i], names[i]))
+                first = np.empty(len(names), np.int64)
+                first[order] = np.arange(len(names))
+                root = stars(held, first, percent)
+                joined = np.bincount(root, minlength=len(names)) > 1
+                out.extend((group, names[i], names[r]) for i, r in enumerate(root) if joined[r])
+
+        def made() -> pa.RecordBatch:
+            kinds = [pa.int64(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names=["grp", "cls", "root"])
+
+        for batch in batches:
+            groups, cls, pivots = (batch.column(i).to_pylist() for i in range(3))
+            shingles = batch.column(3)
+            flat, ends = shingles.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *shingles.value_lengths().to_pylist()])
+            for i in range(batch.num_rows):
+                if groups[i] != group:
+                    judge()
+                    group, names, pivot, held = groups[i], [], [], []
+                names.append(cls[i])
+                pivot.append(pivots[i])
+                held.append(np.sort(flat[ends[i]: ends[i + 1]]))
+            if out:
+                yield made()
+                out = []
+        judge()
+        if out:
+            yield made()
+
+    return rows.mapInArrow(run, "grp long, cls binary, root binary")
 
 
 def _branch(nodes: DataFrame, tokens: DataFrame, level: int, choices: int, coordinates: int) -> DataFrame:
-    """Children of ``nodes(node, cls, label)``: the path decides which ``choices`` tokens it branches on."""
+    """Children of ``nodes(node, cls, size, label)``: the path decides which ``choices`` tokens it branches on."""
     picks = F.array(*(F.struct(F.lit(i).alias("i"), F.pmod(F.xxhash64("node", F.lit(level), F.lit(i)), F.lit(coordinates)).cast("int").alias("c")) for i in range(choices)))
     return (
-        nodes.join(tokens, "cls")
-        .select("node", "cls", "label", "tokens", F.explode(picks).alias("p"))
-        .select(F.xxhash64("node", "p.i", "p.c", F.element_at("tokens", F.col("p.c") + 1)).alias("node"), "cls", "label")
+        nodes.join(tokens.select("cls", "tokens"), "cls")
+        .select("node", "cls", "size", "label", "tokens", F.explode(picks).alias("p"))
+        .select(F.xxhash64("node", "p.i", "p.c", F.element_at("tokens", F.col("p.c") + 1)).alias("node"), "cls", "size", "label")
     )
 
 
-def _sized(nodes: DataFrame, leaf: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """(leaves, larger nodes) among nodes that hold two classes of different labels."""
-    sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("a"), F.max("label").alias("z"))
-    live = written(nodes.join(sizes.where("n > 1 and a <> z").select("node", "n"), "node"), name)
-    leaves = live.where(F.col("n") <= leaf).groupBy("node").agg(F.sort_array(F.collect_list("cls")).alias("members")).select("members")
-    return leaves, live.where(F.col("n") > leaf).select("node", "cls", "label")
+def _sized(nodes: DataFrame, leaf: int, leaf_shingles: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """(arrays of the members of small nodes, larger nodes with ``chunks``) among nodes of two labels at least."""
+    sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("all"), F.min("label").alias("a"), F.max("label").alias("z"))
+    chunks = F.ceil(F.greatest(F.col("n") / F.lit(leaf), F.col("all") / F.lit(leaf_shingles))).cast("long")
+    sizes = sizes.where("n > 1 and a <> z").select("node", chunks.alias("chunks"))
+    live = written(nodes.join(sizes, "node"), name)
+    leaves = live.where("chunks = 1").groupBy("node").agg(F.sort_array(F.collect_list("cls")).alias("members")).select("members")
+    return leaves, live.where("chunks > 1")
 
 
 def _pivots(nodes: DataFrame, pivots: int, level: int) -> DataFrame:
@@ -206,57 +247,51 @@ def _pivots(nodes: DataFrame, pivots: int, level: int) -> DataFrame:
 
 
 def resolve(
-    docs: DataFrame, *, words: int = 3, percent: int = 85, trees: int = 4, branching: int = 2, coordinates: int = 32,
-    leaf: int = 64, depth: int = 6, pivots: int = 8, salts: int = 16, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, *, words: int = 3, percent: int = 85, recall: float = 0.9999, branching: int = 2, coordinates: int = 32,
+    leaf: int = 512, leaf_shingles: int = 2_000_000, depth: int = 6, pivots: int = 32, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Per row: id, version (hash of the text), n_shingles, root (its component; null if the set is empty) and component_id."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("version"))
+    trees = math.ceil(math.log(1 - recall) / (branching * math.log(1 - percent / 100))) if percent < 100 else 1
     signed = written(signatures(rows, words, coordinates), "signatures")
     classes = written(
-        signed.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id"), F.first("tokens").alias("tokens")), "classes"
+        signed.where("cls is not null").groupBy("cls")
+        .agg(F.min("id").alias("id"), F.first("n_shingles").alias("size"), F.first("tokens").alias("tokens")),
+        "classes",
+    )
+    chosen = F.array(*(F.struct(F.lit(t).alias("t"), F.lit((t * branching + b) % coordinates).alias("c")) for t in range(trees) for b in range(branching)))
+    roots = classes.select("cls", "size", "tokens", F.explode(chosen).alias("p")).select(
+        F.xxhash64("p.t", "p.c", F.element_at("tokens", F.col("p.c") + 1)).alias("node"), "cls", "size", F.col("cls").alias("label")
     )
-    tokens = classes.select("cls", "tokens")
-    roots = tokens.select(
-        "cls", "tokens",
-        F.explode(F.array(*(F.struct(F.lit(t).alias("t"), F.lit((t * branching + b) % coordinates).alias("c")) for t in range(trees) for b in range(branching)))).alias("p"),
-    ).select(F.xxhash64("p.t", "p.c", F.element_at("tokens", F.col("p.c") + 1)).alias("node"), "cls", F.col("cls").alias("label"))
-    leaves, large = _sized(roots, leaf, "nodes")
+    leaves, large = _sized(roots, leaf, leaf_shingles, "nodes")
     wanted = leaves.select(F.explode("members").alias("cls")).union(large.select("cls")).distinct()
     wanted = written(classes.select("id", "cls").join(wanted, "cls"), "wanted")
     sets = written(class_sets(rows, wanted, words), "sets")
 
-    all_leaves, links, level = [leaves], [], 0
+    every, links, level = leaves, [], 0
     while rows_of(large):
         level += 1
-        chosen = written(_pivots(large, pivots, level), "pivots")
-        pivot = chosen.join(sets, "cls").select("node", F.col("cls").alias("pivot"), F.col("label").alias("pivot_label"), F.col("shingles").alias("pivot_set"))
-        pivot = pivot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        member = large.withColumn("salt", F.pmod(F.xxhash64("cls"), F.lit(salts)).cast("int")).join(sets, "cls")
-        common = F.size(F.array_intersect("shingles", "pivot_set"))
-        found = written(
-            member.join(pivot, ["node", "salt"]).where("cls <> pivot")
-            .where(F.lit(100) * F.least(F.size("shingles"), F.size("pivot_set")) >= F.lit(percent) * F.greatest(F.size("shingles"), F.size("pivot_set")))
-            .where(F.lit(100) * common >= F.lit(percent) * (F.size("shingles") + F.size("pivot_set") - common))
-            .select("node", "cls", "pivot", "pivot_label"),
-            "pivot-links",
-        )
-        links.append(found.select(F.col("cls").alias("u"), F.col("pivot").alias("v")).distinct())
-        relabel = found.groupBy("node", "cls").agg(F.min("pivot_label").alias("to"))
-        rest = (
-            large.join(chosen.select("node", "cls"), ["node", "cls"], "left_anti")
-            .join(relabel, ["node", "cls"], "left")
-            .select("node", "cls", F.coalesce("to", "label").alias("label"))
+        pivot = written(_pivots(large, pivots, level), "pivots")
+        seen = large.join(pivot.select("node", "cls", F.lit(True).alias("is_pivot")), ["node", "cls"], "left")
+        chunk = F.pmod(F.xxhash64("cls", F.lit(level)), "chunks")
+        members = seen.where("is_pivot is null").select(F.xxhash64("node", chunk).alias("grp"), "node", "cls", F.lit(False).alias("pivot"))
+        every_chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+        shown = seen.where("is_pivot").select("node", "cls", every_chunk.alias("chunk")).select(
+            F.xxhash64("node", "chunk").alias("grp"), "node", "cls", F.lit(True).alias("pivot")
         )
+        found = written(compare(members.union(shown).select("grp", "cls", "pivot"), sets, percent), "chunk-links")
+        links.append(found.select(F.col("cls").alias("u"), F.col("root").alias("v")))
+        to = found.join(members.select("grp", "node", "cls"), ["grp", "cls"]).select("node", "cls", F.col("root").alias("to"))
+        # of classes connected before, one may now hang on another root: the label stays a class they are connected with
+        rest = seen.where("is_pivot is null").join(to, ["node", "cls"], "left").select("node", "cls", "size", F.coalesce("to", "label").alias("label"))
         if level < depth:
-            rest = _branch(rest, tokens, level, 2, coordinates)
-        leaves, large = _sized(rest, leaf, "nodes")
-        all_leaves.append(leaves)
-
-    every = all_leaves[0]
-    for more in all_leaves[1:]:
-        every = every.union(more)
-    found = compare_leaves(every, sets, percent)
+            rest = _branch(rest, classes, level, 2, coordinates)
+        leaves, large = _sized(rest, leaf, leaf_shingles, "nodes")
+        every = every.union(leaves)
+
+    groups = every.dropDuplicates(["members"]).select(F.xxhash64("members").alias("grp"), F.explode("members").alias("cls"), F.lit(False).alias("pivot"))
+    found = compare(groups, sets, percent).select(F.col("cls").alias("u"), F.col("root").alias("v"))
     for more in links:
         found = found.union(more)
     member = components(found)
