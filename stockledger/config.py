@@ -37,14 +37,6 @@ class Period:
                 self, "years", tuple(range(self.opening.year, self.closing.year + 1))
             )
 
-    @property
-    def first_day(self) -> dt.date:
-        return dt.date(min(self.years), 1, 1)
-
-    @property
-    def after_last_day(self) -> dt.date:
-        return dt.date(max(self.years) + 1, 1, 1)
-
 
 # Fixed values of the original job: its period and reporting years.
 RETAIL_PERIOD = Period(dt.date(2019, 1, 1), dt.date(2020, 12, 31), (2019, 2020))

@@ -33,7 +33,7 @@ def measured_bytes(df: DataFrame) -> int:
     for i, f in enumerate(df.schema.fields):
         fixed += 8
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            aggs.append(F.coalesce(F.max(F.length(F.col(f.name))), F.lit(0)).alias(f"__l{i}"))
+            aggs.append(F.coalesce(F.max(F.octet_length(F.col(f.name))), F.lit(0)).alias(f"__l{i}"))
         elif not isinstance(f.dataType, (*_FIXED_WIDTH, T.DecimalType)):
             aggs.append(F.lit(1 << 20).alias(f"__l{i}"))  # nested: refuse cheaply
     row = df.agg(*aggs).first()

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..config import Period
 from ..functions.dates import days_in_year, in_years, overlap_days, year_of
+from ..schema import MONEY, minus, worth
 from .joins import fits_broadcast, maybe_broadcast
 
 STORE, FAMILY = "StoreId", "Family"
@@ -32,7 +33,7 @@ LEVELS = (STORE, FAMILY)
 
 
 def zero_money():
-    return F.lit(0).cast("decimal(38,6)")
+    return F.lit(0).cast(MONEY)
 
 
 def _check_level(level: str) -> None:
@@ -111,7 +112,7 @@ def sales_cube(
         )
         .agg(
             F.sum("Quantity").alias("Units"),
-            F.sum(F.col("Quantity") * F.col("RetailPrice")).alias("Value"),
+            F.sum(worth("Quantity", "RetailPrice")).cast(MONEY).alias("Value"),
         )
     )
 
@@ -135,7 +136,7 @@ def inbound_cube(
     return (
         facts.join(maybe_broadcast(master, master_fits), "ProductId")
         .groupBy(STORE, FAMILY, "Priced", YEAR)
-        .agg(F.sum(F.col("Quantity") * F.col("SupplierPrice")).alias("Cost"))
+        .agg(F.sum(worth("Quantity", "SupplierPrice")).cast(MONEY).alias("Cost"))
     )
 
 
@@ -325,9 +326,7 @@ def benefit_decimal(m: Measures, level: str) -> DataFrame:
         .select(
             level,
             YEAR,
-            (F.coalesce("TotalVentas", zero_money()) - F.coalesce("TotalCostos", zero_money())).alias(
-                "Beneficio"
-            ),
+            minus(F.col("TotalVentas"), F.col("TotalCostos")).alias("Beneficio"),
         )
     )
 

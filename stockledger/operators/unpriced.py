@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import year_entity_label
+from ..schema import MONEY, minus
 from .kpi import FAMILY, STORE, YEAR, zero_money, Measures, benefit_decimal, inbound_cost
 
 
@@ -33,9 +34,14 @@ def unpriced_cost(m: Measures, level: str) -> DataFrame:
 
 
 def unpriced_total(m: Measures) -> DataFrame:
-    """Grand total of the store-level unpriced cost (A9): one row."""
-    c = unpriced_cost_decimal(m, STORE)
-    return c.agg(F.sum("TotalCosto").cast("double").alias("TotalCosto"))
+    """Grand total of the store-level unpriced cost (A9): one row.
+
+    Summed straight from the inbound cube: the 0-filled spine adds nothing, and
+    a null store's cost stays out, as it matches no spine row.
+    """
+    own = ~F.col("Priced") & F.col(STORE).isNotNull()
+    total = F.coalesce(F.sum(F.when(own, F.col("Cost"))), zero_money())
+    return m.inbound.agg(total.cast(MONEY).cast("double").alias("TotalCosto"))
 
 
 def adjusted_benefit(m: Measures, level: str) -> DataFrame:
@@ -51,7 +57,7 @@ def adjusted_benefit(m: Measures, level: str) -> DataFrame:
     return b.join(c, [level, YEAR], how).select(
         level,
         YEAR,
-        (F.col("Beneficio") - F.col("TotalCosto")).cast("double").alias("TotalBeneficio"),
+        F.when(F.col("TotalCosto").isNotNull(), minus(F.col("Beneficio"), F.col("TotalCosto"))).cast("double").alias("TotalBeneficio"),
     )
 
 

@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from ..config import Period
 from ..functions.dates import days_in_year, in_years, year_of
+from ..schema import MONEY, PRICE, minus, worth
 from .joins import fits_broadcast, maybe_broadcast
 from .kpi import FAMILY, STORE, YEAR
 from .ledger import KEY, stock_as_of
 
 # Fixed tolerance for comparing recomputed money and ratios.
-TOLERANCE = 1e-6
+TOLERANCE = 1e-9
 
 
 def _summary(name: str, df: DataFrame, bad) -> DataFrame:
@@ -202,8 +203,8 @@ def benefit_facts(
         .join(master, "ProductId")
         .groupBy(*keys)
         .agg(
-            F.sum(F.when(priced, F.col("Quantity") * F.col("RetailPrice"))).alias("SalesValue"),
-            F.lit(None).cast("decimal(38,6)").alias("InboundCost"),
+            F.sum(F.when(priced, worth("Quantity", "RetailPrice"))).cast(MONEY).alias("SalesValue"),
+            F.lit(None).cast(MONEY).alias("InboundCost"),
         )
     )
     ic = (
@@ -211,26 +212,34 @@ def benefit_facts(
         .join(master, "ProductId")
         .groupBy(*keys)
         .agg(
-            F.lit(None).cast("decimal(38,6)").alias("SalesValue"),
-            F.sum(F.when(priced, F.col("Quantity") * F.col("SupplierPrice"))).alias("InboundCost"),
+            F.lit(None).cast(MONEY).alias("SalesValue"),
+            F.sum(F.when(priced, worth("Quantity", "SupplierPrice"))).cast(MONEY).alias("InboundCost"),
         )
     )
     return sv.unionByName(ic)
 
 
-def check_benefit(published: DataFrame, facts: DataFrame, level: str) -> DataFrame:
-    """V4, V5: each published benefit = sales value - inbound cost, from :func:`benefit_facts`."""
+def _benefits(published: DataFrame, facts: DataFrame, level: str) -> DataFrame:
     re = facts.groupBy(level, YEAR).agg(
         F.sum("SalesValue").alias("_sv"), F.sum("InboundCost").alias("_ic")
     )
-    rows = published.join(re, [level, YEAR], "left").select(
-        F.col("Beneficio"),
-        (
-            F.coalesce(F.col("_sv").cast("double"), F.lit(0.0))
-            - F.coalesce(F.col("_ic").cast("double"), F.lit(0.0))
-        ).alias("_re"),
+    return published.join(re, [level, YEAR], "left").select(
+        level, YEAR, F.col("Beneficio").alias("Published"), minus(F.col("_sv"), F.col("_ic")).cast("double").alias("Recomputed")
     )
-    return _summary(f"{level.lower()}_benefit", rows, ~_close(F.col("Beneficio"), F.col("_re")))
+
+
+def _off():
+    return ~_close(F.col("Published"), F.col("Recomputed")) | F.col("Published").isNull()
+
+
+def check_benefit(published: DataFrame, facts: DataFrame, level: str) -> DataFrame:
+    """V4, V5: each published benefit = sales value - inbound cost, from :func:`benefit_facts`."""
+    return _summary(f"{level.lower()}_benefit", _benefits(published, facts, level), _off())
+
+
+def benefit_violations(published: DataFrame, facts: DataFrame, level: str) -> DataFrame:
+    """Entity, year, published and recomputed benefit where they differ (V4, V5)."""
+    return _benefits(published, facts, level).filter(_off())
 
 
 def daily_stock_days(daily: DataFrame, period: Period) -> DataFrame:
@@ -246,7 +255,7 @@ def daily_stock_days(daily: DataFrame, period: Period) -> DataFrame:
     )
 
 
-def check_rotation(
+def _rotations(
     published: DataFrame,
     sales: DataFrame,
     products: DataFrame,
@@ -255,13 +264,8 @@ def check_rotation(
     period: Period,
     *,
     root_fanout: bool = True,
+    master_fits: bool | None = None,
 ) -> DataFrame:
-    """V6, V7: each published rotation = units / (sum of daily stock / days).
-
-    ``stock_days`` is :func:`daily_stock_days` of the exploded daily table,
-    so mean stock is checked independently of the interval arithmetic used
-    to publish it.
-    """
     if level == STORE:
         sd = stock_days.groupBy(STORE, YEAR).agg(F.sum("StockDays").alias("_sd"))
     else:
@@ -277,16 +281,32 @@ def check_rotation(
         )
     s = sales.filter(in_years("Date", period))
     if level == FAMILY:
-        s = s.join(products.select("ProductId", FAMILY), "ProductId")
+        s = s.join(maybe_broadcast(products.select("ProductId", FAMILY), fits_broadcast(products) if master_fits is None else master_fits), "ProductId")
     us = s.groupBy(level, year_of("Date").alias(YEAR)).agg(F.sum("Quantity").alias("UnidadesVendidas"))
     units = F.coalesce(F.col("UnidadesVendidas"), F.lit(0)).cast("double")
     mean = F.coalesce(F.col("_sd"), F.lit(0)) / days_in_year(F.col(YEAR), period.days_per_year)
     re = (
         published.join(us, [level, YEAR], "left")
         .join(sd, [level, YEAR], "left")
-        .select("Rotacion", F.when(mean != 0, units / mean).otherwise(units).alias("_re"))
+        .select(level, YEAR, F.col("Rotacion").alias("Published"), F.when(mean != 0, units / mean).otherwise(units).alias("Recomputed"))
     )
-    return _summary(f"{level.lower()}_rotation", re, ~_close(F.col("Rotacion"), F.col("_re")))
+    return re
+
+
+def check_rotation(published, sales, products, stock_days, level: str, period: Period, **how) -> DataFrame:
+    """V6, V7: each published rotation = units / (sum of daily stock / days).
+
+    ``stock_days`` is :func:`daily_stock_days` of the exploded daily table,
+    so mean stock is checked independently of the interval arithmetic used
+    to publish it.
+    """
+    rows = _rotations(published, sales, products, stock_days, level, period, **how)
+    return _summary(f"{level.lower()}_rotation", rows, _off())
+
+
+def rotation_violations(published, sales, products, stock_days, level: str, period: Period, **how) -> DataFrame:
+    """Entity, year, published and recomputed rotation where they differ (V6, V7)."""
+    return _rotations(published, sales, products, stock_days, level, period, **how).filter(_off())
 
 
 # ---------------------------------------------------------------- contract
@@ -313,15 +333,68 @@ def _null_rules(name: str, df: DataFrame, cols, extra=()):
     return _rule_rows(df.agg(*aggs), rules)
 
 
+def _digits_lost(raw: DataFrame):
+    lost = F.lit(False)
+    for c in ("RetailPrice", "SupplierPrice"):
+        kept = F.col(c).cast(PRICE).cast(raw.schema[c].dataType)
+        lost = lost | F.coalesce(kept != F.col(c), F.lit(False))
+    return lost
+
+
+def check_price_digits(raw_products: DataFrame) -> DataFrame:
+    """Products with a price that the declared type does not hold exactly."""
+    return _summary("price_digits_kept", raw_products, _digits_lost(raw_products))
+
+
+def contract_violations(
+    products: DataFrame, sales: DataFrame, movements: DataFrame, *, raw_products: DataFrame | None = None, master_fits: bool | None = None
+) -> DataFrame:
+    """The rows behind V8: rule, ProductId, StoreId and Date of each offending row."""
+    if master_fits is None:
+        master_fits = fits_broadcast(products)
+
+    def rows(df: DataFrame, rule: str) -> DataFrame:
+        own = [c if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in (("ProductId", "long"), (STORE, "long"), ("Date", "date"))]
+        return df.select(F.lit(rule).alias("rule"), *own)
+
+    raw = products if raw_products is None else raw_products
+    repeats = products.groupBy("ProductId").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1")
+    extra = repeats.select("ProductId", F.explode(F.sequence(F.lit(2).cast("long"), F.col("_c"))))
+    known = maybe_broadcast(products.select("ProductId").distinct(), master_fits)
+    parts = [
+        rows(extra, "unique_product_id"),
+        rows(products.filter(F.col("ProductRootCode").isNull()), "product_root_not_null"),
+        rows(raw.filter(_digits_lost(raw)).select(F.col("ProductId").cast("long").alias("ProductId")), "price_digits_kept"),
+        rows(movements.join(known, "ProductId", "left_anti"), "unknown_product_movements"),
+    ]
+    for name, df in (("movements", movements), ("sales", sales)):
+        parts += [rows(df.filter(F.col(c).isNull()), f"{name}_{c.lower()}_not_null") for c in ("Date", STORE, "ProductId", "Quantity")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def gate(products: DataFrame, sales: DataFrame, movements: DataFrame) -> dict[str, int]:
+    """Counts of the violations that make published figures wrong: repeated ids and null dates."""
+    ids = products.groupBy("ProductId").agg(F.count(F.lit(1)).alias("_c"))
+    row = ids.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("n")).first()
+    found = {"unique_product_id": int(row["n"])}
+    for name, df in (("movements", movements), ("sales", sales)):
+        found[f"{name}_date_not_null"] = int(df.agg(F.count_if(F.col("Date").isNull()).alias("n")).first()["n"])
+    return found
+
+
 def check_contract(
     products: DataFrame,
     sales: DataFrame,
     movements: DataFrame,
     *,
     master_fits: bool | None = None,
+    raw_products: DataFrame | None = None,
 ) -> DataFrame:
     """V8: input contract (S2, S16, S26), one row per rule.
 
+    ``price_digits_kept`` counts products of ``raw_products`` (the master as
+    stored) with a price that its Decimal type does not hold exactly.
+
     One pass over each table: every rule of a table is a column of one
     aggregate, unpivoted afterwards. ``unknown_product_movements`` is
     informational: such rows are dropped by design (S1).
@@ -349,5 +422,5 @@ def check_contract(
     )
     return reduce(
         DataFrame.unionByName,
-        [master, _null_rules("movements", mv, cols, [unknown]), _null_rules("sales", sales, cols)],
+        [master, check_price_digits(products if raw_products is None else raw_products), _null_rules("movements", mv, cols, [unknown]), _null_rules("sales", sales, cols)],
     )

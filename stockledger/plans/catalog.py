@@ -25,28 +25,12 @@ from .job import run_job
 BAND = (300, 400)
 
 
-# Input bundles per session and folder. The driver folders do not change
-# during a run, so the tables' logical plans and the one job measuring the
-# master serve every query over that folder.
-_TABLES: dict[tuple[int, str], RetailTables] = {}
-
-
-def tables_for(spark: SparkSession, sf_dir: str) -> RetailTables:
-    key = (id(spark), sf_dir)
-    t = _TABLES.get(key)
-    if t is None or t.spark is not spark:
-        t = driver_tables(spark, sf_dir)
-        t.products_fit_broadcast()
-        _TABLES[key] = t
-    return t
-
-
 class Plan:
     """Lazily built frames of one run over one folder, shared by the queries."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, period: Period = ADAPTER_PERIOD):
         self.period = period
-        self.t: RetailTables = tables_for(spark, sf_dir)
+        self.t: RetailTables = driver_tables(spark, sf_dir)
         self.fits = self.t.products_fit_broadcast()
 
     # inputs
@@ -93,6 +77,34 @@ class Plan:
     def adjusted(self, level: str) -> DataFrame:
         return unpriced.adjusted_benefit(self.measures(), level)
 
+    # published tables with the damage that the oracle knows of
+    def emptied(self) -> DataFrame:
+        return self.intervals().withColumn("Stock", F.when(F.col(STORE) % 5 == 0, F.lit(0).cast("long")).otherwise(F.col("Stock")))
+
+    def shifted(self) -> DataFrame:
+        return self.intervals().withColumn("Stock", F.col("Stock") + F.when(F.col(STORE) % 5 == 0, 1).otherwise(0))
+
+    def damaged_days(self) -> DataFrame:
+        """Day 15 of stores divisible by 5 is lost, day 20 of the stores after them doubled, day 25 of the next has one unit more."""
+        store, day = F.col(STORE) % 5, F.day("Date")
+        copies = F.when((store == 1) & (day == 20), 2).when((store == 0) & (day == 15), 0).otherwise(1)
+        more = F.when((store == 2) & (day == 25), 1).otherwise(0)
+        return self.daily().withColumn("Stock", F.col("Stock") + more).withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("_copy")
+
+    def damaged(self, published: DataFrame, level: str) -> DataFrame:
+        """One more in even years of every fifth store, or of families whose names have a length divisible by 5."""
+        measure = published.columns[-1]
+        hit = (F.col(STORE) if level == STORE else F.length(FAMILY)) % 5 == 0
+        return published.withColumn(measure, F.col(measure) + F.when(hit & (F.col("Anio") % 2 == 0), 1).otherwise(0))
+
+    def judged(self, judge, figure: str, level: str, damage: bool) -> DataFrame:
+        published = self.benefit(level) if figure == "benefit" else self.rotation(level)
+        published = self.damaged(published, level) if damage else published
+        if figure == "benefit":
+            return judge(published, self.benefit_facts(), level)
+        days = validate.daily_stock_days(self.daily(), self.period)
+        return judge(published, self.sales, self.products, days, level, self.period, master_fits=self.fits)
+
     def benefit_facts(self) -> DataFrame:
         return validate.benefit_facts(
             self.sales, self.movements, self.products, self.period, master_fits=self.fits
@@ -118,6 +130,18 @@ def _q(build: Callable[[Plan], DataFrame]) -> Callable[[SparkSession, str], Data
     return run
 
 
+def _kpi_checks() -> dict[str, Callable[[Plan], DataFrame]]:
+    """V4-V7: the check, the check over damaged figures, and the rows it finds there."""
+    out: dict[str, Callable[[Plan], DataFrame]] = {}
+    kinds = {"benefit": (validate.check_benefit, validate.benefit_violations), "rotation": (validate.check_rotation, validate.rotation_violations)}
+    for figure, (check, rows) in kinds.items():
+        for name, level in (("store", STORE), ("family", FAMILY)):
+            out[f"check_{name}_{figure}"] = lambda p, a=check, f=figure, v=level: p.judged(a, f, v, False)
+            out[f"check_{name}_{figure}_damaged"] = lambda p, a=check, f=figure, v=level: p.judged(a, f, v, True)
+            out[f"{name}_{figure}_violations"] = lambda p, a=rows, f=figure, v=level: p.judged(a, f, v, True)
+    return out
+
+
 def _queries() -> dict[str, Callable[[Plan], DataFrame]]:
     y_first = lambda p: int(min(p.period.years))
     y_last = lambda p: int(max(p.period.years))
@@ -192,23 +216,19 @@ def _queries() -> dict[str, Callable[[Plan], DataFrame]]:
             p.intervals(), p.rooted()
         ),
         "check_daily_expansion": lambda p: validate.check_daily_expansion(p.intervals(), p.daily()),
-        "check_store_benefit": lambda p: validate.check_benefit(
-            p.benefit(STORE), p.benefit_facts(), STORE
-        ),
-        "check_family_benefit": lambda p: validate.check_benefit(
-            p.benefit(FAMILY), p.benefit_facts(), FAMILY
-        ),
-        "check_store_rotation": lambda p: validate.check_rotation(
-            p.rotation(STORE), p.sales, p.products,
-            validate.daily_stock_days(p.daily(), p.period), STORE, p.period,
-        ),
-        "check_family_rotation": lambda p: validate.check_rotation(
-            p.rotation(FAMILY), p.sales, p.products,
-            validate.daily_stock_days(p.daily(), p.period), FAMILY, p.period,
-        ),
         "check_contract": lambda p: validate.check_contract(
-            p.products, p.sales, p.movements, master_fits=p.fits
-        ),
+            p.products, p.sales, p.movements, master_fits=p.fits, raw_products=p.t.raw_products
+        ),
+        "contract_violations": lambda p: validate.contract_violations(
+            p.products, p.sales, p.movements, master_fits=p.fits, raw_products=p.t.raw_products
+        ),
+        # the same checks over damaged tables, and the rows they find
+        "check_positive_damaged": lambda p: validate.check_positive(p.emptied()),
+        "positive_violations": lambda p: validate.positive_violations(p.emptied()),
+        "check_interval_balance_damaged": lambda p: validate.check_interval_balance(p.shifted(), p.rooted()),
+        "balance_violations": lambda p: validate.balance_violations(p.shifted(), p.rooted()),
+        "check_daily_expansion_damaged": lambda p: validate.check_daily_expansion(p.intervals(), p.damaged_days()),
+        **_kpi_checks(),
         # sinks: whole job, then the size of what it wrote (IO5, IO7); no oracle
         "output_footprint": footprint,
     }

@@ -31,7 +31,7 @@ from ..operators import kpi, ledger, unpriced, validate
 from ..operators.kpi import FAMILY, STORE
 from ..schema import OUTPUT_SCHEMAS, OUTPUTS, check_schema
 from ..sources.readers import read_outputs
-from ..sources.sinks import output_footprint, output_path, register_views, write_output
+from ..sources.sinks import output_footprint, output_path, path_exists, register_views, write_output
 from ..sources.tables import RetailTables
 
 
@@ -80,9 +80,16 @@ def run_job(
     known_products_only: bool = False,
     daily: bool = True,
     parallel_jobs: int = 4,
+    allow_violations: bool = False,
 ) -> JobResult:
     """Compute and write every published output under ``out_dir``.
 
+    Repeated product ids would multiply the figures and null-dated movements
+    would drop out of them, so either raises before anything is written,
+    unless ``allow_violations``. A folder that holds a daily table of an earlier
+    run is refused with ``daily=False``: new intervals beside old days would
+    not belong together.
+
     Intermediate tables go to a fresh folder of the session's shared
     checkpoint dir. ``daily=False`` skips the (keys x days) daily table; no
     KPI reads it. daily_stock is written partitioned by year, so readers of
@@ -97,6 +104,12 @@ def run_job(
     fits = tables.products_fit_broadcast()
     p, s, m = tables.products, tables.sales, tables.movements
     outs: dict[str, str] = {}
+    if not daily and path_exists(spark, output_path(out_dir, "daily_stock")):
+        raise ValueError(f"{out_dir} holds daily_stock of an earlier run, which this run would not replace")
+    if not allow_violations:
+        broken = {rule: n for rule, n in validate.gate(p, s, m).items() if n}
+        if broken:
+            raise ValueError(f"the inputs break the contract: {broken}; see validate.contract_violations")
 
     # Written in (root, store, start) order within each file, so Parquet
     # min/max statistics let per-key lookups skip row groups. The window
@@ -117,12 +130,10 @@ def run_job(
             # A year-partitioned write sorts each task's rows by year anyway;
             # sorting by (year, key, day) in that same pass keeps every file in
             # key order (smaller, and per-key lookups skip row groups).
-            # Re-spread the intervals only when the written layout would give
-            # tasks too much output (the expansion multiplies rows ~41x).
-            n = ledger.daily_partitions(intervals)
-            spread = n if n > len(intervals.inputFiles()) else None
+            # The expansion multiplies rows ~41x and the scan packs small files
+            # into few tasks, so the intervals are spread for its output.
             d = (
-                ledger.daily_stock(intervals, spread)
+                ledger.daily_stock(intervals, ledger.daily_partitions(intervals))
                 .withColumn("Anio", F.year("Date"))
                 .sortWithinPartitions("Anio", *ledger.KEY, "Date")
             )
@@ -164,7 +175,8 @@ def run_checks(
 ) -> DataFrame:
     """Validate a published output folder against the inputs (V1-V8), every key.
 
-    One row per check: ``(check, n_checked, n_violations)``. The daily-table
+    Writes two intermediate tables, then returns a lazy frame with one row per
+    check: ``(check, n_checked, n_violations)``. The daily-table
     checks are skipped when the run wrote no daily table. ``check_daily=False``
     skips only V3, the one check that shuffles the whole daily table (the
     largest output); the rotation checks read it through map-side-combined
@@ -180,24 +192,21 @@ def run_checks(
     store = written(spark, scratch_path(spark, "checks"))
     facts = store(validate.benefit_facts(s, m, p, period, master_fits=fits), "benefit_facts")
     checks = [
-        validate.check_contract(p, s, m, master_fits=fits),
+        validate.check_contract(p, s, m, master_fits=fits, raw_products=tables.raw_products),
         validate.check_positive(iv),
         validate.check_interval_balance(iv, rooted),
         validate.check_benefit(outs["store_benefits"], facts, STORE),
         validate.check_benefit(outs["family_benefits"], facts, FAMILY),
     ]
-    try:
-        daily = spark.read.parquet(output_path(out_dir, "daily_stock")).drop("Anio")
-    except Exception:  # noqa: BLE001 - run without the daily table
-        daily = None
-    if daily is not None:
+    if path_exists(spark, output_path(out_dir, "daily_stock")):
+        daily = read_outputs(spark, out_dir, ["daily_stock"])["daily_stock"]
         sums = store(validate.daily_stock_days(daily, period), "daily_stock_days")
         if check_daily:
             checks.append(validate.check_daily_expansion(iv, daily))
         checks += [
-            validate.check_rotation(outs["store_rotation"], s, p, sums, STORE, period),
+            validate.check_rotation(outs["store_rotation"], s, p, sums, STORE, period, master_fits=fits),
             validate.check_rotation(
-                outs["family_rotation"], s, p, sums, FAMILY, period, root_fanout=root_fanout
+                outs["family_rotation"], s, p, sums, FAMILY, period, root_fanout=root_fanout, master_fits=fits
             ),
         ]
     return reduce(DataFrame.unionByName, checks)

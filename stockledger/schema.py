@@ -6,18 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Prices are read as Decimal with 6 decimals: exact for prices with up to
-# six decimals (the original's supplier prices are not whole cents), and sums
-# of Decimal do not depend on partitioning or task order.
-MONEY = T.DecimalType(18, 6)
+# Prices are read with 15 decimals, enough for any Double of everyday size, and
+# the contract counts prices that lose digits all the same. A quantity of up to
+# 12 digits times a price is a Decimal(38,15) without rounding, and sums of
+# Decimal do not depend on partitioning or task order.
+PRICE = T.DecimalType(25, 15)
+QUANTITY = T.DecimalType(12, 0)
+MONEY = T.DecimalType(38, 15)
 
 PRODUCTS = T.StructType(
     [
         T.StructField("ProductId", T.LongType(), False),
         T.StructField("ProductRootCode", T.LongType(), True),
         T.StructField("Family", T.StringType(), True),
-        T.StructField("RetailPrice", MONEY, True),
-        T.StructField("SupplierPrice", MONEY, True),
+        T.StructField("RetailPrice", PRICE, True),
+        T.StructField("SupplierPrice", PRICE, True),
     ]
 )
 
@@ -128,6 +131,18 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select([_cast(f.name, f.dataType) for f in schema.fields])
 
 
+def worth(quantity: str, price: str) -> Column:
+    """Quantity x price, exact; a quantity of more than 12 digits raises."""
+    return F.col(quantity).cast(QUANTITY) * F.col(price)
+
+
+def minus(a, b) -> Column:
+    """Difference of two money sums with all 15 decimals; missing sums count as 0."""
+    zero = F.lit(0).cast(MONEY)
+    narrow = T.DecimalType(37, 15)  # one digit less, so that the difference keeps its scale
+    return F.coalesce(a, zero).cast(narrow) - F.coalesce(b, zero).cast(narrow)
+
+
 def check_schema(df: DataFrame, schema: T.StructType, name: str = "") -> DataFrame:
     """Raise unless ``df`` has exactly ``schema``'s columns and types, in order.
 

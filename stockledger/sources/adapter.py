@@ -16,17 +16,16 @@ from .. import schema as S
 from .tables import RetailTables
 
 # Fixed values of the mapping (FIXTURES.md §4).
-PRODUCT_DROP_MOD = 97        # p_partkey % 97 = 0: not in the master (unknown products)
 NULL_ROOT_MOD = 53           # p_partkey % 53 = 0: no root code
 ROOT_WIDTH = 20              # root = floor(p_partkey / 20)
 NULL_FAMILY_MOD, NULL_FAMILY_REM = 59, 5   # p_partkey % 59 = 5: no family
 UNPRICED_MOD = 41            # p_partkey % 41 = 0: no retail price
-SUPPLIER_FACTOR = "0.4"      # supplier price = retail price x 0.4
+SUPPLIER_FACTOR = "0.4123456789"  # supplier price = retail price x this: 12 decimals
 STORE_MOD = 10               # store = l_suppkey % 10
-ORPHAN_STORE, ORPHAN_SUPP_REM = 99, 3  # unknown products of supplier rem 3 go to store 99
-RETURN_FLAG = "R"            # returned lines: outbound x 2 in movements, the sales rows
-NO_SALES_STORE, NO_SALES_YEAR = 7, 1999
-CENTS = T.DecimalType(12, 2)  # prices of the mapping are whole cents
+# movements of every 97th product at supplier remainder 3 belong to store 99, which has no sales
+ODD_PRODUCT_MOD, ODD_STORE, ODD_SUPP_REM = 97, 99, 3
+RETURN_FLAG = "R"            # returned lines: outbound x 2 in movements
+CENTS = T.DecimalType(12, 2)  # retail prices of the mapping are whole cents
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,7 +35,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def adapt_products(part: DataFrame) -> DataFrame:
     key = F.col("p_partkey")
     retail = F.col("p_retailprice").cast(CENTS)
-    return part.filter(key % PRODUCT_DROP_MOD != 0).select(
+    return part.select(
         key.cast("long").alias("ProductId"),
         F.when(key % NULL_ROOT_MOD == 0, F.lit(None))
         .otherwise(F.floor(key / ROOT_WIDTH).cast("long"))
@@ -45,7 +44,7 @@ def adapt_products(part: DataFrame) -> DataFrame:
         .otherwise(F.col("p_type"))
         .alias("Family"),
         F.when(key % UNPRICED_MOD == 0, F.lit(None)).otherwise(retail).alias("RetailPrice"),
-        (retail * F.lit(SUPPLIER_FACTOR).cast("decimal(2,1)")).cast(CENTS).alias("SupplierPrice"),
+        (retail * F.lit(SUPPLIER_FACTOR).cast("decimal(11,10)")).alias("SupplierPrice"),
     )
 
 
@@ -54,8 +53,8 @@ def adapt_movements(lineitem: DataFrame) -> DataFrame:
     qty = F.col("l_quantity").cast("long")
     return lineitem.select(
         F.when(
-            (F.col("l_partkey") % PRODUCT_DROP_MOD == 0) & (store == ORPHAN_SUPP_REM),
-            F.lit(ORPHAN_STORE).cast("long"),
+            (F.col("l_partkey") % ODD_PRODUCT_MOD == 0) & (store == ODD_SUPP_REM),
+            F.lit(ODD_STORE).cast("long"),
         )
         .otherwise(store)
         .alias("StoreId"),
@@ -67,13 +66,10 @@ def adapt_movements(lineitem: DataFrame) -> DataFrame:
 
 def adapt_sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     store = F.col("l_suppkey") % STORE_MOD
-    lines = lineitem.filter(F.col("l_returnflag") == RETURN_FLAG).select(
-        "l_orderkey", "l_suppkey", "l_partkey", "l_quantity"
-    )
+    lines = lineitem.select("l_orderkey", "l_suppkey", "l_partkey", "l_quantity")
     heads = orders.select("o_orderkey", "o_orderdate")
     return (
         lines.join(heads, lines.l_orderkey == heads.o_orderkey)
-        .filter(~((store == NO_SALES_STORE) & (F.year("o_orderdate") == NO_SALES_YEAR)))
         .select(
             store.alias("StoreId"),
             F.col("l_partkey").alias("ProductId"),
@@ -86,8 +82,10 @@ def adapt_sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 def driver_tables(spark: SparkSession, sf_dir: str) -> RetailTables:
     """Retail view of ``sf_dir``'s part, lineitem and orders tables."""
     lineitem = _table(spark, sf_dir, "lineitem")
+    raw = adapt_products(_table(spark, sf_dir, "part"))
     return RetailTables(
-        S.conform(adapt_products(_table(spark, sf_dir, "part")), S.PRODUCTS),
+        S.conform(raw, S.PRODUCTS),
         S.conform(adapt_sales(lineitem, _table(spark, sf_dir, "orders")), S.SALES),
         S.conform(adapt_movements(lineitem), S.MOVEMENTS),
+        raw_products=raw,
     )

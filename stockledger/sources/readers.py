@@ -30,4 +30,6 @@ def read_movements(spark: SparkSession, path: str) -> DataFrame:
 
 def read_outputs(spark: SparkSession, out_dir: str, names=S.OUTPUTS) -> dict[str, DataFrame]:
     """Published outputs of a job run, keyed by output name."""
-    return {n: spark.read.parquet(os.path.join(out_dir, f"{n}.parquet")) for n in names}
+    frames = {n: spark.read.parquet(os.path.join(out_dir, f"{n}.parquet")) for n in names}
+    # the year that daily_stock is partitioned by is not one of its columns
+    return {n: df.select(*S.OUTPUT_SCHEMAS[n].names) for n, df in frames.items()}

@@ -12,6 +12,13 @@ def output_path(out_dir: str, name: str) -> str:
     return os.path.join(out_dir, f"{name}.parquet")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists in its file system; any other failure is raised."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(file.getFileSystem(conf).exists(file))
+
+
 def write_output(
     df: DataFrame, out_dir: str, name: str, partition_by: list[str] | None = None
 ) -> str:

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.joins import fits_broadcast, maybe_broadcast
+from ..operators.joins import fits_broadcast
 from .readers import read_movements, read_products, read_sales
 
 
@@ -15,6 +15,8 @@ class RetailTables:
     products: DataFrame
     sales: DataFrame
     movements: DataFrame
+    #: The master as stored, before its prices were cast; the contract compares both.
+    raw_products: DataFrame | None = None
     _fits: bool | None = field(default=None, repr=False)
 
     @property
@@ -31,10 +33,6 @@ class RetailTables:
             self._fits = fits_broadcast(self.products)
         return self._fits
 
-    def dim(self, df: DataFrame) -> DataFrame:
-        """A frame derived from the master, broadcast-hinted when the master fits."""
-        return maybe_broadcast(df, self.products_fit_broadcast())
-
     @classmethod
     def from_parquet(
         cls, spark: SparkSession, products: str, sales: str, movements: str
@@ -43,4 +41,5 @@ class RetailTables:
             read_products(spark, products),
             read_sales(spark, sales),
             read_movements(spark, movements),
+            raw_products=spark.read.parquet(products),
         )

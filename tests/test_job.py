@@ -2,6 +2,9 @@
 
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import SF001
 from stockledger.config import ADAPTER_PERIOD, scratch_path
 from stockledger.plans.catalog import queries
@@ -9,6 +12,7 @@ from stockledger.plans.job import published, run_checks, run_job
 from stockledger.schema import OUTPUT_SCHEMAS, OUTPUTS
 from stockledger.sources.adapter import driver_tables
 from stockledger.sources.readers import read_outputs
+from stockledger.sources.tables import RetailTables
 
 
 def test_job_writes_every_output(spark):
@@ -17,12 +21,12 @@ def test_job_writes_every_output(spark):
     assert set(res.outputs) == set(OUTPUTS)
     outs = read_outputs(spark, out)
     for name, df in outs.items():
-        got = [(f.name, f.dataType) for f in df.schema.fields if f.name != "Anio" or name != "daily_stock"]
+        got = [(f.name, f.dataType) for f in df.schema.fields]
         want = [(f.name, f.dataType) for f in OUTPUT_SCHEMAS[name].fields]
         assert got == want, name
     assert outs["interval_stock"].count() == 954
-    assert outs["daily_stock"].count() == 38996
-    assert sorted(r.Anio for r in outs["daily_stock"].select("Anio").distinct().collect()) == [1999, 2000]
+    assert outs["daily_stock"].count() == 38817
+    assert sorted(r.Anio for r in published(spark, out, "daily_stock").select("Anio").distinct().collect()) == [1999, 2000]
     q = queries()
     for name in ("store_benefits", "family_rotation", "family_benefits_v2"):
         a, b = published(spark, out, name), q[name](spark, SF001)
@@ -82,7 +86,31 @@ def test_job_without_daily_table_and_known_products_only(spark):
     assert "daily_stock" not in res.outputs
     assert not os.path.exists(os.path.join(out, "daily_stock.parquet"))
     stores = {r.StoreId for r in published(spark, out, "store_benefits").collect()}
-    assert 99 not in stores  # store 99 has movements of unknown products only (S15)
+    assert 99 in stores  # its products are known
     checks = {r.check: r.n_violations for r in run_checks(t, out, ADAPTER_PERIOD).collect()}
     assert "daily_expansion" not in checks and "storeid_rotation" not in checks
     assert checks["interval_balance"] == 0 and checks["storeid_benefit"] == 0
+
+
+def test_stale_days_and_broken_inputs_are_refused(spark):
+    t = driver_tables(spark, SF001)
+    out = scratch_path(spark, "stale")
+    run_job(t, out, ADAPTER_PERIOD)
+    with pytest.raises(ValueError, match="earlier run"):
+        run_job(t, out, ADAPTER_PERIOD, daily=False)
+    twice = RetailTables(t.products.union(t.products.limit(1)), t.sales, t.movements)
+    with pytest.raises(ValueError, match="unique_product_id"):
+        run_job(twice, scratch_path(spark, "refused"), ADAPTER_PERIOD)
+    undated = RetailTables(t.products, t.sales, t.movements.withColumn("Date", F.when(F.col("Quantity") > 49, F.lit(None)).otherwise(F.col("Date"))))
+    with pytest.raises(ValueError, match="movements_date_not_null"):
+        run_job(undated, scratch_path(spark, "refused"), ADAPTER_PERIOD)
+    assert run_job(undated, scratch_path(spark, "allowed"), ADAPTER_PERIOD, daily=False, allow_violations=True).outputs
+
+
+def test_unreadable_daily_table_is_an_error(spark, tmp_path):
+    t = driver_tables(spark, SF001)
+    run_job(t, str(tmp_path), ADAPTER_PERIOD, daily=False)
+    (tmp_path / "daily_stock.parquet").mkdir()
+    (tmp_path / "daily_stock.parquet" / "part-0.parquet").write_bytes(b"not a table")
+    with pytest.raises(Exception, match="(?i)parquet|footer|schema"):
+        run_checks(t, str(tmp_path), ADAPTER_PERIOD).collect()

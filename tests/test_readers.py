@@ -17,7 +17,7 @@ from stockledger.sources.tables import RetailTables
 def retail_dir(spark):
     d = scratch_path(spark, "retail-inputs")
     spark.createDataFrame(
-        [(1, 10, "A", 10.5, 4.123456), (2, 10, "A", None, 0.1), (3, None, "B", 7.0, None)],
+        [(1, 10, "A", 10.5, 4.1234567891), (2, 10, "A", None, 0.1), (3, None, "B", 7.0, None)],
         "ProductId int, ProductRootCode int, Family string, RetailPrice double, SupplierPrice double",
     ).write.parquet(os.path.join(d, "products.parquet"))
     spark.createDataFrame(
@@ -37,10 +37,10 @@ def test_declared_types(spark, retail_dir):
     m = read_movements(spark, os.path.join(retail_dir, "stock_movements.parquet"))
     assert dict(p.dtypes) == {
         "ProductId": "bigint", "ProductRootCode": "bigint", "Family": "string",
-        "RetailPrice": "decimal(18,6)", "SupplierPrice": "decimal(18,6)",
+        "RetailPrice": "decimal(25,15)", "SupplierPrice": "decimal(25,15)",
     }
     assert dict(m.dtypes)["Date"] == "date" and dict(m.dtypes)["Quantity"] == "bigint"
-    assert p.filter("ProductId = 1").first().SupplierPrice == Decimal("4.123456")
+    assert p.filter("ProductId = 1").first().SupplierPrice == Decimal("4.1234567891")
 
 
 def test_missing_column_is_reported(spark):
@@ -58,7 +58,7 @@ def test_costs_keep_fractional_prices(spark, retail_dir):
     )
     m = kpi.Measures.build(t.sales, t.movements, t.products, P)
     cost = {(r.StoreId, r.Anio): r.TotalCostos for r in kpi.inbound_cost(m, STORE).collect()}
-    assert cost[(1, 2019)] == Decimal("12.370368")  # 3 x 4.123456; the 2018 row is not in a year
+    assert cost[(1, 2019)] == Decimal("12.3703703673")  # 3 x 4.1234567891; the 2018 row is not in a year
     ben = {(r.StoreId, r.Anio): r.Beneficio for r in kpi.benefit(m, STORE).collect()}
     assert ben[(1, 2019)] == pytest.approx(2 * 10.5 - 12.370368)
     assert ben[(1, 2020)] == pytest.approx(7.0)  # product 3 priced, no supplier price: no cost
