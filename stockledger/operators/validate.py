@@ -138,38 +138,55 @@ def daily_violations(intervals: DataFrame, daily: DataFrame) -> DataFrame:
     )
 
 
-def check_daily_expansion(intervals: DataFrame, daily: DataFrame) -> DataFrame:
-    """V3: every interval has DATEDIFF + 1 daily rows of its stock, and no day is stray.
+def _day_masks(intervals: DataFrame, daily: DataFrame) -> DataFrame:
+    """Per (key, month, stock): days and rows the daily table holds, and the days its intervals imply.
 
-    n_checked counts intervals. A violation is an interval whose matching
-    day count is off, a daily row inside no interval or with another stock,
-    or each extra copy of a repeated row. Counting groups rows by (key,
-    attached start), which the merged stream's key partitioning already
-    satisfies: no join, no extra shuffle.
+    A month's days are the bits of one number. Daily rows are OR-ed and counted
+    map-side, so the shuffle moves about one row per key, month and stock
+    instead of one per day; an interval gives one row per month it touches.
     """
-    rows = _attach_days(intervals, daily)
-    is_day = F.col("_kind") == 1
-    good = _good_day()
-    per = rows.groupBy(*KEY, "StartDate").agg(
-        F.sum(F.when(~is_day, 1).otherwise(0)).alias("_nint"),
-        F.sum(F.when(good, 1).otherwise(0)).alias("_good"),
-        F.sum(
-            F.when(good, F.col("_copies") - 1).when(is_day, F.col("_copies")).otherwise(0)
-        ).alias("_stray"),
-        F.max("EndDate").alias("_end"),
+    month = F.explode(F.sequence(F.trunc("StartDate", "month"), F.trunc("EndDate", "month"), F.expr("interval 1 month")))
+    touched = intervals.select(*KEY, "Stock", "StartDate", "EndDate", month.alias("Month"))
+    first = F.day(F.greatest("StartDate", "Month"))
+    last = F.day(F.least("EndDate", F.last_day("Month")))
+    one = F.lit(1).cast("long")
+    implied = F.call_function("shiftleft", one, last + 1) - F.call_function("shiftleft", one, first)
+    iv = touched.select(
+        *KEY, "Month", "Stock", implied.alias("implied"), F.struct("StartDate", implied.alias("mask")).alias("interval"),
+        F.lit(0).cast("long").alias("days"), F.lit(0).cast("long").alias("rows"),
     )
-    wrong = (F.col("_nint") > 0) & (
-        F.col("_good") != F.datediff("_end", "StartDate") + 1
+    held = daily.select(
+        *KEY, F.trunc("Date", "month").alias("Month"), "Stock", F.lit(0).cast("long").alias("implied"),
+        F.lit(None).cast(iv.schema["interval"].dataType).alias("interval"),
+        F.coalesce(F.call_function("shiftleft", one, F.day("Date")), F.lit(0)).alias("days"), one.alias("rows"),
     )
-    return per.agg(
-        F.lit("daily_expansion").alias("check"),
-        F.coalesce(F.sum("_nint"), F.lit(0)).cast("long").alias("n_checked"),
-        F.coalesce(F.sum(F.when(wrong, 1).otherwise(0) + F.col("_stray")), F.lit(0))
-        .cast("long")
-        .alias("n_violations"),
+    return iv.unionByName(held).groupBy(*KEY, "Month", "Stock").agg(
+        F.bit_or("days").alias("days"), F.sum("rows").alias("rows"), F.bit_or("implied").alias("implied"),
+        F.collect_list("interval").alias("intervals"),  # at most one for each day of the month
     )
 
 
+def check_daily_expansion(intervals: DataFrame, daily: DataFrame) -> DataFrame:
+    """V3: every interval has DATEDIFF + 1 daily rows of its stock, and no day is stray.
+
+    n_checked counts intervals. A violation is an interval that lacks a day, a
+    daily row inside no interval or with another stock, or each extra copy of a
+    repeated row.
+    """
+    masks = _day_masks(intervals, daily)
+    stray = F.bit_count(F.col("days").bitwiseAND(F.bitwise_not("implied"))) + F.col("rows") - F.bit_count("days")
+    lacking = F.filter("intervals", lambda i: i["mask"].bitwiseAND(F.bitwise_not(F.col("days"))) != 0)
+    per = masks.select(*KEY, stray.alias("all"), F.posexplode_outer(F.transform(lacking, lambda i: i["StartDate"])).alias("pos", "StartDate"))
+    # a month's strays are counted once, though several of its intervals may lack days
+    once = F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("all")).otherwise(0)
+    per = per.groupBy(*KEY, "StartDate").agg(F.sum(once).alias("stray"))
+    bad = per.agg(F.sum("stray").alias("s"), F.count("StartDate").alias("lacking"))
+    total = intervals.agg(F.count(F.lit(1)).alias("n_checked"))
+    return total.select("n_checked", F.lit(0).cast("long").alias("n")).unionByName(
+        bad.select(F.lit(0).cast("long").alias("n_checked"), (F.coalesce("s", F.lit(0)) + F.col("lacking")).cast("long").alias("n"))
+    ).agg(F.lit("daily_expansion").alias("check"), F.sum("n_checked").alias("n_checked"), F.sum("n").alias("n_violations"))
+
+
 # ---------------------------------------------------------------- KPIs
 
 def _close(a, b):

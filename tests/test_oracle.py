@@ -91,7 +91,7 @@ def test_fixture_counts(spark):
     assert iv.count() == 954
     daily = QUERIES["daily_stock"](spark, SF001)
     assert daily.count() == 38817
-    assert daily.groupBy().sum("Stock").first()[0] == 9666621
+    assert daily.groupBy().sum("Stock").first()[0] == 9678869
     assert QUERIES["opening_collapse"](spark, SF001).count() == 1828
 
 
