@@ -11,10 +11,16 @@ on ``branching`` tokens, deeper nodes on two. Two classes of similarity s meet
 in no child of any root with probability (1 - s) ** (trees * branching); the
 number of trees follows from the ``recall`` asked for at the threshold.
 
+* Before full sets are read, the members of a group are compared by how many
+  minwise tokens they share: a pair at the threshold shares fewer than the
+  count asked for with probability ``miss``. Members without a partner leave,
+  and the others fall into smaller groups.
 * Small nodes (at most ``leaf`` classes and ``leaf_shingles`` shingles) are
   compared exhaustively inside one task, on full sets, by one matrix product
-  of their incidence; nodes with the same members are compared once.
-* A larger node is cut into chunks of that size by a hash. Each chunk is
+  of their incidence; groups with the same members are compared once. A node
+  of up to ``blocks`` times that size is cut into that many chunks by a hash,
+  and every two chunks are compared as one group.
+* A larger node is cut into such chunks too, and each chunk is
   compared exhaustively together with a few pivots that all chunks of the node
   see; then the pivots leave. Classes found connected carry one label. A child
   node whose members all carry one label can teach nothing and ends; so a
@@ -110,22 +116,27 @@ def signatures(docs: DataFrame, words: int, coordinates: int) -> DataFrame:
 
 def class_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """cls and its whole set, for the rows of ``docs`` in ``wanted(id, cls)``; one row a class."""
-    near = docs.join(maybe_broadcast(wanted.select("id").distinct(), fits_broadcast(wanted)), "id", "left_semi").select("id", "text")
+    named = docs.select("id", "text").join(maybe_broadcast(wanted.select("id", "cls"), fits_broadcast(wanted)), "id").select("cls", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(words)
         with np.errstate(over="ignore"):
             for batch in batches:
-                for _, _, data, bounds in text_steps(batch.column(1)):
-                    sets = [v for v in shingler.sets(data, bounds) if len(v)]
+                for lo, _, data, bounds in text_steps(batch.column(1)):
+                    names, sets = [], []
+                    for i, values in enumerate(shingler.sets(data, bounds)):
+                        name = batch.column(0)[lo + i].as_py()
+                        if len(values) and set_key(values) == name:  # not another text of the same id
+                            names.append(name)
+                            sets.append(values)
                     ends = np.cumsum([0, *map(len, sets)])
                     flat = np.concatenate(sets) if sets else np.zeros(0, U64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([set_key(v) for v in sets], pa.binary()), lists(flat.view(np.int64), ends)], names=["cls", "shingles"]
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), lists(flat.view(np.int64), ends)], names=["cls", "shingles"])
 
-    found = near.mapInArrow(run, "cls binary, shingles array<long>")
-    return found.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+    found = written(named.mapInArrow(run, "cls binary, shingles array<long>"), "sets")
+    if rows_of(found) > rows_of(wanted):  # rows that repeat an id and its text
+        found = written(found.dropDuplicates(["cls"]), "distinct-sets")
+    return found
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -138,6 +149,28 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+def least_shared(coordinates: int, similarity: float, miss: float) -> int:
+    """Largest count of common minwise tokens that a pair of that similarity misses with probability ``miss`` at most."""
+    below = 0.0
+    for n in range(coordinates + 1):
+        below += math.comb(coordinates, n) * similarity**n * (1 - similarity) ** (coordinates - n)
+        if below > miss:
+            return n
+    return coordinates
+
+
+def _roots(link: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Each member's root under the relation ``link``: its component's member of least ``first``."""
+    order = np.argsort(first, kind="stable")
+    label = np.argsort(order)
+    np.fill_diagonal(link, True)
+    while True:
+        least = np.where(link, label[None, :], len(label)).min(axis=1)
+        if (least == label).all():
+            return order[label]
+        label = least
+
+
 def stars(sets: list[np.ndarray], first: np.ndarray, percent: int) -> np.ndarray:
     """Each member's root: the component's member of least ``first``, over all pairs that are linked."""
     n = len(sets)
@@ -164,14 +197,63 @@ def stars(sets: list[np.ndarray], first: np.ndarray, percent: int) -> np.ndarray
             common += block @ block.T
         common = common.astype(np.int64)
         link = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
-    label = np.argsort(np.argsort(first, kind="stable"))
-    np.fill_diagonal(link, True)
-    while True:
-        least = np.where(link, label[None, :], n).min(axis=1)
-        if (least == label).all():
-            break
-        label = least
-    return np.argsort(first, kind="stable")[label]
+    return _roots(link, first)
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[bool], list[np.ndarray]]]:
+    """(group, names, pivot flags, value arrays) of each run of rows (grp, cls, pivot, values) with one group."""
+    group, names, pivot, held = None, [], [], []
+    for batch in batches:
+        groups, cls, pivots = (batch.column(i).to_pylist() for i in range(3))
+        values = batch.column(3)
+        flat, ends = values.flatten().to_numpy(zero_copy_only=False).view(U64), np.cumsum([0, *values.value_lengths().to_pylist()])
+        for i in range(batch.num_rows):
+            if groups[i] != group:
+                if len(names) > 1:
+                    yield group, names, pivot, held
+                group, names, pivot, held = groups[i], [], [], []
+            names.append(cls[i])
+            pivot.append(pivots[i])
+            held.append(flat[ends[i]: ends[i + 1]])
+    if len(names) > 1:
+        yield group, names, pivot, held
+
+
+def _batches(rows: Iterator[tuple], kinds: dict[str, pa.DataType], size: int = 4096) -> Iterator[pa.RecordBatch]:
+    out = []
+
+    def made() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds.values())], names=list(kinds))
+
+    for row in rows:
+        out.append(row)
+        if len(out) >= size:
+            yield made()
+            out = []
+    if out:
+        yield made()
+
+
+def promising(members: DataFrame, classes: DataFrame, shared: int) -> DataFrame:
+    """``members(grp, cls, pivot)`` that share ``shared`` minwise tokens with another of their group, in groups so connected."""
+    rows = members.join(classes.select("cls", "tokens"), "cls").select("grp", "cls", "pivot", "tokens").repartition("grp").sortWithinPartitions("grp")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple]:
+            for group, names, pivot, tokens in _grouped(batches):
+                token = np.stack(tokens)
+                same = np.zeros((len(names), len(names)), np.int32)
+                for j in range(token.shape[1]):
+                    same += token[:, j, None] == token[None, :, j]
+                root = _roots(same >= shared, np.arange(len(names)))
+                size = np.bincount(root, minlength=len(names))
+                for i, r in enumerate(root):
+                    if size[r] > 1:
+                        yield group, int(r), names[i], pivot[i]
+
+        yield from _batches(found(), {"grp": pa.int64(), "part": pa.int32(), "cls": pa.binary(), "pivot": pa.bool_()})
+
+    return rows.mapInArrow(run, "grp long, part int, cls binary, pivot boolean")
 
 
 def compare(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -183,42 +265,28 @@ def compare(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = members.join(sets, "cls").select("grp", "cls", "pivot", "shingles").repartition("grp").sortWithinPartitions("grp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, names, pivot, held, out = None, [], [], [], []
-
-        def judge() -> None:
-            if len(names) > 1:
+        def found() -> Iterator[tuple]:
+            for group, names, pivot, sets_ in _grouped(batches):
                 order = sorted(range(len(names)), key=lambda i: (not pivot[i], names[i]))
                 first = np.empty(len(names), np.int64)
                 first[order] = np.arange(len(names))
-                root = stars(held, first, percent)
+                root = stars([np.sort(x) for x in sets_], first, percent)
                 joined = np.bincount(root, minlength=len(names)) > 1
-                out.extend((group, names[i], names[r]) for i, r in enumerate(root) if joined[r])
-
-        def made() -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names=["grp", "cls", "root"])
-
-        for batch in batches:
-            groups, cls, pivots = (batch.column(i).to_pylist() for i in range(3))
-            shingles = batch.column(3)
-            flat, ends = shingles.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *shingles.value_lengths().to_pylist()])
-            for i in range(batch.num_rows):
-                if groups[i] != group:
-                    judge()
-                    group, names, pivot, held = groups[i], [], [], []
-                names.append(cls[i])
-                pivot.append(pivots[i])
-                held.append(np.sort(flat[ends[i]: ends[i + 1]]))
-            if out:
-                yield made()
-                out = []
-        judge()
-        if out:
-            yield made()
+                for i, r in enumerate(root):
+                    if joined[r]:
+                        yield group, names[i], names[r]
+
+        yield from _batches(found(), {"grp": pa.int64(), "cls": pa.binary(), "root": pa.binary()})
 
     return rows.mapInArrow(run, "grp long, cls binary, root binary")
 
 
+def _distinct_groups(groups: DataFrame) -> DataFrame:
+    """``groups(grp, cls)`` with every set of members once."""
+    members = groups.groupBy("grp").agg(F.sort_array(F.collect_list("cls")).alias("members")).select("members").dropDuplicates(["members"])
+    return members.select(F.xxhash64("members").alias("grp"), F.explode("members").alias("cls"), F.lit(False).alias("pivot"))
+
+
 def _branch(nodes: DataFrame, tokens: DataFrame, level: int, choices: int, coordinates: int) -> DataFrame:
     """Children of ``nodes(node, cls, size, label)``: the path decides which ``choices`` tokens it branches on."""
     picks = F.array(*(F.struct(F.lit(i).alias("i"), F.pmod(F.xxhash64("node", F.lit(level), F.lit(i)), F.lit(coordinates)).cast("int").alias("c")) for i in range(choices)))
@@ -229,14 +297,17 @@ def _branch(nodes: DataFrame, tokens: DataFrame, level: int, choices: int, coord
     )
 
 
-def _sized(nodes: DataFrame, leaf: int, leaf_shingles: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """(arrays of the members of small nodes, larger nodes with ``chunks``) among nodes of two labels at least."""
+def _sized(nodes: DataFrame, leaf: int, leaf_shingles: int, blocks: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """(groups of nodes that are compared exhaustively, larger nodes with ``chunks``) among nodes of two labels at least."""
     sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("all"), F.min("label").alias("a"), F.max("label").alias("z"))
     chunks = F.ceil(F.greatest(F.col("n") / F.lit(leaf), F.col("all") / F.lit(leaf_shingles))).cast("long")
     sizes = sizes.where("n > 1 and a <> z").select("node", chunks.alias("chunks"))
     live = written(nodes.join(sizes, "node"), name)
-    leaves = live.where("chunks = 1").groupBy("node").agg(F.sort_array(F.collect_list("cls")).alias("members")).select("members")
-    return leaves, live.where("chunks > 1")
+    chunk = F.pmod(F.xxhash64("cls"), "chunks")
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda o: (o != chunk) | (F.col("chunks") == 1))
+    small = live.where(F.col("chunks") <= blocks).select("node", "cls", chunk.alias("chunk"), F.explode(others).alias("other"))
+    groups = small.select(F.xxhash64("node", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("grp"), "cls")
+    return _distinct_groups(groups), live.where(F.col("chunks") > blocks)
 
 
 def _pivots(nodes: DataFrame, pivots: int, level: int) -> DataFrame:
@@ -248,7 +319,7 @@ def _pivots(nodes: DataFrame, pivots: int, level: int) -> DataFrame:
 
 def resolve(
     docs: DataFrame, *, words: int = 3, percent: int = 85, recall: float = 0.9999, branching: int = 2, coordinates: int = 32,
-    leaf: int = 512, leaf_shingles: int = 2_000_000, depth: int = 6, pivots: int = 32, id_col: str = "doc_id", text_col: str = "text",
+    miss: float = 1e-6, leaf: int = 512, leaf_shingles: int = 2_000_000, blocks: int = 16, depth: int = 6, pivots: int = 32, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Per row: id, version (hash of the text), n_shingles, root (its component; null if the set is empty) and component_id."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -264,10 +335,16 @@ def resolve(
     roots = classes.select("cls", "size", "tokens", F.explode(chosen).alias("p")).select(
         F.xxhash64("p.t", "p.c", F.element_at("tokens", F.col("p.c") + 1)).alias("node"), "cls", "size", F.col("cls").alias("label")
     )
-    leaves, large = _sized(roots, leaf, leaf_shingles, "nodes")
-    wanted = leaves.select(F.explode("members").alias("cls")).union(large.select("cls")).distinct()
+    leaves, large = _sized(roots, leaf, leaf_shingles, blocks, "nodes")
+    shared = least_shared(coordinates, percent / 100, miss)
+
+    def split(members: DataFrame) -> DataFrame:
+        return promising(members, classes, shared).select(F.xxhash64("grp", "part").alias("grp"), "cls", "pivot")
+
+    leaves = written(_distinct_groups(split(leaves)), "leaves")
+    wanted = leaves.select("cls").union(large.select("cls")).distinct()
     wanted = written(classes.select("id", "cls").join(wanted, "cls"), "wanted")
-    sets = written(class_sets(rows, wanted, words), "sets")
+    sets = class_sets(rows, wanted, words)
 
     every, links, level = leaves, [], 0
     while rows_of(large):
@@ -280,18 +357,20 @@ def resolve(
         shown = seen.where("is_pivot").select("node", "cls", every_chunk.alias("chunk")).select(
             F.xxhash64("node", "chunk").alias("grp"), "node", "cls", F.lit(True).alias("pivot")
         )
-        found = written(compare(members.union(shown).select("grp", "cls", "pivot"), sets, percent), "chunk-links")
+        parts = promising(members.union(shown).select("grp", "cls", "pivot"), classes, shared)
+        parts = written(parts.select("grp", F.xxhash64("grp", "part").alias("part"), "cls", "pivot"), "chunk-parts")
+        found = compare(parts.select(F.col("part").alias("grp"), "cls", "pivot"), sets, percent)
+        found = written(found.withColumnRenamed("grp", "part").join(parts.select("part", "grp").distinct(), "part").select("grp", "cls", "root"), "chunk-links")
         links.append(found.select(F.col("cls").alias("u"), F.col("root").alias("v")))
         to = found.join(members.select("grp", "node", "cls"), ["grp", "cls"]).select("node", "cls", F.col("root").alias("to"))
         # of classes connected before, one may now hang on another root: the label stays a class they are connected with
         rest = seen.where("is_pivot is null").join(to, ["node", "cls"], "left").select("node", "cls", "size", F.coalesce("to", "label").alias("label"))
         if level < depth:
             rest = _branch(rest, classes, level, 2, coordinates)
-        leaves, large = _sized(rest, leaf, leaf_shingles, "nodes")
-        every = every.union(leaves)
+        leaves, large = _sized(rest, leaf, leaf_shingles, blocks, "nodes")
+        every = every.union(split(leaves))
 
-    groups = every.dropDuplicates(["members"]).select(F.xxhash64("members").alias("grp"), F.explode("members").alias("cls"), F.lit(False).alias("pivot"))
-    found = compare(groups, sets, percent).select(F.col("cls").alias("u"), F.col("root").alias("v"))
+    found = compare(every, sets, percent).select(F.col("cls").alias("u"), F.col("root").alias("v"))
     for more in links:
         found = found.union(more)
     member = components(found)

@@ -24,7 +24,7 @@ def case():
     return [*texts, None, "", " \t", "a", "A", "a b", "a b c", "é", "É", base, "z " * 20_000, "z " * 300, None]
 
 
-@pytest.mark.parametrize("how", [{}, {"leaf": 16, "pivots": 4, "depth": 2}, {"leaf_shingles": 2000}])
+@pytest.mark.parametrize("how", [{}, {"leaf": 16, "pivots": 4, "depth": 2, "blocks": 1}, {"leaf_shingles": 2000}, {"leaf": 8}])
 def test_components_against_brute_force(spark, how):
     texts = case()
     got = {r["doc_id"]: r for r in near_duplicates(documents(spark, texts), **how).collect()}
