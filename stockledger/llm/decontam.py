@@ -2,7 +2,9 @@
 
 1. Test items become windows of ``window`` consecutive words (an item of fewer
    words is one window); equal windows of several items are one.
-2. The corpus frequency of every test term is counted over all documents. A
+2. Every text is cut into words once and stored as its terms in order (32-bit
+   hashes; the last step compares words, so a collision costs work, not truth).
+   The corpus frequency of every test term is counted over all documents. A
    window with a term the corpus lacks cannot occur. Of each other window, the
    ``rarest`` terms are its probes.
 3. The training postings of the probe terms are stored: a list of positions
@@ -32,7 +34,6 @@ from stockledger.llm.common import ascii_lower, written
 from stockledger.operators.joins import broadcast_limit, fits_broadcast, maybe_broadcast
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
@@ -40,17 +41,18 @@ def words(text: Column) -> Column:
 
 
 def test_windows(items: DataFrame, window: int, item_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(win, terms) of distinct windows, and (win, item) of the items that hold them."""
+    """(win, terms, hashes) of distinct windows, and (win, item) of the items that hold them."""
     worded = items.where(F.col(text_col).isNotNull()).select(F.col(item_col).alias("item"), words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
     start = F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0))))
     cut = worded.select("item", "w", start.alias("s")).select("item", F.slice("w", F.col("s") + 1, F.lit(window)).alias("terms"))
     cut = written(cut.withColumn("win", F.md5(F.array_join("terms", " "))), "windows")
-    return cut.select("win", "terms").dropDuplicates(["win"]), cut.select("win", "item").distinct()
+    distinct = cut.select("win", "terms", F.transform("terms", lambda w: F.hash(w)).alias("hashes")).dropDuplicates(["win"])
+    return distinct, cut.select("win", "item").distinct()
 
 
 def probes(windows: DataFrame, frequency: DataFrame, rarest: int) -> DataFrame:
     """(win, rank, off, term): the rarest terms of each window whose terms all occur in the corpus."""
-    term = windows.select("win", F.size("terms").alias("n"), F.posexplode("terms").alias("off", "term")).join(frequency, "term")
+    term = windows.select("win", F.size("terms").alias("n"), F.posexplode("hashes").alias("off", "term")).join(frequency, "term")
     by_win = Window.partitionBy("win")
     return (
         term.withColumn("held", F.count(F.lit(1)).over(by_win)).where("held = n")
@@ -59,27 +61,37 @@ def probes(windows: DataFrame, frequency: DataFrame, rarest: int) -> DataFrame:
     )
 
 
+def stored_terms(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, version, terms): each text's term hashes in order; a null text has a null version and no terms."""
+    text = F.col(text_col)
+    terms = F.transform(words(text), lambda w: F.hash(w))
+    return written(
+        docs.select(F.col(id_col).alias("id"), F.when(text.isNotNull(), F.xxhash64(text)).alias("version"), F.coalesce(terms, F.array().cast("array<int>")).alias("terms")),
+        "terms",
+    )
+
+
 def matches(
     docs: DataFrame, items: DataFrame, *, window: int = 13, rarest: int = 3, slop: int = 0,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-) -> tuple[DataFrame, DataFrame]:
-    """(id, version, win, start, length, kind) of all matches, and (win, item).
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, version, win, start, length, kind) of all matches, (win, item), and the stored terms.
 
     ``kind`` is ``phrase`` (the window's words, in place) or, with ``slop`` over 0,
     ``proximity`` (its rarest terms in place but for shifts of up to ``slop`` words).
     """
-    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
+    stored = stored_terms(docs, id_col, text_col)
     wins, holders = test_windows(items, window, item_col, item_text_col)
-    vocabulary = wins.select(F.explode("terms").alias("term")).distinct()
+    vocabulary = wins.select(F.explode("hashes").alias("term")).distinct()
     vocabulary = maybe_broadcast(vocabulary, fits_broadcast(vocabulary))
     frequency = written(
-        rows.select(F.explode(words(F.col("text"))).alias("term")).join(vocabulary, "term").groupBy("term").agg(F.count(F.lit(1)).alias("freq")), "frequency"
+        stored.select(F.explode("terms").alias("term")).join(vocabulary, "term").groupBy("term").agg(F.count(F.lit(1)).alias("freq")), "frequency"
     )
     probe = written(probes(wins, frequency, rarest), "probes")
     small = fits_broadcast(probe)
     probed = maybe_broadcast(probe.select("term").distinct(), small)
     postings = written(
-        rows.select("id", "version", F.posexplode(words(F.col("text"))).alias("pos", "term")).join(probed, "term")
+        stored.select("id", "version", F.posexplode("terms").alias("pos", "term")).join(probed, "term")
         .groupBy("term", "id", "version").agg(F.collect_list("pos").alias("positions")),
         "postings",
     )
@@ -103,6 +115,7 @@ def matches(
     found = written(found.drop("probes").distinct(), "candidates")
 
     ids = found.select("id").distinct()
+    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
     text = rows.join(maybe_broadcast(ids, fits_broadcast(ids)), "id", "left_semi").select("id", "version", words(F.col("text")).alias("w")).dropDuplicates(["id", "version"])
     full = found.join(maybe_broadcast(wins, _windows_fit(wins)), "win")
     phrase = (F.col("start") >= 0) & (F.slice("w", F.greatest(F.col("start"), F.lit(0)) + 1, F.size("terms")) == F.col("terms"))
@@ -111,7 +124,7 @@ def matches(
     )
     if slop == 0:
         judged = judged.where("kind = 'phrase'")
-    return written(judged, "matches"), holders
+    return written(judged, "matches"), holders, stored
 
 
 def _windows_fit(wins: DataFrame) -> bool:
@@ -128,7 +141,7 @@ def contamination(
     A word is hit if it lies in a phrase match; a document is contaminated if
     one in ``share`` of its words is hit.
     """
-    found, holders = matches(
+    found, holders, stored = matches(
         docs, items, window=window, rarest=rarest, id_col=id_col, text_col=text_col, item_col=item_col, item_text_col=item_text_col
     )
     ordered = Window.partitionBy("id", "version").orderBy("start", "length")
@@ -146,11 +159,7 @@ def contamination(
     )
     hit = written(hits.join(held, ["id", "version"], "left"), "hits")
     hit = maybe_broadcast(hit, fits_broadcast(hit))
-    text = F.col(text_col)
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.when(text.isNotNull(), F.xxhash64(text)).alias("version"),
-        F.coalesce(F.regexp_count(text, F.lit(_WORD_ANY_CASE)), F.lit(0)).cast("long").alias("n_words"),
-    )
+    rows = stored.select("id", "version", F.size("terms").cast("long").alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return rows.join(hit, ["id", "version"], "left").select(
         F.col("id").alias(id_col), "version", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),

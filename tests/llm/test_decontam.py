@@ -52,7 +52,7 @@ def test_proximity_matches(spark):
     words = test[0][1].split()
     texts = [" ".join(words), " ".join([*words[:5], "oh", *words[5:]]), " ".join(words[::-1]), "alpha nu xi"]
     docs = documents(spark, texts)
-    found, _ = matches(docs, items(spark, test), slop=2)
+    found, _, _ = matches(docs, items(spark, test), slop=2)
     kinds = {}
     for r in found.collect():
         kinds.setdefault(r["id"], set()).add(r["kind"])
