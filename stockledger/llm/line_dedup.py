@@ -34,36 +34,42 @@ from pyspark.sql import functions as F
 from stockledger.llm.common import written
 from stockledger.operators.joins import broadcast_limit, fits_broadcast, maybe_broadcast
 
-_SPACE = r"[ \t\x0b\f\r]+"
+_ODD = ("  ", "\t", "\x0b", "\f", "\r")
 
 
-def _words(line: Column) -> Column:
-    """Words of a line; an array without empty strings."""
-    return F.filter(F.split(line, _SPACE), lambda w: w != "")
+def _spaced(line: Column) -> Column:
+    """The words of a line with one space between them; most lines already are so and cost a few byte scans."""
+    odd = F.lit(False)
+    for s in _ODD:
+        odd = odd | F.contains(line, F.lit(s))
+    return F.trim(F.when(odd, F.regexp_replace(line, r"[ \t\x0b\f\r]+", " ")).otherwise(line))
 
 
-def _half_keys(words: Column, n: Column) -> Column:
+def _key(line: Column) -> list[Column]:
+    """The 128-bit name of a class of equal lines."""
+    return [F.xxhash64(line).alias("k1"), F.xxhash64(F.lit(1), line).alias("k2")]
+
+
+def _half_keys(line: Column, n: Column) -> Column:
     """Hashes of both halves as cut for partners of the same or more words, and of fewer."""
     def cut(m: Column) -> tuple[Column, Column]:
         half = F.floor(m / 2).cast("int")
         return (
-            F.xxhash64(m, F.lit("first"), F.slice(words, F.lit(1), half)),
-            F.xxhash64(m, F.lit("second"), F.slice(words, n - (m - half) + 1, m - half)),
+            F.xxhash64(m, F.lit("first"), F.call_function("substring_index", line, F.lit(" "), half)),
+            F.xxhash64(m, F.lit("second"), F.call_function("substring_index", line, F.lit(" "), half - m)),
         )
 
     return F.array(*cut(n), *cut(n - 1))
 
 
 def line_places(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """id, version (of the text), line number, the line's class (k1, k2), its length and half keys."""
+    """id, version (of the text), line number, the line's class (k1, k2) and its half keys."""
     lines = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.posexplode(F.split(text_col, "\n")).alias("line", "text")
     )
-    worded = lines.withColumn("words", _words(F.col("text"))).withColumn("n", F.size("words")).where(F.col("n") >= min_words)
-    return worded.select(
-        "id", "version", "line", F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2"), "n",
-        _half_keys(F.col("words"), F.col("n")).alias("halves"),
-    )
+    spaced = lines.withColumn("s", _spaced(F.col("text")))
+    worded = spaced.withColumn("n", F.octet_length("s") - F.octet_length(F.replace("s", F.lit(" "))) + 1).where(F.col("n") >= min_words)
+    return worded.select("id", "version", "line", *_key(F.col("s")), _half_keys(F.col("s"), F.col("n")).alias("halves"))
 
 
 def _wanted_words(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -74,14 +80,14 @@ def _wanted_words(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str
         docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         .join(ids, "id", "left_semi")
         .select("id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-        .withColumn("words", _words(F.col("text")))
-        .select(F.struct("id", "line").alias("place"), F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2"), "words")
+        .withColumn("s", _spaced(F.col("text")))
+        .select(F.struct("id", "line").alias("place"), *_key(F.col("s")), F.split("s", " ").alias("words"))
     )
     return lines.join(wanted, ["k1", "k2", "place"]).dropDuplicates(["k1", "k2"])
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """One row for each line and word: the keys of the line without that word, and of the whole line."""
+    """One row for each line and word: the keys of the line without that word, with and without its place, and of the whole line."""
     def h(word: str, place: Column, salt: int) -> Column:  # 44 bits, so that sums never overflow
         return F.shiftright(F.xxhash64(F.lit(salt), F.col(word), place), 20)
 
@@ -96,21 +102,31 @@ def _variants(lines: DataFrame) -> DataFrame:
             .withColumn(f"d{s}", F.coalesce(F.sum(f"h{s}").over(before), F.lit(0)) + F.sum(f"g{s}").over(line) - F.sum(f"g{s}").over(upto))
             .withColumn(f"s{s}", F.col(f"t{s}") - F.col(f"h{s}"))
         )
-    return here.select("k1", "k2", "place", "n", "i", "t1", "t2", "d1", "d2", "s1", "s2")
+
+
+    def key(name: str, *of) -> list[Column]:
+        return [F.xxhash64(*of).alias(f"{name}1"), F.xxhash64(F.lit(1), *of).alias(f"{name}2")]
+
+    return here.select(
+        "k1", "k2", "place", "i", *key("sub", "s1", "s2", "n", "i"), *key("cut", "d1", "d2", F.col("n") - 1),
+        F.when(F.col("i") == 0, F.struct(*key("w", "t1", "t2", "n"))).alias("whole"),
+    )
 
 
 def alike_earlier(lines: DataFrame) -> DataFrame:
     """Classes (k1, k2) of ``lines(k1, k2, place, words)`` with an earlier line one edit away."""
     variant = written(_variants(lines), "variants")
     # substitution: the same line once word i is taken out; only the earliest holder of a key matters
-    key = ["s1", "s2", "n", "i"]
-    first = variant.groupBy(*key).agg(F.min(F.struct("place", "k1", "k2")).alias("e"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    same = variant.join(first, key).where(F.col("e.place") < F.col("place")).select(
+    key = ["sub1", "sub2"]
+    first = variant.groupBy(*key).agg(F.min(F.struct("place", "k1", "k2")).alias("e"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+    same = variant.select("k1", "k2", "place", *key).join(first, key).where(F.col("e.place") < F.col("place")).select(
         "k1", "k2", F.col("e.k1").alias("o1"), F.col("e.k2").alias("o2"), F.lit(-1).alias("i")
     )
     # insertion or deletion: a line without word i is another whole line
-    whole = variant.where("i = 0").select(F.col("t1").alias("d1"), F.col("t2").alias("d2"), (F.col("n") + 1).alias("n"), F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("place").alias("b_place"))
-    pair = variant.join(whole, ["d1", "d2", "n"])
+    whole = variant.where("i = 0").select(
+        F.col("whole.w1").alias("cut1"), F.col("whole.w2").alias("cut2"), F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("place").alias("b_place")
+    )
+    pair = variant.select("k1", "k2", "place", "i", "cut1", "cut2").join(whole, ["cut1", "cut2"])
     longer_later = F.col("b_place") < F.col("place")
     pair = pair.select(
         F.when(longer_later, F.col("k1")).otherwise(F.col("b1")).alias("k1"), F.when(longer_later, F.col("k2")).otherwise(F.col("b2")).alias("k2"),
@@ -138,9 +154,10 @@ def removed_lines(docs: DataFrame, min_words: int, id_col: str, text_col: str) -
         places.groupBy("k1", "k2").agg(F.min(F.struct("id", "line")).alias("place"), F.first("halves").alias("halves"), F.count(F.lit(1)).alias("c")),
         "line-classes",
     )
-    half = classes.select("k1", "k2", "place", F.explode("halves").alias("half"))
+    half = classes.select("k1", F.explode("halves").alias("half"))
     shared = half.groupBy("half").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("half")
-    wanted = written(half.join(shared, "half", "left_semi").select("k1", "k2", "place").distinct(), "wanted")
+    sharing = half.join(shared, "half", "left_semi").select("k1").distinct()
+    wanted = written(classes.select("k1", "k2", "place").join(sharing, "k1", "left_semi"), "wanted")
     lines = written(_wanted_words(docs, wanted, id_col, text_col), "wanted-lines")
     fuzzy = alike_earlier(lines).withColumn("fuzzy", F.lit(True))
     gone = classes.join(fuzzy, ["k1", "k2"], "left").where("c > 1 or fuzzy").select("k1", "k2", "place", F.coalesce("fuzzy", F.lit(False)).alias("fuzzy"))
