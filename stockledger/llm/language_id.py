@@ -115,6 +115,13 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     return centroids
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in slices, so that a task never holds a whole batch as Python strings."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, _STEP):
+            yield batch.slice(lo, _STEP)
+
+
 @dataclass
 class Model:
     bits: int
@@ -210,9 +217,9 @@ def identify(
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, scores = model.predict(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names), pa.array(scores)], names=["id", "lang_pred", "score"])
+        for part in _parts(batches):
+            names, scores = model.predict(part.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names), pa.array(scores)], names=["id", "lang_pred", "score"])
 
     predicted = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double")
     return predicted.select(
@@ -230,8 +237,8 @@ def keep_identified(docs: DataFrame, *, min_cosine: float = 0.15, text_col: str
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, scores = model.predict(batch.column(at).to_pylist())
-            yield batch.filter(pa.array([n != UNKNOWN and s >= min_cosine for n, s in zip(names, scores, strict=True)]))
+        for part in _parts(batches):
+            names, scores = model.predict(part.column(at).to_pylist())
+            yield part.filter(pa.array([n != UNKNOWN and s >= min_cosine for n, s in zip(names, scores, strict=True)]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +29,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockledger.llm.common import written
-from stockledger.llm.token_counts import tokenizer_path
+from stockledger.llm.token_counts import byte_symbols, tokenizer_path
 
 #: Words, and ids of words, that one Python worker remembers.
-REMEMBERED, REMEMBERED_IDS = 400_000, 4_000_000
+REMEMBERED, REMEMBERED_IDS = 250_000, 2_500_000
+
+
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 class WordEncoder:
     """Ids of whole texts from ids of their words.
 
     The tokenizer drops white space and never joins text across it, so a
-    text's ids are those of its words in order. Each word is encoded by the
-    tokenizers library once and then taken from the worker's memory.
+    text's ids are those of its words in order; the library encodes each word
+    once, and the worker remembers it. A text of Latin-1 characters without
+    ``<|`` (no special token can be hidden in it) is lower-cased first, as the
+    normaliser does next, so that words repeat more often. A word of lower-case
+    Latin-1 letters, also before one comma or full stop, is one pre-token (or
+    two) as it stands and goes to the library's model directly; any other word
+    takes the library's whole path.
     """
 
     def __init__(self, path: str):
@@ -47,47 +61,67 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.symbols = byte_symbols()
+        self.stops = {s: self.tokenizer.encode(s, add_special_tokens=False).ids for s in ",."}
         self.forget()
 
     def forget(self) -> None:
-        self.slot, self.ids, self.first = {"": 0}, [np.zeros(0, np.int64)], [np.zeros(2, np.int64)]
+        self.slot, self.ids, self.first = {"": 0}, np.zeros(0, np.int32), np.zeros(2, np.int64)
+
+    def word(self, word: str) -> list[int]:
+        core, stop = (word[:-1], word[-1]) if word[-1] in self.stops else (word, None)
+        if core.isalpha() and core.islower() and _latin(core):
+            spelled = core if core.isascii() else "".join([self.symbols[b] for b in core.encode()])
+            ids = [t.id for t in self.model.tokenize(spelled)]
+            return ids + self.stops[stop] if stop else ids
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def learn(self, words: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        n, end = len(self.slot), int(self.first[-1][-1])
+        encoded = [self.word(w) for w in words]
+        n, end = len(self.slot), int(self.first[-1])
         self.slot.update(zip(words, range(n, n + len(words)), strict=True))
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        self.first.append(end + np.cumsum(lengths))
-        self.ids.append(np.fromiter((i for e in encoded for i in e), np.int64, int(lengths.sum())))
+        self.first = np.concatenate([self.first, end + np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded)))])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(encoded), np.int32)])
+
+    def words(self, text: str) -> list[str]:
+        if "<|" not in text and _latin(text):
+            text = text.lower()
+        return text.replace("\n", " ").split(" ")
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order."""
-        step: list[list[str]] = []
-        size = 0
+        step, size = [], 0
         for text in texts:
-            step.append(text.replace("\n", " ").split(" "))
+            step.append(text)
             size += len(text)
             if size >= 1 << 20:
                 yield from self._step(step)
                 step, size = [], 0
         yield from self._step(step)
 
-    def _step(self, step: list[list[str]]) -> Iterator[np.ndarray]:
-        if len(self.slot) > REMEMBERED or self.first[-1][-1] > REMEMBERED_IDS:
+    def _step(self, texts: list[str]) -> Iterator[np.ndarray]:
+        if len(self.slot) > REMEMBERED or self.first[-1] > REMEMBERED_IDS:
             self.forget()
-        slot = self.slot
-        new = list({w for words in step for w in words if w not in slot})
-        for i in range(0, len(new), 20_000):
-            self.learn(new[i: i + 20_000])
-        first, ids = np.concatenate(self.first), np.concatenate(self.ids)
-        self.first, self.ids = [first], [ids]
-        for words in step:
-            at = np.fromiter(map(slot.__getitem__, words), np.int64, len(words))
-            begin = first[at]
-            lengths = first[at + 1] - begin
-            total = int(lengths.sum())
-            ends = np.cumsum(lengths)
-            yield ids[np.repeat(begin - (ends - lengths), lengths) + np.arange(total)]
+        words: list[str] = []
+        ends = [0]
+        for text in texts:
+            words += self.words(text)
+            ends.append(len(words))
+        at = list(map(self.slot.get, words))
+        missing = [i for i, a in enumerate(at) if a is None]
+        if missing:
+            self.learn(list({words[i] for i in missing}))
+            for i in missing:
+                at[i] = self.slot[words[i]]
+        at = np.array(at, np.int64)
+        begin = self.first[at]
+        lengths = self.first[at + 1] - begin
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        flat = self.ids[np.repeat(begin - upto[:-1], lengths) + np.arange(upto[-1])]
+        cuts = upto[ends]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            yield flat[lo:hi]
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_col: str, text_col: str, keep_ids: bool) -> DataFrame:
