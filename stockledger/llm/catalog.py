@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import ann, chat, decontam, language_id, line_dedup, lm_scoring, near_dup, oracle, packing, substring_dedup, token_counts
+from stockledger.llm import ann, chat, decontam, language_id, line_dedup, lm_scoring, near_dup, oracle, packing, quality_rules, substring_dedup, token_counts
 from stockledger.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -70,6 +70,10 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents")).drop("reference", "char_distance", "word_distance")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -82,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm_scoring": op8_lm_scoring,
         "op9_line_dedup": op9_line_dedup,
         "op10_minhash_near_dup": op10_minhash_near_dup,
+        "op13_quality_rules": op13_quality_rules,
     }
 
 
@@ -90,4 +95,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_chat_format": oracle.OP2,
         "op4_decontamination": oracle.OP4,
         "op9_line_dedup": oracle.OP9,
+        "op13_quality_rules": oracle.OP13,
     }

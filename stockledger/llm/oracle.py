@@ -87,3 +87,63 @@ SELECT conv_id, count(*) AS n_turns,
        sum(length('<|im_start|>' || name || content || '<|im_end|>') + 2)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+#: The base counts of quality rules, then Jensen-Shannon distances from sums over each language's documents that pass them.
+OP13 = r"""
+WITH d AS (SELECT *, row_number() OVER () AS rid, coalesce(text, '') AS t FROM documents),
+ws AS (SELECT rid, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d)),
+sizes AS (SELECT rid, count(*) AS n_words, sum(length(w)) AS word_chars FROM ws GROUP BY rid),
+eights AS (
+  SELECT rid, i, string_agg(w, ' ') OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS e,
+         count(*) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS n FROM ws),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, e) AS k FROM eights WHERE n = 8) WHERE k > 1),
+repeated AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest(range(i, i + 8)) AS j FROM twice) GROUP BY rid),
+lines AS (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d),
+dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+base AS (
+  SELECT d.*, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN sizes USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN repeated r USING (rid)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base),
+chars AS (
+  SELECT rid, lang, base_failed, unnest([0, 1, 2, 3, 4, 5, 6]) AS k,
+         unnest([length(regexp_replace(t, '[^a-z]', '', 'g')), length(regexp_replace(t, '[^A-Z]', '', 'g')), length(regexp_replace(t, '[^0-9]', '', 'g')), n_symbols,
+                 length(regexp_replace(t, '[a-zA-Z0-9#*$%&|<>\x20\x09-\x0D]|[^\x00-\x7F]', '', 'g')), length(regexp_replace(t, '[^\x20\x09-\x0D]', '', 'g')),
+                 length(regexp_replace(t, '[\x00-\x7F]', '', 'g'))]) AS n FROM b),
+terms AS (
+  SELECT rid, lang, base_failed, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM b),
+counts AS (SELECT rid, lang, base_failed, w, count(*) AS n FROM terms GROUP BY ALL),
+n_terms AS (SELECT rid, sum(n) AS n FROM counts GROUP BY rid),
+totals AS (SELECT lang AS ref, sum(n) AS n FROM counts WHERE NOT base_failed AND lang IS NOT NULL GROUP BY lang),
+common AS (
+  SELECT ref, w, p FROM (SELECT lang AS ref, w, sum(c.n) / any_value(totals.n) AS p FROM counts c JOIN totals ON lang = ref WHERE NOT base_failed GROUP BY lang, w)
+  WHERE p >= 0.005),
+word_refs AS (SELECT ref, w, p FROM common UNION ALL SELECT ref, NULL, 1 - coalesce((SELECT sum(p) FROM common c WHERE c.ref = t.ref), 0) FROM totals t),
+char_refs AS (
+  SELECT ref, k, n / sum(n) OVER (PARTITION BY ref) AS p FROM (SELECT lang AS ref, k, sum(n) AS n FROM chars WHERE NOT base_failed AND lang IS NOT NULL GROUP BY ALL)
+  WHERE ref IN (SELECT ref FROM totals)),
+pairs AS (
+  SELECT rid, ref FROM b JOIN totals ON b.lang = ref
+  UNION ALL SELECT rid, ref FROM b, totals WHERE b.lang IS NULL OR b.lang NOT IN (SELECT ref FROM totals)),
+char_bins AS (SELECT p.rid, p.ref, r.p AS q, c.n FROM pairs p JOIN char_refs r USING (ref) JOIN chars c ON c.rid = p.rid AND c.k = r.k),
+seen AS (
+  SELECT p.rid, p.ref, r.w, r.p AS q, coalesce(c.n, 0) AS n FROM pairs p JOIN word_refs r USING (ref)
+  LEFT JOIN counts c ON c.rid = p.rid AND c.w = r.w WHERE r.w IS NOT NULL),
+rest AS (
+  SELECT p.rid, p.ref, r.p AS q, coalesce((SELECT n FROM n_terms t WHERE t.rid = p.rid), 0) - coalesce(s.n, 0) AS n
+  FROM pairs p JOIN word_refs r ON r.ref = p.ref AND r.w IS NULL LEFT JOIN (SELECT rid, ref, sum(n) AS n FROM seen GROUP BY ALL) s ON s.rid = p.rid AND s.ref = p.ref),
+bins AS (
+  SELECT 'c' AS kind, rid, ref, q, n FROM char_bins UNION ALL SELECT 'w', rid, ref, q, n FROM seen UNION ALL SELECT 'w', rid, ref, q, n FROM rest),
+shares AS (SELECT *, sum(n) OVER g AS size, n / greatest(sum(n) OVER g, 1) AS p, count(*) OVER g AS k FROM bins WINDOW g AS (PARTITION BY kind, rid, ref)),
+far AS (
+  SELECT kind, rid, ref, any_value(size) AS size,
+         sqrt(greatest(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)
+              - (any_value(k) - 1) / (8 * greatest(any_value(size), 1) * ln(2)), 0)) AS x
+  FROM shares GROUP BY kind, rid, ref),
+measured AS (SELECT c.rid, c.ref, c.x AS char, w.x AS word, c.size AS n_chars, w.size AS n_terms FROM far c JOIN far w ON c.rid = w.rid AND c.ref = w.ref AND c.kind = 'c' AND w.kind = 'w'),
+nearest AS (SELECT * FROM measured QUALIFY row_number() OVER (PARTITION BY rid ORDER BY char + word, ref) = 1)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (n.rid IS NULL OR ((n.n_chars < 200 OR char <= 0.25) AND (n.n_terms < 50 OR word <= 0.25))) AS kept
+FROM b LEFT JOIN nearest n USING (rid)
+"""
