@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import ann, chat, decontam, language_id, line_dedup, lm_scoring, near_dup, oracle, packing, quality_rules, substring_dedup, token_counts
+from stockledger.llm import ann, chat, decontam, language_id, line_dedup, lm_scoring, near_dup, oracle, packing, periodic_runs, quality_rules, substring_dedup, token_counts
 from stockledger.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -70,6 +72,29 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def planted_period(doc_id: int | None, n: int) -> np.ndarray | None:
+    """For every tenth document by the crc32 of its id: the words from one place on repeat with a period."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    order = np.arange(n)
+    order[a:] = a + (order[a:] - a) % (1 + (n - a) // (3 + g % 8))
+    return order
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.collapse_runs(table(spark, sf_dir, "documents"), min_length=6, min_exponent=4, rewrite=planted_period)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    best = found.withColumn("best", periodic_runs.strongest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents")).drop("reference", "char_distance", "word_distance")
 
@@ -86,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm_scoring": op8_lm_scoring,
         "op9_line_dedup": op9_line_dedup,
         "op10_minhash_near_dup": op10_minhash_near_dup,
+        "op11_periodic_runs": op11_periodic_runs,
         "op13_quality_rules": op13_quality_rules,
     }
 
