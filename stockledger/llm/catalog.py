@@ -9,8 +9,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import ann, chat, decontam, language_id, line_dedup, lm_scoring, near_dup, oracle, packing, periodic_runs, quality_rules, substring_dedup, token_counts
+from stockledger.llm import ann, chat, decontam, language_id, line_dedup, lm_scoring, near_dup, oracle, packing, periodic_runs, quality_rules, substring_dedup, token_counts, vector_codes
 from stockledger.llm.common import table
+from stockledger.operators.joins import fits_broadcast, maybe_broadcast
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -95,6 +96,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.Codebooks(parts=8, entries=16, rounds=6, scale=4096).fit(table(spark, sf_dir, "embeddings"), carry=["label"])
+    by_label = coded.rows.groupBy(F.col("label").alias("same")).agg(F.sum("error").alias("label_error"))
+    by_label = maybe_broadcast(by_label, fits_broadcast(by_label))
+    return coded.rows.join(by_label, F.col("label").eqNullSafe(F.col("same"))).select(
+        "vec_id", coded.code().alias("code"), "error", "label_error", F.lit(coded.sha256()).alias("codebooks_sha256")
+    )
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents")).drop("reference", "char_distance", "word_distance")
 
@@ -112,6 +122,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_line_dedup": op9_line_dedup,
         "op10_minhash_near_dup": op10_minhash_near_dup,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_vector_codes": op12_vector_codes,
         "op13_quality_rules": op13_quality_rules,
     }
 
@@ -121,5 +132,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_chat_format": oracle.OP2,
         "op4_decontamination": oracle.OP4,
         "op9_line_dedup": oracle.OP9,
+        "op12_vector_codes": oracle.op12(),
         "op13_quality_rules": oracle.OP13,
     }

@@ -22,10 +22,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage at a table that every executor can read, so a lost
     executor costs a re-read, not a recomputation.
     """
+    return written_at(df, name)[0]
+
+
+def written_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``written`` and the path, for a table that is to go again."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a table of ``written_at`` that nothing reads any more; without a JVM at hand (Spark Connect) it stays for the folder's clean-up."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        return
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -147,3 +147,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND (n.rid IS NULL OR ((n.n_chars < 200 OR char <= 0.25) AND (n.n_terms < 50 OR word <= 0.25))) AS kept
 FROM b LEFT JOIN nearest n USING (rid)
 """
+
+
+def op12(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """k-means of the parts by comparing every part with every entry, round by round."""
+    steps = [rf"""
+WITH kept AS (
+  SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS (
+  SELECT rid, vec_id, v, part, v[part * (len(v) // {parts}) + 1 : (part + 1) * (len(v) // {parts})] AS x
+  FROM kept, (SELECT unnest(range({parts})) AS part)),
+c0 AS (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id NULLS LAST, v) - 1 AS entry, x AS c FROM cut
+  QUALIFY row_number() OVER (PARTITION BY part ORDER BY vec_id NULLS LAST, v) <= {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+far{r} AS (
+  SELECT rid, part, x, entry, list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM cut JOIN c{r} USING (part)),
+a{r} AS MATERIALIZED (SELECT rid, part, x, d, entry FROM far{r} QUALIFY row_number() OVER (PARTITION BY rid, part ORDER BY d, entry) = 1)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} AS (SELECT part, entry, i, sum(y)::BIGINT AS s, count(*) AS n FROM (SELECT part, entry, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM a{r}) GROUP BY ALL),
+m{r} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM s{r} GROUP BY ALL),
+c{r + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.c, o.c) AS c FROM c{r} o LEFT JOIN m{r} m USING (part, entry))""")
+    steps.append(f"""
+coded AS (SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY rid),
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN coded USING (rid), books""")
+    return ",".join(steps[:-1]) + "," + steps[-1]
