@@ -14,6 +14,7 @@ import os
 from .config import ADAPTER_PERIOD, RETAIL_PERIOD, Period, build_session, size_shuffle_partitions
 from .plans.job import run_checks, run_job
 from .sources.adapter import driver_tables
+from .sources.published import prune_runs, verify_outputs
 from .sources.tables import RetailTables
 
 
@@ -49,6 +50,8 @@ def main(argv=None) -> None:
         help="store list from movements of known products only",
     )
     ap.add_argument("--skip-daily", action="store_true", help="do not write the daily table")
+    ap.add_argument("--versioned", action="store_true", help="publish all tables at once, as a set of their own")
+    ap.add_argument("--keep-sets", type=int, help="with --versioned: delete all published sets but this many afterwards")
     ap.add_argument("--validate", action="store_true", help="run the data-quality checks afterwards")
     ap.add_argument(
         "--skip-daily-check", action="store_true",
@@ -56,6 +59,8 @@ def main(argv=None) -> None:
     )
     ap.add_argument("--master", help="only for local runs; spark-submit sets it otherwise")
     args = ap.parse_args(argv)
+    if args.keep_sets is not None and (not args.versioned or args.keep_sets < 1):
+        ap.error("--keep-sets needs --versioned and at least 1")
 
     spark = build_session(args.master)
     if args.driver_tables:
@@ -77,6 +82,7 @@ def main(argv=None) -> None:
         root_fanout=not args.no_root_fanout,
         known_products_only=args.known_products_only,
         daily=not args.skip_daily,
+        versioned=args.versioned,
     )
     res.footprint(spark).orderBy("output").show(truncate=False)
     if args.validate:
@@ -88,6 +94,10 @@ def main(argv=None) -> None:
             check_daily=not args.skip_daily_check,
         )
         checks.show(truncate=False)
+        if args.versioned:
+            verify_outputs(spark, args.out).show(truncate=False)
+    if args.keep_sets is not None:
+        prune_runs(spark, args.out, args.keep_sets)
 
 
 if __name__ == "__main__":

@@ -29,17 +29,18 @@ def measured_bytes(df: DataFrame) -> int:
     slot per column, its longest strings, and a hash-table entry.
     """
     aggs = [F.count(F.lit(1)).alias("__n")]
-    fixed = 8  # null bitset word
     for i, f in enumerate(df.schema.fields):
-        fixed += 8
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             aggs.append(F.coalesce(F.max(F.octet_length(F.col(f.name))), F.lit(0)).alias(f"__l{i}"))
         elif not isinstance(f.dataType, (*_FIXED_WIDTH, T.DecimalType)):
             aggs.append(F.lit(1 << 20).alias(f"__l{i}"))  # nested: refuse cheaply
     row = df.agg(*aggs).first()
-    n = row["__n"]
-    var = sum(int(v) for k, v in row.asDict().items() if k != "__n")
-    return n * (fixed + var + 32)
+    return relation_bytes(row["__n"], len(df.columns), sum(int(v) for k, v in row.asDict().items() if k != "__n"))
+
+
+def relation_bytes(rows: int, columns: int, longest: int) -> int:
+    """Bytes of ``rows`` rows: null bits, a slot a column, the longest strings together, and a hash-table entry each."""
+    return rows * (8 + 8 * columns + longest + 32)
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Period
@@ -62,82 +62,6 @@ def check_interval_balance(intervals: DataFrame, rooted: DataFrame) -> DataFrame
     return _summary("interval_balance", _balances(intervals, rooted), _unbalanced())
 
 
-def _attach_days(intervals: DataFrame, daily: DataFrame) -> DataFrame:
-    """Intervals and distinct daily rows of a key in one date-ordered stream.
-
-    Daily rows are first collapsed to distinct (key, day, stock) with a copy
-    count -- a map-side partial aggregate, which needs no exchange when the
-    daily rows are already partitioned by key -- so even a table with many
-    duplicate rows gives each key's window at most one row per (day, stock).
-    Every row then carries the latest interval of its key starting on or
-    before it (an interval row carries itself): a merge of two sorted
-    streams per key, not a range join.
-    """
-    iv = intervals.select(
-        *KEY,
-        F.col("StartDate").alias("Date"),
-        F.lit(0).alias("_kind"),
-        F.lit(0).cast("long").alias("_copies"),
-        F.col("StartDate").alias("_start"),
-        F.col("EndDate").alias("_end"),
-        F.col("Stock").alias("_istock"),
-        F.lit(None).cast("long").alias("_dstock"),
-    )
-    dy = (
-        daily.groupBy(*KEY, "Date", "Stock")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .select(
-            *KEY,
-            "Date",
-            F.lit(1).alias("_kind"),
-            "_copies",
-            F.lit(None).cast("date").alias("_start"),
-            F.lit(None).cast("date").alias("_end"),
-            F.lit(None).cast("long").alias("_istock"),
-            F.col("Stock").alias("_dstock"),
-        )
-    )
-    w = (
-        Window.partitionBy(*KEY)
-        .orderBy("Date", "_kind")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return iv.unionByName(dy).select(
-        *KEY,
-        "Date",
-        "_kind",
-        "_copies",
-        "_dstock",
-        F.last("_start", ignorenulls=True).over(w).alias("StartDate"),
-        F.last("_end", ignorenulls=True).over(w).alias("EndDate"),
-        F.last("_istock", ignorenulls=True).over(w).alias("IntervalStock"),
-    )
-
-
-def _good_day():
-    return (
-        (F.col("_kind") == 1)
-        & F.col("StartDate").isNotNull()
-        & (F.col("Date") <= F.col("EndDate"))
-        & (F.col("_dstock") == F.col("IntervalStock"))
-    )
-
-
-def daily_violations(intervals: DataFrame, daily: DataFrame) -> DataFrame:
-    """Daily rows inside no interval of their key, with another stock, or repeated (V3)."""
-    rows = _attach_days(intervals, daily)
-    bad = (F.col("_kind") == 1) & (~_good_day() | (F.col("_copies") > 1))
-    return rows.filter(bad).select(
-        *KEY,
-        "Date",
-        F.col("_dstock").alias("Stock"),
-        F.col("_copies").alias("Copies"),
-        "StartDate",
-        "EndDate",
-        "IntervalStock",
-    )
-
-
 def _day_masks(intervals: DataFrame, daily: DataFrame) -> DataFrame:
     """Per (key, month, stock): days and rows the daily table holds, and the days its intervals imply.
 
@@ -187,12 +111,111 @@ def check_daily_expansion(intervals: DataFrame, daily: DataFrame) -> DataFrame:
     ).agg(F.lit("daily_expansion").alias("check"), F.sum("n_checked").alias("n_checked"), F.sum("n").alias("n_violations"))
 
 
+def _month_days(mask):
+    """The days of the month whose bits are set."""
+    one = F.lit(1).cast("long")
+    return F.filter(F.sequence(F.lit(1), F.lit(31)), lambda d: mask.bitwiseAND(F.call_function("shiftleft", one, d)) != 0)
+
+
+def _same_key(left: str, right: str, *more: str):
+    return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in (*KEY, *more)])
+
+
+def daily_violations(intervals: DataFrame, daily: DataFrame) -> DataFrame:
+    """The days behind V3: Problem, key, Date, Stock held, Stock expected and extra copies.
+
+    ``missing``: a day of an interval without any row. ``wrong_stock``: a row
+    whose day lies in an interval of another stock. ``stray``: a row whose day
+    lies in none. ``repeated``: a row that stands more than once, with the
+    number of extra copies; it may be wrong or stray as well. ``undated``: rows
+    without a date.
+
+    The day masks of a (key, month, stock) are decoded back into days, so only
+    offending days become rows; nothing is sorted or windowed day by day. The
+    daily table is read a second time for the months whose row count exceeds
+    their days, to tell which day repeats.
+    """
+    masks = _day_masks(intervals, daily)
+    # what a key's month expects (disjoint intervals: at most one entry a day) and holds, whatever the stock
+    planned = F.when(F.col("implied") != 0, F.struct("implied", "Stock"))
+    month = masks.groupBy(*KEY, "Month").agg(F.collect_list(planned).alias("plan"), F.bit_or("days").alias("held"))
+    both = masks.alias("g").join(month.alias("m"), _same_key("g", "m", "Month")).select("g.*", "plan", "held")
+
+    lacking = F.col("implied").bitwiseAND(F.bitwise_not("held"))
+    surplus = F.col("days").bitwiseAND(F.bitwise_not("implied"))
+    bit = lambda d: F.call_function("shiftleft", F.lit(1).cast("long"), d)
+    expected = lambda d: F.get(F.filter("plan", lambda p: p["implied"].bitwiseAND(bit(d)) != 0), F.lit(0))["Stock"]
+    nothing = F.lit(None).cast("long")
+    held = F.transform(
+        _month_days(surplus),
+        lambda d: F.struct(
+            F.when(expected(d).isNull(), "stray").otherwise("wrong_stock").alias("Problem"), d.alias("day"), F.col("Stock").alias("Stock"), expected(d).alias("Expected")
+        ),
+    )
+    absent = F.transform(
+        _month_days(lacking), lambda d: F.struct(F.lit("missing").alias("Problem"), d.alias("day"), nothing.alias("Stock"), F.col("Stock").alias("Expected"))
+    )
+    days = both.where((lacking != 0) | (surplus != 0)).select(*KEY, "Month", F.explode(F.concat(held, absent)).alias("v")).select(
+        "v.Problem", *KEY, F.expr("date_add(Month, v.day - 1)").alias("Date"), "v.Stock", "v.Expected", F.lit(0).cast("long").alias("Extra")
+    )
+
+    crowded = masks.where(F.col("rows") > F.bit_count("days")).select(*KEY, "Month", "Stock")
+    dated = daily.select(*KEY, "Date", "Stock", F.trunc("Date", "month").alias("Month"))
+    again = dated.alias("d").join(crowded.alias("c"), _same_key("d", "c", "Month", "Stock"), "left_semi")
+    counted = again.groupBy(*KEY, "Date", "Stock").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or Date is null")
+    repeated = counted.select(
+        F.when(F.col("Date").isNull(), "undated").otherwise("repeated").alias("Problem"), *KEY, "Date", "Stock", nothing.alias("Expected"),
+        (F.col("n") - F.when(F.col("Date").isNull(), 0).otherwise(1)).cast("long").alias("Extra"),
+    )
+    return days.unionByName(repeated)
+
+
 # ---------------------------------------------------------------- KPIs
 
 def _close(a, b):
     return F.abs(a - b) <= F.lit(TOLERANCE) * F.greatest(F.lit(1.0), F.abs(a), F.abs(b))
 
 
+def kpi_facts(
+    sales: DataFrame,
+    movements: DataFrame,
+    products: DataFrame,
+    period: Period,
+    *,
+    master_fits: bool | None = None,
+) -> DataFrame:
+    """Units, sales value and inbound cost per (store, year) and per (family, year), recomputed for V4-V7.
+
+    One grouping-sets aggregate of each fact table: ``Level`` names the entity
+    a row belongs to, ``Known`` whether its products are in the master (store
+    units count unknown products, family units do not). Computed another way
+    than the published figures: the price condition sits inside the sums
+    instead of in the join, with no flags, spine or left joins of measures. A
+    run writes this small table once and all four checks read it.
+    """
+    if master_fits is None:
+        master_fits = fits_broadcast(products)
+    master = maybe_broadcast(products.select("ProductId", FAMILY, "RetailPrice", "SupplierPrice", F.lit(True).alias("Known")), master_fits)
+    priced, none = F.col("RetailPrice").isNotNull(), F.lit(None).cast(MONEY)
+    known = F.coalesce("Known", F.lit(False))
+
+    def per_entity(facts: DataFrame, price: str, *measures) -> DataFrame:
+        rows = facts.join(master, "ProductId", "left").select(
+            STORE, FAMILY, known.alias("Known"), year_of("Date").alias(YEAR), F.col("Quantity").alias("Units"),
+            F.when(priced, worth("Quantity", price)).alias("Worth"),
+        )
+        sets = rows.groupingSets([["Known", STORE, YEAR], ["Known", FAMILY, YEAR]], "Known", STORE, FAMILY, YEAR)
+        return sets.agg(F.when(F.grouping(STORE) == 0, STORE).otherwise(FAMILY).alias("Level"), *measures)
+
+    sold = per_entity(sales.filter(in_years("Date", period)), "RetailPrice", F.sum("Units").alias("Units"), F.sum("Worth").cast(MONEY).alias("SalesValue"))
+    received = per_entity(movements.filter((F.col("Quantity") > 0) & in_years("Date", period)), "SupplierPrice", F.sum("Worth").cast(MONEY).alias("InboundCost"))
+    return sold.withColumn("InboundCost", none).unionByName(received.withColumns({"Units": F.lit(None).cast("long"), "SalesValue": none}))
+
+
+def _of_level(facts: DataFrame, level: str) -> DataFrame:
+    return facts.where(F.col("Level") == level) if "Level" in facts.columns else facts
+
+
 def benefit_facts(
     sales: DataFrame,
     movements: DataFrame,
@@ -237,7 +260,7 @@ def benefit_facts(
 
 
 def _benefits(published: DataFrame, facts: DataFrame, level: str) -> DataFrame:
-    re = facts.groupBy(level, YEAR).agg(
+    re = _of_level(facts, level).groupBy(level, YEAR).agg(
         F.sum("SalesValue").alias("_sv"), F.sum("InboundCost").alias("_ic")
     )
     return published.join(re, [level, YEAR], "left").select(
@@ -282,7 +305,10 @@ def _rotations(
     *,
     root_fanout: bool = True,
     master_fits: bool | None = None,
+    facts: DataFrame | None = None,
 ) -> DataFrame:
+    if master_fits is None:
+        master_fits = fits_broadcast(products)
     if level == STORE:
         sd = stock_days.groupBy(STORE, YEAR).agg(F.sum("StockDays").alias("_sd"))
     else:
@@ -292,15 +318,19 @@ def _rotations(
         fam = products.filter(F.col("ProductRootCode").isNotNull()).groupBy("ProductRootCode", FAMILY)
         fan = fam.count() if root_fanout else fam.agg(F.lit(1).cast("long").alias("count"))
         sd = (
-            per_root.join(fan, "ProductRootCode")
+            per_root.join(maybe_broadcast(fan, master_fits), "ProductRootCode")  # no larger than the master
             .groupBy(FAMILY, YEAR)
             .agg(F.sum(F.col("_rsd") * F.col("count")).alias("_sd"))
         )
-    s = sales.filter(in_years("Date", period))
-    if level == FAMILY:
-        s = s.join(maybe_broadcast(products.select("ProductId", FAMILY), fits_broadcast(products) if master_fits is None else master_fits), "ProductId")
-    us = s.groupBy(level, year_of("Date").alias(YEAR)).agg(F.sum("Quantity").alias("UnidadesVendidas"))
-    units = F.coalesce(F.col("UnidadesVendidas"), F.lit(0)).cast("double")
+    if facts is not None:
+        known = _of_level(facts, level)
+        us = (known if level == STORE else known.where("Known")).groupBy(level, YEAR).agg(F.sum("Units").alias("_units"))
+    else:
+        s = sales.filter(in_years("Date", period))
+        if level == FAMILY:
+            s = s.join(maybe_broadcast(products.select("ProductId", FAMILY), master_fits), "ProductId")
+        us = s.groupBy(level, year_of("Date").alias(YEAR)).agg(F.sum("Quantity").alias("_units"))
+    units = F.coalesce(F.col("_units"), F.lit(0)).cast("double")
     mean = F.coalesce(F.col("_sd"), F.lit(0)) / days_in_year(F.col(YEAR), period.days_per_year)
     re = (
         published.join(us, [level, YEAR], "left")
@@ -315,7 +345,8 @@ def check_rotation(published, sales, products, stock_days, level: str, period: P
 
     ``stock_days`` is :func:`daily_stock_days` of the exploded daily table,
     so mean stock is checked independently of the interval arithmetic used
-    to publish it.
+    to publish it. With ``facts`` (:func:`kpi_facts`) the units sold come from
+    that table and ``sales`` is not read.
     """
     rows = _rotations(published, sales, products, stock_days, level, period, **how)
     return _summary(f"{level.lower()}_rotation", rows, _off())
@@ -363,29 +394,41 @@ def check_price_digits(raw_products: DataFrame) -> DataFrame:
     return _summary("price_digits_kept", raw_products, _digits_lost(raw_products))
 
 
+def _broken(rules: dict[str, object]):
+    """The names of the rules that a row breaks."""
+    return F.filter(F.array(*(F.when(bad, F.lit(name)) for name, bad in rules.items())), lambda r: r.isNotNull())
+
+
 def contract_violations(
     products: DataFrame, sales: DataFrame, movements: DataFrame, *, raw_products: DataFrame | None = None, master_fits: bool | None = None
 ) -> DataFrame:
-    """The rows behind V8: rule, ProductId, StoreId and Date of each offending row."""
+    """The rows behind V8: rule, ProductId, StoreId and Date of each offending row.
+
+    Each table is read once: a row carries the list of the rules it breaks and
+    gives a row for each. The master's rules are counted per product id, and
+    the same counts say which movements' products are known.
+    """
     if master_fits is None:
         master_fits = fits_broadcast(products)
-
-    def rows(df: DataFrame, rule: str) -> DataFrame:
-        own = [c if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in (("ProductId", "long"), (STORE, "long"), ("Date", "date"))]
-        return df.select(F.lit(rule).alias("rule"), *own)
-
     raw = products if raw_products is None else raw_products
-    repeats = products.groupBy("ProductId").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1")
-    extra = repeats.select("ProductId", F.explode(F.sequence(F.lit(2).cast("long"), F.col("_c"))))
-    known = maybe_broadcast(products.select("ProductId").distinct(), master_fits)
-    parts = [
-        rows(extra, "unique_product_id"),
-        rows(products.filter(F.col("ProductRootCode").isNull()), "product_root_not_null"),
-        rows(raw.filter(_digits_lost(raw)).select(F.col("ProductId").cast("long").alias("ProductId")), "price_digits_kept"),
-        rows(movements.join(known, "ProductId", "left_anti"), "unknown_product_movements"),
-    ]
-    for name, df in (("movements", movements), ("sales", sales)):
-        parts += [rows(df.filter(F.col(c).isNull()), f"{name}_{c.lower()}_not_null") for c in ("Date", STORE, "ProductId", "Quantity")]
+    whole = lambda bad: F.sum(bad.cast("long"))
+    ids = raw.select(
+        F.col("ProductId").cast("long").alias("_id"), F.col("ProductRootCode").isNull().alias("_rootless"), _digits_lost(raw).alias("_lossy")
+    ).groupBy("_id").agg(F.count(F.lit(1)).alias("_c"), whole(F.col("_rootless")).alias("_r"), whole(F.col("_lossy")).alias("_l"))
+    times = lambda rule, n: F.array_repeat(F.lit(rule), n.cast("int"))
+    broken = F.concat(times("unique_product_id", F.col("_c") - 1), times("product_root_not_null", F.col("_r")), times("price_digits_kept", F.col("_l")))
+    parts = [ids.select(F.explode(broken).alias("rule"), F.col("_id").alias("ProductId"), F.lit(None).cast("long").alias(STORE), F.lit(None).cast("date").alias("Date"))]
+    # both uses of the counts must be one plan to share one exchange: every count is part of the
+    # test, and the join is null-safe, as a plain one would filter null ids on its side only
+    unknown = F.coalesce("_c", "_r", "_l").isNull() | F.col("ProductId").isNull()
+    rooted = movements.join(maybe_broadcast(ids, master_fits), F.col("ProductId").eqNullSafe(F.col("_id")), "left")
+    for name, df, more in (
+        ("movements", rooted, {"unknown_product_movements": unknown}),
+        ("sales", sales, {}),
+    ):
+        rules = {f"{name}_{c.lower()}_not_null": F.col(c).isNull() for c in ("Date", STORE, "ProductId", "Quantity")} | more
+        listed = df.select("ProductId", STORE, "Date", _broken(rules).alias("_rules")).where(F.size("_rules") > 0)
+        parts.append(listed.select(F.explode("_rules").alias("rule"), "ProductId", STORE, "Date"))
     return reduce(DataFrame.unionByName, parts)
 
 

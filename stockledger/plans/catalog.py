@@ -8,14 +8,19 @@ names key the DuckDB oracles in ``plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ADAPTER_PERIOD, Period, scratch_path
+from ..functions.fingerprint import fingerprint
 from ..operators import kpi, ledger, unpriced, validate
 from ..operators.kpi import FAMILY, STORE
+from ..schema import OUTPUTS
 from ..sources.adapter import driver_tables
+from ..sources.readers import read_outputs
+from ..sources.sinks import register_views
 from ..sources.tables import RetailTables
 from .job import run_job
 
@@ -105,6 +110,9 @@ class Plan:
         days = validate.daily_stock_days(self.daily(), self.period)
         return judge(published, self.sales, self.products, days, level, self.period, master_fits=self.fits)
 
+    def kpi_facts(self) -> DataFrame:
+        return validate.kpi_facts(self.sales, self.movements, self.products, self.period, master_fits=self.fits)
+
     def benefit_facts(self) -> DataFrame:
         return validate.benefit_facts(
             self.sales, self.movements, self.products, self.period, master_fits=self.fits
@@ -118,6 +126,52 @@ def footprint(p: Plan) -> DataFrame:
     return res.footprint(spark)
 
 
+def published_roundtrip(p: Plan) -> DataFrame:
+    """Every table of a published set as SQL reads it: rows, fingerprint, and whether the size report lists it (IO4-IO7).
+
+    The whole job publishes a set, which is read back through its manifest and
+    registered as views.
+    """
+    spark = p.products.sparkSession
+    out = scratch_path(spark, "published")
+    res = run_job(p.t, out, p.period, versioned=True)
+    register_views(read_outputs(spark, out))
+    sizes = res.footprint(spark).where("output IS NOT NULL").select("output", (F.col("bytes") > 0).alias("listed"))
+    seen = [fingerprint(spark.sql(f"SELECT * FROM {name}")).select(F.lit(name).alias("output"), "*") for name in OUTPUTS]
+    return reduce(DataFrame.unionByName, seen).join(F.broadcast(sizes), "output", "left").select(
+        "output", "rows", "fingerprint", F.coalesce("listed", F.lit(False)).alias("listed")
+    )
+
+
+def from_files(p: Plan) -> RetailTables:
+    """The retail tables written as files, with columns the readers must leave out and dates as timestamps, and read by the readers (IO1-IO3)."""
+    spark = p.products.sparkSession
+    folder = scratch_path(spark, "retail-files")
+    dated = lambda df: df.select(F.lit("x").alias("Note"), "Quantity", F.col("Date").cast("timestamp").alias("Date"), "ProductId", STORE)
+    frames = {"products": p.t.raw_products.withColumn("Note", F.lit("x")), "sales": dated(p.sales), "movements": dated(p.movements)}
+    paths = {}
+    for name, df in frames.items():
+        paths[name] = f"{folder}/{name}.parquet"
+        df.write.parquet(paths[name])
+    return RetailTables.from_parquet(spark, paths["products"], paths["sales"], paths["movements"])
+
+
+def inputs_roundtrip(p: Plan) -> DataFrame:
+    """Rows and fingerprint of each retail table as its reader gives it (IO1-IO3)."""
+    t = from_files(p)
+    tables = {"products": t.products, "sales": t.sales, "movements": t.movements}
+    return reduce(DataFrame.unionByName, [fingerprint(df).select(F.lit(name).alias("input"), "*") for name, df in tables.items()])
+
+
+def files_rotation(p: Plan) -> DataFrame:
+    """Store rotation of tables that the readers read from files."""
+    t = from_files(p)
+    fits = t.products_fit_broadcast()
+    measures = kpi.Measures.build(t.sales, t.movements, t.products, p.period, master_fits=fits)
+    intervals = ledger.interval_stock(ledger.stock_ledger(t.movements, t.products, p.period, master_fits=fits), p.period)
+    return kpi.rotation(measures, intervals, t.products, STORE)
+
+
 def _money(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in cols else c for c in df.columns])
 
@@ -227,10 +281,15 @@ def _queries() -> dict[str, Callable[[Plan], DataFrame]]:
         "positive_violations": lambda p: validate.positive_violations(p.emptied()),
         "check_interval_balance_damaged": lambda p: validate.check_interval_balance(p.shifted(), p.rooted()),
         "balance_violations": lambda p: validate.balance_violations(p.shifted(), p.rooted()),
+        "daily_violations": lambda p: validate.daily_violations(p.intervals(), p.damaged_days()),
         "check_daily_expansion_damaged": lambda p: validate.check_daily_expansion(p.intervals(), p.damaged_days()),
         **_kpi_checks(),
+        "kpi_facts": lambda p: _money(p.kpi_facts(), "SalesValue", "InboundCost"),
         # sinks: whole job, then the size of what it wrote (IO5, IO7); no oracle
         "output_footprint": footprint,
+        "published_roundtrip": published_roundtrip,
+        "inputs_roundtrip": inputs_roundtrip,
+        "files_store_rotation": files_rotation,
     }
 
 

@@ -18,6 +18,7 @@ DECIMAL sum, to give Spark's types.
 from __future__ import annotations
 
 from ..config import ADAPTER_PERIOD, Period
+from ..schema import MOVEMENTS, OUTPUT_SCHEMAS, PRODUCTS, SALES
 
 # The mapping of FIXTURES.md §4 onto the retail tables.
 TABLES = """
@@ -141,6 +142,33 @@ SELECT 'daily_expansion' AS "check", (SELECT COUNT(*) FROM intervals) AS n_check
    + (SELECT COUNT(*) - COUNT(DISTINCT (ProductRootCode, StoreId, Date)) FROM {days} x SEMI JOIN daily t USING (ProductRootCode, StoreId, Date, Stock)) AS BIGINT) AS n_violations"""
 
 
+def _bad_days(days: str) -> str:
+    key = "x.ProductRootCode = t.ProductRootCode AND x.StoreId = t.StoreId AND x.Date = t.Date"
+    none, zero = "CAST(NULL AS BIGINT)", "CAST(0 AS BIGINT) AS Extra"
+    return f"""
+SELECT 'missing' AS Problem, ProductRootCode, StoreId, Date, {none} AS Stock, Stock AS Expected, {zero} FROM daily t ANTI JOIN {days} x ON {key}
+UNION ALL SELECT 'wrong_stock', x.ProductRootCode, x.StoreId, x.Date, x.Stock, t.Stock, {zero} FROM (SELECT DISTINCT * FROM {days}) x JOIN daily t ON {key} WHERE x.Stock <> t.Stock
+UNION ALL SELECT 'stray', ProductRootCode, StoreId, Date, Stock, {none}, {zero} FROM (SELECT DISTINCT * FROM {days}) x ANTI JOIN daily t ON {key}
+UNION ALL SELECT 'repeated', ProductRootCode, StoreId, Date, Stock, {none}, COUNT(*) - 1 FROM {days} GROUP BY ALL HAVING COUNT(*) > 1"""
+
+
+def _print(table: str, columns: list[str], doubles: tuple[str, ...] = ()) -> str:
+    """Rows and fingerprint of a relation: the sum of the first 60 bits of md5 over every value's length and text."""
+    text = [
+        f"(FLOOR({c})::BIGINT)::VARCHAR || '+' || (FLOOR(({c} - FLOOR({c})) * 1000000 + 0.5)::BIGINT)::VARCHAR" if c in doubles else f"CAST({c} AS VARCHAR)" for c in columns
+    ]
+    row = " || ".join(f"COALESCE(LENGTH({t}) || ':' || {t}, '-')" for t in text)
+    return f"COUNT(*) AS rows, CAST(COALESCE(SUM(('0x' || SUBSTR(MD5({row}), 1, 15))::BIGINT), 0) AS VARCHAR) AS fingerprint FROM {table}"
+
+
+def _published(published: dict[str, str]) -> str:
+    """Rows and fingerprints of the eight published tables."""
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS output, *, TRUE AS listed FROM (SELECT {_print('(' + published[name] + ')', schema.names, tuple(n for n in schema.names if schema[n].dataType.typeName() == 'double'))})"
+        for name, schema in OUTPUT_SCHEMAS.items()
+    )
+
+
 def _finals(p: Period) -> dict[str, str]:
     first, last = int(min(p.years)), int(max(p.years))
     label = "CAST(Anio AS VARCHAR) || ' - ' || {0}"
@@ -179,6 +207,12 @@ FROM products WHERE RetailPrice IS NULL""",
         "check_positive_damaged": _count("positive_stock", "Stock <= 0", _EMPTIED),
         "check_interval_balance_damaged": _count("interval_balance", "true_stock IS DISTINCT FROM Stock", _AS_OF.format(_SHIFTED)),
         "check_daily_expansion_damaged": _days_check(_DAMAGED_DAYS),
+        "daily_violations": _bad_days(_DAMAGED_DAYS),
+        "kpi_facts": """SELECT known AS Known, StoreId, NULL AS Family, Anio, 'StoreId' AS Level, CAST(SUM(sold) AS BIGINT) AS Units,
+  CAST(SUM(revenue) AS DOUBLE) AS SalesValue, CAST(NULL AS DOUBLE) AS InboundCost FROM valued WHERE sold IS NOT NULL GROUP BY ALL
+UNION ALL SELECT known, NULL, Family, Anio, 'Family', CAST(SUM(sold) AS BIGINT), CAST(SUM(revenue) AS DOUBLE), NULL FROM valued WHERE sold IS NOT NULL GROUP BY ALL
+UNION ALL SELECT known, StoreId, NULL, Anio, 'StoreId', NULL, NULL, CAST(SUM(cost) FILTER (priced) AS DOUBLE) FROM valued WHERE received IS NOT NULL GROUP BY ALL
+UNION ALL SELECT known, NULL, Family, Anio, 'Family', NULL, NULL, CAST(SUM(cost) FILTER (priced) AS DOUBLE) FROM valued WHERE received IS NOT NULL GROUP BY ALL""",
         "positive_violations": f"FROM {_EMPTIED} WHERE Stock <= 0",
         "balance_violations": f"SELECT ProductRootCode, StoreId, StartDate AS AsOf, Stock, CAST(true_stock AS BIGINT) AS Balance FROM {_AS_OF.format(_SHIFTED)} WHERE true_stock IS DISTINCT FROM Stock",
         "contract_violations": "SELECT 'product_root_not_null' AS rule, ProductId, CAST(NULL AS BIGINT) AS StoreId, CAST(NULL AS DATE) AS Date FROM products WHERE ProductRootCode IS NULL"
@@ -216,6 +250,12 @@ FROM products WHERE RetailPrice IS NULL""",
                 f"check_{level}_{name}_damaged": _count(f"{check}_{name}", _FAR, judged),
                 f"{level}_{name}_violations": f"SELECT {entity}, Anio, published AS Published, recomputed AS Recomputed FROM {judged} WHERE {_FAR}",
             }
+    whole = {name: sql.removeprefix("FROM ") for name, sql in out.items() if sql in ("FROM intervals", "FROM daily")}
+    out["published_roundtrip"] = _published({name: f"SELECT * FROM {whole[name]}" if name in whole else out[name] for name in OUTPUT_SCHEMAS})
+    out["inputs_roundtrip"] = "\nUNION ALL ".join(
+        f"SELECT '{name}' AS input, {_print(name, schema.names)}" for name, schema in (("products", PRODUCTS), ("sales", SALES), ("movements", MOVEMENTS))
+    )
+    out["files_store_rotation"] = out["store_rotation"]
     return out
 
 

@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schema as S
+from .published import current_folder
 
 
 def _read(spark: SparkSession, path: str, struct) -> DataFrame:
@@ -29,7 +30,8 @@ def read_movements(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_outputs(spark: SparkSession, out_dir: str, names=S.OUTPUTS) -> dict[str, DataFrame]:
-    """Published outputs of a job run, keyed by output name."""
-    frames = {n: spark.read.parquet(os.path.join(out_dir, f"{n}.parquet")) for n in names}
+    """Published outputs of a job run, keyed by output name: of the current set, or of a flat folder."""
+    folder = current_folder(spark, out_dir)
+    frames = {n: spark.read.parquet(os.path.join(folder, f"{n}.parquet")) for n in names}
     # the year that daily_stock is partitioned by is not one of its columns
     return {n: df.select(*S.OUTPUT_SCHEMAS[n].names) for n, df in frames.items()}

@@ -12,11 +12,17 @@ def output_path(out_dir: str, name: str) -> str:
     return os.path.join(out_dir, f"{name}.parquet")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path exists in its file system; any other failure is raised."""
+def hadoop_fs(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop objects, for the few operations that are not table reads or writes."""
     jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
     file = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(file.getFileSystem(conf).exists(file))
+    return file.getFileSystem(conf), file
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists in its file system; any other failure is raised."""
+    fs, file = hadoop_fs(spark, path)
+    return bool(fs.exists(file))
 
 
 def write_output(
