@@ -48,6 +48,24 @@ def attach_root(
     )
 
 
+def net_by_product(movements: DataFrame, period: Period | None = None) -> DataFrame:
+    """Net quantity per (product, store, day), folded to the period like :func:`net_movements`.
+
+    For a master too large to broadcast: summed before the join, so the shuffle
+    on ProductId carries at most one row per product, store and day, however
+    many movements a hot product has.
+    """
+    return _folded(movements, period).groupBy("ProductId", "StoreId", "Date").agg(F.sum("Quantity").alias("Quantity"))
+
+
+def _folded(movements: DataFrame, period: Period | None) -> DataFrame:
+    """Dated movements; with a period, up to its closing day, those before the opening day moved onto it."""
+    m = movements.filter(F.col("Date").isNotNull())
+    if period is None:
+        return m
+    return m.filter(F.col("Date") <= F.lit(period.closing)).withColumn("Date", F.greatest(F.col("Date"), F.lit(period.opening)))
+
+
 def net_movements(rooted: DataFrame, period: Period | None = None) -> DataFrame:
     """Net quantity per (root, store, day) (A1; S3).
 
@@ -56,12 +74,7 @@ def net_movements(rooted: DataFrame, period: Period | None = None) -> DataFrame:
     the running balance on that day is the opening balance (S5). Null dates
     are left out here; the contract check counts them (S26).
     """
-    m = rooted.filter(F.col("Date").isNotNull())
-    if period is not None:
-        m = m.filter(F.col("Date") <= F.lit(period.closing)).withColumn(
-            "Date", F.greatest(F.col("Date"), F.lit(period.opening))
-        )
-    return m.groupBy(*KEY, "Date").agg(F.sum("Quantity").alias("Quantity"))
+    return _folded(rooted, period).groupBy(*KEY, "Date").agg(F.sum("Quantity").alias("Quantity"))
 
 
 def running_stock(net: DataFrame) -> DataFrame:
@@ -77,7 +90,15 @@ def stock_ledger(
     *,
     master_fits: bool | None = None,
 ) -> DataFrame:
-    """Balance on every ledger day of the period, opening day first (B1)."""
+    """Balance on every ledger day of the period, opening day first (B1).
+
+    Where the master does not fit a broadcast, movements are netted by product
+    before they are shuffled to it (sums of sums, equal in exact integers).
+    """
+    if master_fits is None:
+        master_fits = fits_broadcast(products)
+    if not master_fits:
+        movements = net_by_product(movements, period)
     rooted = attach_root(movements, products, master_fits=master_fits)
     return running_stock(net_movements(rooted, period)).select(*KEY, "Date", "Stock")
 
@@ -142,49 +163,36 @@ def stock_as_of(
     """Balance of each (root, store, as_of) point: sum of Quantity with Date <= as_of.
 
     Instead of a range join (which pairs every point with every earlier
-    movement of its key) the points are merged into the netted movement
-    stream and a running sum is read off at each point: one window per
-    key, bounded by its distinct movement days plus its points. A point
-    with no movement on or before its day gets a null balance, as SUM
-    over no rows does. ``carry`` columns of the points pass through.
+    movement of its key) the points are merged into the movement stream and a
+    running sum is read off at each. One aggregate with map-side sums nets the
+    movements of a day and merges equal points, which are repeated at the end:
+    the window of a key holds at most a row for each day of its history and
+    for each different point, however many movements it has and however often
+    it is asked. A point with no movement on or before its day, or without a
+    day, gets a null balance, as SUM over no rows does. ``carry`` columns of
+    the points pass through; points that differ in them are different.
     """
     carry = list(carry)
     types = dict(points.dtypes)
-    net = net_movements(rooted)
-    moves = net.select(
-        *KEY,
-        "Date",
-        "Quantity",
-        F.lit(0).alias("_pt"),
-        F.lit(None).cast("date").alias(as_of),
-        *[F.lit(None).cast(types[c]).alias(c) for c in carry],
-    )
-    pts = points.select(
-        *KEY,
-        F.col(as_of).alias("Date"),
-        F.lit(0).cast("long").alias("Quantity"),
-        F.lit(1).alias("_pt"),
-        F.col(as_of),
-        *carry,
+    own = [f"_c{i}" for i in range(len(carry))]
+    one, none = F.lit(1).cast("long"), F.lit(None).cast("long")
+    moves = rooted.filter(F.col("Date").isNotNull()).select(
+        *KEY, "Date", *(F.lit(None).cast(types[c]).alias(n) for c, n in zip(carry, own, strict=True)), "Quantity", F.lit(0).cast("long").alias("_asked")
     )
-    w = (
-        Window.partitionBy(*KEY)
-        .orderBy("Date", "_pt")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    asked = points.select(
+        *KEY, F.col(as_of).alias("Date"), *(F.col(c).alias(n) for c, n in zip(carry, own, strict=True)), none.alias("Quantity"), one.alias("_asked")
     )
-    return (
-        moves.unionByName(pts)
-        .select(
-            *KEY,
-            as_of,
-            *carry,
-            "_pt",
-            F.sum("Quantity").over(w).alias("_bal"),
-            F.sum(1 - F.col("_pt")).over(w).alias("_nmov"),
-        )
-        .filter(F.col("_pt") == 1)
-        .select(*KEY, as_of, *carry, F.when(F.col("_nmov") > 0, F.col("_bal")).alias("Balance"))
+    days = moves.unionByName(asked).groupBy(*KEY, "Date", *own).agg(
+        F.sum("Quantity").alias("_q"), F.count("Quantity").alias("_n"), F.sum("_asked").alias("_asked")
     )
+    # a range frame: everything of a day counts for every point of that day
+    w = _by_key().rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    read = days.select(*KEY, "Date", *own, "_asked", F.sum("_q").over(w).alias("_total"), F.sum("_n").over(w).alias("_seen")).filter("_asked > 0")
+    return read.select(
+        *KEY, F.col("Date").alias(as_of), *(F.col(n).alias(c) for c, n in zip(carry, own, strict=True)),
+        F.when(F.col("_seen") > 0, F.col("_total")).alias("Balance"),
+        F.explode(F.array_repeat(F.lit(1), F.col("_asked").cast("int"))).alias("_copy"),
+    ).drop("_copy")
 
 
 def interval_band(intervals: DataFrame, low: int, high: int, k: int = 3) -> DataFrame:

@@ -79,9 +79,10 @@ def _hot_movements(t):
 
 
 def test_hot_product_through_shuffle_join_fallback(spark, no_broadcast):
-    """A third of the movements on one ProductId, master not broadcast: AQE
-    splits the hot partition of the sort-merge join, and the answer equals
-    the broadcast path's.
+    """A third of the movements on one ProductId, master not broadcast: where
+    raw movements meet the master, AQE splits the hot partition of the
+    sort-merge join; the ledger nets them per (product, store, day) first, so
+    no partition of its join is hot. Both answers equal the broadcast path's.
 
     The fixture file is one Parquet row group, i.e. one map task, and AQE
     splits a skewed partition along map outputs; the round-robin repartition
@@ -102,7 +103,13 @@ def test_hot_product_through_shuffle_join_fallback(spark, no_broadcast):
         led = ledger.stock_ledger(mv, t.products, P, master_fits=False)
         led_rows = led.collect()
         plan = led._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-        assert "BroadcastHashJoin" not in plan
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        join, below = plan.split("SortMergeJoin", 1)
+        side = below.split("FileScan", 1)[0]  # movements come first: partial sums, then the exchanges on their way to the join
+        assert "partial_sum(Quantity" in side and side.index("hashpartitioning(ProductId") < side.index("partial_sum(Quantity")
+        rooted = ledger.attach_root(mv, t.products, master_fits=False)
+        rooted_rows = rooted.collect()
+        plan = rooted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
         assert "SortMergeJoin(skew=true)" in plan
         m = kpi.Measures.build(t.sales, mv, t.products, P, master_fits=False)
         adj_rows = unpriced.adjusted_benefit(m, FAMILY).collect()
@@ -116,6 +123,7 @@ def test_hot_product_through_shuffle_join_fallback(spark, no_broadcast):
     m_b = kpi.Measures.build(t.sales, mv, t.products, P, master_fits=True)
     key = lambda r: tuple("" if v is None else str(v) for v in r)
     assert sorted(led_rows, key=key) == sorted(led_b.collect(), key=key)
+    assert sorted(rooted_rows, key=key) == sorted(ledger.attach_root(mv, t.products, master_fits=True).collect(), key=key)
     assert sorted(adj_rows, key=key) == sorted(unpriced.adjusted_benefit(m_b, FAMILY).collect(), key=key)
 
 
@@ -137,6 +145,38 @@ def test_hot_key_window_stays_bounded(spark):
     assert bal.filter(F.col("Balance") != F.col("Stock")).count() == 0
 
 
+def test_hot_product_sends_one_row_per_store_and_day_to_the_join(spark):
+    t = driver_tables(spark, SF001)
+    mv, hot_pid = _hot_movements(t)
+    mv = mv.unionByName(mv).unionByName(mv).unionByName(mv)
+    net = ledger.net_by_product(mv, P).filter(F.col("ProductId") == hot_pid)
+    stores = mv.filter(F.col("ProductId") == hot_pid).select("StoreId").distinct().count()
+    assert net.count() <= stores * ((P.closing - P.opening).days + 1) < mv.filter(F.col("ProductId") == hot_pid).count()
+    assert _same(ledger.stock_ledger(mv, t.products, P, master_fits=False), ledger.stock_ledger(mv, t.products, P, master_fits=True))
+
+
+def test_one_key_asked_a_hundred_thousand_times(spark):
+    """Equal questions are one row of their key's window, and every one is answered."""
+    mv = spark.createDataFrame([(1, 1, dt.date(2019, 1, 1 + d), d + 1, 7) for d in range(0, 28, 3)], "StoreId long, ProductId long, Date date, Quantity long, ProductRootCode long")
+    n, moves = 100_000, [tuple(m) for m in mv.collect()]
+    asked = spark.range(n).select(
+        F.lit(7).cast("long").alias("ProductRootCode"), F.when(F.col("id") % 1000 == 999, F.lit(None)).otherwise(F.lit(1)).cast("long").alias("StoreId"),
+        F.date_add(F.lit(dt.date(2018, 12, 31)), (F.col("id") % 30).cast("int")).alias("AsOf"), (F.col("id") % 2).alias("who"),
+    )
+    for carry in ([], ["who"]):
+        got = ledger.stock_as_of(mv, asked, carry=carry)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and plan.count("Window [") == 1
+        # what enters the window: a row for each day and different point
+        assert mv.count() + asked.select(*ledger.KEY, "AsOf", *carry).distinct().count() < 200
+        rows = got.groupBy("StoreId", "AsOf", *carry).agg(F.count(F.lit(1)).alias("n"), F.min("Balance").alias("low"), F.max("Balance").alias("high")).collect()
+        assert sum(r["n"] for r in rows) == n
+        assert {r["StoreId"] for r in rows} == {1, None}
+        for r in rows:
+            own = [q for _, _, day, q, _ in moves if day <= r["AsOf"]] if r["StoreId"] == 1 else []
+            assert r["low"] == r["high"] == (sum(own) if own else None)
+
+
 def test_latest_interval_sample_is_ordered(spark):
     t = driver_tables(spark, SF001)
     iv = ledger.interval_stock(ledger.stock_ledger(t.movements, t.products, P), P)
