@@ -37,6 +37,31 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_media_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations with media between the halves of their texts, cut anywhere, also inside control strings.
+
+    A turn holds an image, a sound or a document by its number, as large as its
+    text is long.
+    """
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text, kinds = F.coalesce("text", F.lit("")), F.array(*map(F.lit, chat.MEDIA))
+    size, half = F.length(text), F.floor(F.length(text) / 2).cast("int")
+    part = lambda kind, words, ref: F.struct(
+        kind.alias("kind"), words.alias("text"), ref.alias("ref"), size.alias("width"), F.lit(100).alias("height"), (size * 10).alias("duration_ms"), half.alias("pages")
+    ).cast(chat.PART)
+    nothing = F.lit(None).cast("string")
+    halves = [part(F.lit("text"), F.substring(text, 1, half), nothing), part(F.lit("text"), F.substr(text, half + 1), nothing)]
+    media = part(F.element_at(kinds, (F.pmod(F.coalesce("turn", F.lit(0)), F.lit(3)) + 1).cast("int")), nothing, F.concat(F.coalesce("role", F.lit("")), F.lit("/"), size.cast("string")))
+    quarter = part(F.lit("text"), F.lit("<"), nothing), part(F.lit("text"), F.lit("|im_end|>"), nothing)
+    chats = chat.format_chats(turns.withColumn("parts", F.array(halves[0], media, halves[1], *quarter)))
+    listed = F.array_join(F.transform("attachments", lambda a: F.concat_ws(",", a["number"], a["kind"], a["ref"], a["tokens"])), "\n")
+    read = chat.read_back(chats).select(F.col("conv_id").alias("same"), F.sha2("loss_text", 256).alias("loss_sha256"))
+    return chats.select(
+        "conv_id", F.size("attachments").cast("long").alias("n_attachments"), "media_tokens", F.sha2(listed, 256).alias("attachments_sha256"),
+        F.sha2("formatted", 256).alias("formatted_sha256"),
+    ).join(read, F.col("conv_id").eqNullSafe(F.col("same"))).drop("same")
+
+
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -113,6 +138,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op2_chat_format": op2_chat_format,
+        "op2_media_format": op2_media_format,
         "op3_nearest_neighbours": op3_nearest_neighbours,
         "op4_decontamination": op4_decontamination,
         "op5_substring_dedup": op5_substring_dedup,
@@ -130,6 +156,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat_format": oracle.OP2,
+        "op2_media_format": oracle.OP2_MEDIA,
         "op4_decontamination": oracle.OP4,
         "op9_line_dedup": oracle.OP9,
         "op12_vector_codes": oracle.op12(),

@@ -12,7 +12,9 @@ and the tokens it expands to. A turn reads
 and the loss mask holds the character spans of the assistant's contents.
 
 Escaping is reversible: in a content one backslash goes between ``<`` and
-``|`` (after any that are there), so no text can spell a control string; a
+``|`` (after any that are there), so no text can spell a control string, also
+not across neighbouring parts, which are joined first; reading back cuts at the
+placeholders before it removes escapes. A
 role has its backslashes, line feeds and ``<|`` replaced by ``\\s``, ``\\n``
 and ``<\\p|``.
 
@@ -21,8 +23,9 @@ result's own size. Turns are ordered by turn, role and content.
 
 Defined results: null text, role or part array counts as empty; a part of
 unknown or null kind counts as text; sizes that are null or not positive count
-as one unit; repeated rows are turns of their own; a null id is a conversation.
-Extra columns are ignored.
+as one unit; repeated rows are turns of their own; a null id is a conversation;
+texts are formatted whole, so a conversation must fit one row of Spark (2 GB);
+an empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -62,10 +65,25 @@ def _units(size: Column, unit: int) -> Column:
     return F.greatest(F.ceil(F.coalesce(size, F.lit(1)) / F.lit(unit)), F.lit(1)).cast("long")
 
 
-def visit(part: Column) -> Column:
-    """What a part writes: an escaped text or a placeholder."""
-    media = part["kind"].isin(*MEDIA)
-    return F.when(media, F.concat(F.lit("<|"), part["kind"], F.lit("|>"))).otherwise(escape(F.coalesce(part["text"], F.lit(""))))
+def placeholder(kind: Column) -> Column:
+    return F.concat(F.lit("<|"), kind, F.lit("|>"))
+
+
+def visit(parts: Column) -> Column:
+    """What the parts of a turn write, in order: placeholders, and escaped texts between them.
+
+    Neighbouring texts are joined before they are escaped, so no control string
+    can be spelled across parts.
+    """
+    none = F.struct(F.lit("").alias("done"), F.lit("").alias("text"))
+
+    def step(so_far: Column, part: Column) -> Column:
+        media = part["kind"].isin(*MEDIA)
+        closed = F.concat(so_far["done"], escape(so_far["text"]), placeholder(part["kind"]))
+        more = F.concat(so_far["text"], F.coalesce(part["text"], F.lit("")))
+        return F.when(media, F.struct(closed.alias("done"), F.lit("").alias("text"))).otherwise(F.struct(so_far["done"].alias("done"), more.alias("text")))
+
+    return F.aggregate(parts, none, step, lambda so_far: F.concat(so_far["done"], escape(so_far["text"])))
 
 
 def expanded(part: Column, patch: int, audio_ms: int, page_tokens: int) -> Column:
@@ -83,7 +101,7 @@ def format_chats(
 ) -> DataFrame:
     """One row a conversation: id, formatted, loss_spans (start, length in characters), attachments and media_tokens."""
     parts = F.coalesce(F.col(parts_col), F.array().cast(f"array<{PART}>"))
-    content = F.array_join(F.transform(parts, visit), "")
+    content = visit(parts)
     media = F.transform(
         F.filter(parts, lambda p: p["kind"].isin(*MEDIA)),
         lambda p: F.struct(p["kind"].alias("kind"), p["ref"].alias("ref"), expanded(p, patch, audio_ms, page_tokens).alias("tokens")),
@@ -116,10 +134,10 @@ def parse_turns(formatted: Column) -> Column:
 
 def read_back(chats: DataFrame, id_col: str = "conv_id") -> DataFrame:
     """What the formatted output says: id, turns (role, text), loss_text, formatted_chars."""
-    placeholder = r"<\|(?:" + "|".join(MEDIA) + r")\|>"
+    between = r"<\|(?:" + "|".join(MEDIA) + r")\|>"  # an escaped text holds no "<|", so these are placeholders
 
     def plain(content: Column) -> Column:
-        return unescape(F.regexp_replace(content, placeholder, ""))
+        return F.array_join(F.transform(F.split(content, between), unescape), "")
 
     turns = F.transform(parse_turns(F.col("formatted")), lambda t: F.struct(t["role"].alias("role"), plain(t["content"]).alias("text")))
     under = F.transform("loss_spans", lambda s: plain(F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"])))

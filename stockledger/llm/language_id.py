@@ -31,10 +31,15 @@ from pyspark.sql import functions as F
 from stockledger.llm.common import U64, seeds, written
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD_CHARACTERS = re.compile(r"[^\W\d_]+")
 _STEP = 256  # rows vectorised together
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of a letter category is there; fractions, circled numbers and the like are none."""
+    return any(c.isalpha() for run in _WORD_CHARACTERS.finditer(text) for c in run.group())
+
+
 class Vectoriser:
     """Term counts of hashed n-grams, one dense row a text."""
 
@@ -132,7 +137,7 @@ class Model:
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         vectoriser = Vectoriser(self.bits)
         names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        lettered = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+        lettered = [i for i, t in enumerate(texts) if t and has_letter(t)]
         if not len(self.centroids):
             return names, scores
         for lo in range(0, len(lettered), _STEP):
@@ -152,7 +157,7 @@ def training_sample(labelled: DataFrame, sample: int) -> DataFrame:
     """
     counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = F.least(F.lit(1.0), F.lit(1.5 * sample) / F.col("n"))
-    drawn = labelled.withColumn("draw", F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+    drawn = labelled.withColumn("draw", F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30)))
     few = counts.count()  # one row a language: a classifier's classes
     drawn = drawn.join(F.broadcast(counts) if few <= 10_000 else counts, "lang").where(F.col("draw") < share)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "id"))

@@ -176,3 +176,23 @@ coded AS (SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS cod
 books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{rounds})
 SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN coded USING (rid), books""")
     return ",".join(steps[:-1]) + "," + steps[-1]
+
+
+#: Turns with media between the halves of their texts.
+OP2_MEDIA = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         ['image', 'audio', 'document'][(coalesce(turn, 0) % 3 + 3) % 3 + 1] AS kind FROM conversations),
+e AS (
+  SELECT *, regexp_replace(left(text, n // 2), '<(\\*)\|', '<\\\1|', 'g') || '<|' || kind || '|>'
+            || regexp_replace(substr(text, n // 2 + 1) || '<|im_end|>', '<(\\*)\|', '<\\\1|', 'g') AS content,
+         replace(replace(replace(role, '\', '\s'), chr(10), '\n'), '<|', '<\p|') AS name,
+         CASE kind WHEN 'image' THEN greatest(ceil(n / 28), 1) * 4 WHEN 'audio' THEN greatest(ceil(n * 10 / 40), 1) ELSE greatest(n // 2, 1) * 1024 END::BIGINT AS tokens
+  FROM t),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, content) AS place FROM e)
+SELECT conv_id, count(*) AS n_attachments, sum(tokens)::BIGINT AS media_tokens,
+       sha256(string_agg((place - 1) || ',' || kind || ',' || role || '/' || n || ',' || tokens, chr(10) ORDER BY place)) AS attachments_sha256,
+       sha256(string_agg('<|im_start|>' || name || chr(10) || content || '<|im_end|>' || chr(10), '' ORDER BY place)) AS formatted_sha256,
+       sha256(coalesce(string_agg(text || '<|im_end|>', '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256
+FROM o GROUP BY conv_id
+"""

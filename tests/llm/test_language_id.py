@@ -71,3 +71,50 @@ def test_clusters_are_unit_vectors_and_ties_go_to_the_first_language():
     assert np.allclose(np.linalg.norm(made, axis=1), 1, atol=1e-5)
     one = np.ones((1, 1 << 10), np.float32) / 32
     assert Model(10, np.ones(1 << 10, np.float32), ["aa", "bb"], np.concatenate([one, one])).predict(["text"])[0] == ["aa"]
+
+
+def test_only_letters_are_letters(spark):
+    docs = documents(spark, ["½", "² ①", "Ⅷ", "٣", "_", "ñ", "漢", "12a", "…x", "ʰ"]).withColumn("lang", F.lit("en"))
+    train = documents(spark, [(100 + i, "some words of the tongue") for i in range(30)]).withColumn("lang", F.lit("en"))
+    got = {r["doc_id"]: r["lang_pred"] for r in identify(docs.union(train)).collect()}
+    assert [got[i] for i in range(10)] == ["und"] * 5 + ["en"] * 5
+
+
+def plain_counts(text, bits):
+    """N-gram counts of one text with dictionaries and Python integers."""
+    from collections import Counter
+
+    folded = "".join(chr(b) if b >= 128 or 97 <= b <= 122 else " " for b in text.lower().encode())
+    folded = " " + " ".join(folded.split(" ")) + " "
+    while "  " in folded:
+        folded = folded.replace("  ", " ")
+    seed = [int(s) for s in Vectoriser(bits).seeds]
+    out = Counter()
+    for n in (1, 2, 3):
+        for i in range(len(folded) - n + 1):
+            gram = folded[i: i + n]
+            if gram != " ":
+                code = int.from_bytes(gram.encode("latin-1"), "big")
+                out[((code + (n << 32)) * seed[n - 1] % 2**64) >> (64 - bits)] += 1
+    return out
+
+
+def test_predictions_equal_brute_force():
+    import math
+
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    bits, alphabet = 9, list("abcdeé ñß  .,1ZA漢\n")
+    texts = ["".join(rng.choice(alphabet, rng.integers(1, 80))) + "a" for _ in range(60)] + ["a", "É É", "x" * 3000]
+    idf = (rng.random(1 << bits) + 0.5).astype(np.float32)
+    model = Model(bits, idf, [f"l{i % 3}" for i in range(7)], weigh(rng.integers(0, 4, (7, 1 << bits)).astype(np.float32), idf))
+    names, scores = model.predict(texts)
+    for text, name, score in zip(texts, names, scores, strict=True):
+        counts = plain_counts(text, bits)
+        assert {i: n for i, n in enumerate(Vectoriser(bits).counts([text])[0].tolist()) if n} == counts
+        vector = {i: math.log1p(n) * float(idf[i]) for i, n in counts.items()}
+        norm = math.sqrt(sum(x * x for x in vector.values()))
+        cosine = [sum(x * float(c[i]) for i, x in vector.items()) / norm for c in model.centroids]
+        assert abs(score - max(cosine)) < 1e-5 and cosine[model.languages.index(name)] <= max(cosine)
+        assert name in {model.languages[j] for j, c in enumerate(cosine) if max(cosine) - c < 1e-5}
