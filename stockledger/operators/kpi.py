@@ -279,6 +279,7 @@ def mean_stock(
     period: Period,
     *,
     root_fanout: bool = True,
+    master_fits: bool | None = None,
 ) -> DataFrame:
     """Mean stock per entity and year: stock-days / days per year (A6; S10, S20, S22).
 
@@ -303,7 +304,8 @@ def mean_stock(
             else fam.agg(F.lit(1).cast("long").alias("_n"))
         )
         sd = (
-            per_root.join(fan, "ProductRootCode")
+            # (root, family) pairs are no more than the master's rows
+            per_root.join(maybe_broadcast(fan, fits_broadcast(products) if master_fits is None else master_fits), "ProductRootCode")
             .groupBy(FAMILY, YEAR)
             .agg(F.sum(F.col("StockDays") * F.col("_n")).alias("StockDays"))
         )
@@ -344,12 +346,13 @@ def rotation(
     level: str,
     *,
     root_fanout: bool = True,
+    master_fits: bool | None = None,
 ) -> DataFrame:
     """Units sold / mean stock per entity and year (B7, B8; S21).
 
     Zero or missing mean stock gives the units sold themselves.
     """
-    ms = mean_stock(intervals, products, level, m.period, root_fanout=root_fanout).select(
+    ms = mean_stock(intervals, products, level, m.period, root_fanout=root_fanout, master_fits=master_fits).select(
         level, YEAR, "StockMedio"
     )
     units = F.coalesce(F.col("UnidadesVendidas"), F.lit(0).cast("long"))

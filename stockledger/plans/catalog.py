@@ -74,7 +74,7 @@ class Plan:
         return kpi.benefit(self.measures(), level)
 
     def rotation(self, level: str) -> DataFrame:
-        return kpi.rotation(self.measures(), self.intervals(), self.products, level)
+        return kpi.rotation(self.measures(), self.intervals(), self.products, level, master_fits=self.fits)
 
     def unpriced_cost(self, level: str) -> DataFrame:
         return unpriced.unpriced_cost(self.measures(), level)
@@ -169,7 +169,7 @@ def files_rotation(p: Plan) -> DataFrame:
     fits = t.products_fit_broadcast()
     measures = kpi.Measures.build(t.sales, t.movements, t.products, p.period, master_fits=fits)
     intervals = ledger.interval_stock(ledger.stock_ledger(t.movements, t.products, p.period, master_fits=fits), p.period)
-    return kpi.rotation(measures, intervals, t.products, STORE)
+    return kpi.rotation(measures, intervals, t.products, STORE, master_fits=fits)
 
 
 def _money(df: DataFrame, *cols: str) -> DataFrame:
@@ -230,9 +230,9 @@ def _queries() -> dict[str, Callable[[Plan], DataFrame]]:
         "store_units_sold": lambda p: kpi.units_sold(p.measures(), STORE),
         "family_units_sold": lambda p: kpi.units_sold(p.measures(), FAMILY),
         "store_mean_stock": lambda p: kpi.mean_stock(p.intervals(), p.products, STORE, p.period),
-        "family_mean_stock": lambda p: kpi.mean_stock(p.intervals(), p.products, FAMILY, p.period),
+        "family_mean_stock": lambda p: kpi.mean_stock(p.intervals(), p.products, FAMILY, p.period, master_fits=p.fits),
         "family_mean_stock_dedup": lambda p: kpi.mean_stock(
-            p.intervals(), p.products, FAMILY, p.period, root_fanout=False
+            p.intervals(), p.products, FAMILY, p.period, root_fanout=False, master_fits=p.fits
         ),
         # KPIs (B5-B8) and their top-3 reports (L1, L2)
         "store_benefits": lambda p: p.benefit(STORE),

@@ -213,7 +213,7 @@ def _write_outputs(
             frames = {
                 f"{prefix}_benefits": kpi.benefit(measures, level),
                 f"{prefix}_rotation": kpi.rotation(
-                    measures, intervals, p, level, root_fanout=root_fanout
+                    measures, intervals, p, level, root_fanout=root_fanout, master_fits=fits
                 ),
                 f"{prefix}_benefits_v2": unpriced.adjusted_benefit(measures, level),
             }
