@@ -6,10 +6,12 @@ with equal sets are one *class*; the join runs over classes.
 Every class has ``coordinates`` minwise tokens (the smallest image of its set
 under fixed hash functions). A *node* of a tree holds the classes that agree
 on the minwise tokens chosen along its path; which tokens a node branches on
-depends on its path alone. Each of the independent ``trees`` branches its root
-on ``branching`` tokens, deeper nodes on two. Two classes of similarity s meet
-in no child of any root with probability (1 - s) ** (trees * branching); the
-number of trees follows from the ``recall`` asked for at the threshold.
+depends on its path alone. Each of the independent trees goes ``path`` tokens
+deep before its nodes are looked at, so that a common passage alone brings few
+documents together; nodes that are still large branch on two tokens, and their
+children on two more, a round. Two classes of similarity s meet in no tree with
+probability (1 - s ** path) ** trees; the number of trees follows from the
+``recall`` asked for at the threshold.
 
 * Before full sets are read, the members of a group are compared by how many
   minwise tokens they share: a pair at the threshold shares fewer than the
@@ -17,16 +19,17 @@ number of trees follows from the ``recall`` asked for at the threshold.
   and the others fall into smaller groups.
 * Small nodes (at most ``leaf`` classes and ``leaf_shingles`` shingles) are
   compared exhaustively inside one task, on full sets, by one matrix product
-  of their incidence; groups with the same members are compared once. A node
-  of up to ``blocks`` times that size is cut into that many chunks by a hash,
-  and every two chunks are compared as one group.
-* A larger node is cut into such chunks too, and each chunk is
+  of their incidence; groups with the same members are compared once.
+* A larger node is cut into chunks of that size by a hash, and each chunk is
   compared exhaustively together with a few pivots that all chunks of the node
   see; then the pivots leave. Classes found connected carry one label. A child
   node whose members all carry one label can teach nothing and ends; so a
   large group of copies costs comparisons in proportion to its size, never its
-  square. Beyond ``depth`` levels a node is no longer branched but goes on
-  being cut anew and losing pivots until it is done, so nothing is dropped.
+  square. Rounds go on while each leaves half the rows in large nodes at most,
+  ``depth`` at most. Nodes that are large then (unlike classes which no token
+  tells apart) end by exhaustive work in one go: classes of one label share
+  chunks, and every two chunks of different labels are compared.
+  So the rounds are at most ``depth`` and one more, and nothing is dropped.
 
 Links are joined to components on the executors.
 
@@ -288,12 +291,16 @@ def _distinct_groups(groups: DataFrame) -> DataFrame:
 
 
 def _branch(nodes: DataFrame, tokens: DataFrame, level: int, choices: int, coordinates: int) -> DataFrame:
-    """Children of ``nodes(node, cls, size, label)``: the path decides which ``choices`` tokens it branches on."""
-    picks = F.array(*(F.struct(F.lit(i).alias("i"), F.pmod(F.xxhash64("node", F.lit(level), F.lit(i)), F.lit(coordinates)).cast("int").alias("c")) for i in range(choices)))
+    """Grandchildren of ``nodes(node, cls, size, label)``: the path decides which ``choices`` tokens a node, and then each child, branches on."""
+    pick = lambda *path: F.pmod(F.xxhash64("node", F.lit(level), *map(F.lit, path)), F.lit(coordinates)).cast("int")
+    paths = F.array(*(
+        F.struct(F.lit(choices * i + j).alias("i"), pick(i).alias("c"), pick(i, j).alias("d")) for i in range(choices) for j in range(choices)
+    ))
+    token = lambda c: F.element_at("tokens", F.col(c) + 1)
     return (
         nodes.join(tokens.select("cls", "tokens"), "cls")
-        .select("node", "cls", "size", "label", "tokens", F.explode(picks).alias("p"))
-        .select(F.xxhash64("node", "p.i", "p.c", F.element_at("tokens", F.col("p.c") + 1)).alias("node"), "cls", "size", "label")
+        .select("node", "cls", "size", "label", "tokens", F.explode(paths).alias("p"))
+        .select(F.xxhash64("node", "p.i", "p.c", token("p.c"), "p.d", token("p.d")).alias("node"), "cls", "size", "label")
     )
 
 
@@ -310,6 +317,30 @@ def _sized(nodes: DataFrame, leaf: int, leaf_shingles: int, blocks: int, name: s
     return _distinct_groups(groups), live.where(F.col("chunks") > blocks)
 
 
+def _between_labels(nodes: DataFrame, leaf: int, leaf_shingles: int) -> DataFrame:
+    """Groups (grp, cls, pivot) in which every two classes of a node with different labels meet.
+
+    A label with more classes than fit a leaf has chunks of its own, which are
+    not compared with each other; smaller labels share chunks.
+    """
+    fits = lambda n, size: F.ceil(F.greatest(n / F.lit(leaf), size / F.lit(leaf_shingles))).cast("long")
+    labels = nodes.groupBy("node", "label").agg(fits(F.count(F.lit(1)), F.sum("size")).alias("parts"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("all"))
+    large = F.col("parts") > 1
+    rest = labels.where(~large).groupBy("node").agg(fits(F.sum("n"), F.sum("all")).alias("shared"))
+    labels = labels.select("node", "label", "parts").join(rest, "node", "left")
+    mine = F.when(large, F.col("label"))
+    number = F.when(large, F.pmod(F.xxhash64("cls"), "parts")).otherwise(F.pmod(F.xxhash64("label"), "shared"))
+    placed = written(
+        nodes.select("node", "cls", "label").join(labels, ["node", "label"]).select("node", "cls", mine.alias("mine"), F.xxhash64("node", mine, number).alias("chunk")), "last-nodes"
+    )
+    chunks = placed.select("node", "chunk", "mine").distinct().groupBy("node").agg(F.collect_list(F.struct("chunk", "mine")).alias("others"))
+    other = F.filter("others", lambda o: (o["chunk"] != F.col("chunk")) & ~F.coalesce(o["mine"] == F.col("mine"), F.lit(False)))
+    alone = F.array(F.struct(F.col("chunk").alias("chunk"), F.col("mine").alias("mine")))
+    paired = placed.join(chunks, "node").select("node", "cls", "chunk", F.explode(F.when(F.size(other) > 0, other).otherwise(alone)).alias("o"))
+    groups = paired.select(F.xxhash64("node", F.least("chunk", "o.chunk"), F.greatest("chunk", "o.chunk")).alias("grp"), "cls")
+    return _distinct_groups(groups)
+
+
 def _pivots(nodes: DataFrame, pivots: int, level: int) -> DataFrame:
     """Up to ``pivots`` members of each node, one a label; any label is as likely as another."""
     one = nodes.groupBy("node", "label").agg(F.min("cls").alias("cls"))
@@ -318,23 +349,23 @@ def _pivots(nodes: DataFrame, pivots: int, level: int) -> DataFrame:
 
 
 def resolve(
-    docs: DataFrame, *, words: int = 3, percent: int = 85, recall: float = 0.9999, branching: int = 2, coordinates: int = 32,
-    miss: float = 1e-6, leaf: int = 512, leaf_shingles: int = 2_000_000, blocks: int = 16, depth: int = 6, pivots: int = 32, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, *, words: int = 3, percent: int = 85, recall: float = 0.9999, path: int = 2, coordinates: int = 32,
+    miss: float = 1e-6, leaf: int = 512, leaf_shingles: int = 2_000_000, blocks: int = 1, depth: int = 6, pivots: int = 32, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Per row: id, version (hash of the text), n_shingles, root (its component; null if the set is empty) and component_id."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("version"))
-    trees = math.ceil(math.log(1 - recall) / (branching * math.log(1 - percent / 100))) if percent < 100 else 1
+    trees = math.ceil(math.log(1 - recall) / math.log(1 - (percent / 100) ** path)) if percent < 100 else 1
     signed = written(signatures(rows, words, coordinates), "signatures")
     classes = written(
         signed.where("cls is not null").groupBy("cls")
         .agg(F.min("id").alias("id"), F.first("n_shingles").alias("size"), F.first("tokens").alias("tokens")),
         "classes",
     )
-    chosen = F.array(*(F.struct(F.lit(t).alias("t"), F.lit((t * branching + b) % coordinates).alias("c")) for t in range(trees) for b in range(branching)))
-    roots = classes.select("cls", "size", "tokens", F.explode(chosen).alias("p")).select(
-        F.xxhash64("p.t", "p.c", F.element_at("tokens", F.col("p.c") + 1)).alias("node"), "cls", "size", F.col("cls").alias("label")
-    )
+    first = F.array(*(
+        F.xxhash64(F.lit(t), *(F.element_at("tokens", (t * path + i) % coordinates + 1) for i in range(path))) for t in range(trees)
+    ))
+    roots = classes.select(F.explode(first).alias("node"), "cls", "size", F.col("cls").alias("label"))
     leaves, large = _sized(roots, leaf, leaf_shingles, blocks, "nodes")
     shared = least_shared(coordinates, percent / 100, miss)
 
@@ -347,8 +378,12 @@ def resolve(
     sets = class_sets(rows, wanted, words)
 
     every, links, level = leaves, [], 0
-    while rows_of(large):
+    left, stalled = rows_of(large), False
+    while left:
         level += 1
+        if level > depth or stalled:
+            every = every.union(split(_between_labels(large, leaf, leaf_shingles)))
+            break
         pivot = written(_pivots(large, pivots, level), "pivots")
         seen = large.join(pivot.select("node", "cls", F.lit(True).alias("is_pivot")), ["node", "cls"], "left")
         chunk = F.pmod(F.xxhash64("cls", F.lit(level)), "chunks")
@@ -365,10 +400,10 @@ def resolve(
         to = found.join(members.select("grp", "node", "cls"), ["grp", "cls"]).select("node", "cls", F.col("root").alias("to"))
         # of classes connected before, one may now hang on another root: the label stays a class they are connected with
         rest = seen.where("is_pivot is null").join(to, ["node", "cls"], "left").select("node", "cls", "size", F.coalesce("to", "label").alias("label"))
-        if level < depth:
-            rest = _branch(rest, classes, level, 2, coordinates)
-        leaves, large = _sized(rest, leaf, leaf_shingles, blocks, "nodes")
+        leaves, large = _sized(_branch(rest, classes, level, 2, coordinates), leaf, leaf_shingles, blocks, "nodes")
         every = every.union(split(leaves))
+        before, left = left, rows_of(large)
+        stalled = 2 * left > before
 
     found = compare(every, sets, percent).select(F.col("cls").alias("u"), F.col("root").alias("v"))
     for more in links:

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from helpers import CLASHING, documents, near_components, prose, seeded, shingles
 
+from stockledger.llm import near_dup
 from stockledger.llm.near_dup import keep_one, near_duplicates, stars
 
 
@@ -34,6 +35,69 @@ def test_components_against_brute_force(spark, how):
     assert all(r["kept"] == (r["component_id"] == i) for i, r in got.items())
 
 
+def edited(rng, text, n):
+    w = text.split()
+    for _ in range(n):
+        w[rng.randrange(len(w))] = f"e{rng.randrange(9999)}"
+    return " ".join(w)
+
+
+@pytest.fixture
+def work(monkeypatch):
+    """Rows that groups hold, and rounds of pivots, of the calls of a test."""
+    seen = {"rows": 0, "rounds": 0}
+    compare, pivots = near_dup.compare, near_dup._pivots
+
+    def counted(members, *how):
+        seen["rows"] += members.count()
+        return compare(members, *how)
+
+    def again(*how):
+        seen["rounds"] += 1
+        return pivots(*how)
+
+    monkeypatch.setattr(near_dup, "compare", counted)
+    monkeypatch.setattr(near_dup, "_pivots", again)
+    return seen
+
+
+def test_work_grows_in_proportion_to_a_group_of_near_copies(spark, work):
+    rows = []
+    for size in (300, 600, 1200):
+        rng = seeded()
+        base = prose(rng, 150)
+        work["rows"] = 0
+        got = near_duplicates(documents(spark, [edited(rng, base, rng.randrange(1, 4)) for _ in range(size)], clash=False), leaf=64).select("component_id").distinct().count()
+        assert got == 1
+        rows.append(work["rows"])
+    assert rows[1] < 2.6 * rows[0] and rows[2] < 2.6 * rows[1], rows
+
+
+def test_unlike_documents_of_one_boilerplate_end_in_few_rounds(spark, work):
+    rng = seeded()
+    boiler = prose(rng, 60)
+    texts = [boiler + " " + prose(rng, 60, 5000) for _ in range(700)]
+    texts += [edited(rng, t, 1) for t in texts[:40]]
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(documents(spark, texts, clash=False), leaf=32, depth=3, pivots=8).collect()}
+    assert got == near_components(list(enumerate(texts)), 3, 85)
+    assert work["rounds"] <= 4
+
+
+def test_recall_in_nodes_above_a_leaf(spark):
+    """Pairs near the threshold that share their boilerplate's tokens with hundreds of unlike documents."""
+    rng = seeded(11)
+    boiler = prose(rng, 40)
+    texts = []
+    for _ in range(250):
+        own = boiler + " " + prose(rng, 120, 5000)
+        texts += [own, edited(rng, own, rng.randrange(2, 5))]
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(documents(spark, texts, clash=False), leaf=48).collect()}
+    want = near_components(list(enumerate(texts)), 3, 85)
+    linked = [i for i in want if want[i] != i]
+    assert len(linked) > 60 and sum(got[i] == want[i] for i in linked) >= 0.99 * len(linked)
+    assert all(got[i] == i for i in want if want[i] == i)
+
+
 def test_one_row_of_each_group_stays(spark):
     rows = [(5, "the same text of some words"), (3, "the same text of some words"), (3, "the same text of some words"), (3, "something else with other words"), (9, None), (9, None), (4, "")]
     docs = documents(spark, rows)
