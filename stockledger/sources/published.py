@@ -46,8 +46,12 @@ def read_manifest(spark: SparkSession, out_dir: str, number: int | None = None)
     numbers = manifest_numbers(spark, out_dir)
     if not numbers:
         return None
-    at = _under(out_dir, MANIFESTS, f"{number or numbers[-1]:08d}.json")
-    return json.loads("\n".join(r["value"] for r in spark.read.text(at, wholetext=True).collect()))
+    fs, at = hadoop_fs(spark, _under(out_dir, MANIFESTS, f"{number or numbers[-1]:08d}.json"))
+    stream = fs.open(at)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
 
 
 def new_run(out_dir: str) -> tuple[str, str]:
