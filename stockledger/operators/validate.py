@@ -62,32 +62,34 @@ def check_interval_balance(intervals: DataFrame, rooted: DataFrame) -> DataFrame
     return _summary("interval_balance", _balances(intervals, rooted), _unbalanced())
 
 
-def _day_masks(intervals: DataFrame, daily: DataFrame) -> DataFrame:
+def _day_masks(intervals: DataFrame, daily: DataFrame, *, starts: bool = False) -> DataFrame:
     """Per (key, month, stock): days and rows the daily table holds, and the days its intervals imply.
 
     A month's days are the bits of one number. Daily rows are OR-ed and counted
     map-side, so the shuffle moves about one row per key, month and stock
     instead of one per day; an interval gives one row per month it touches.
+
+    ``starts`` lists the intervals too. Lists make Spark sort what it
+    aggregates, so the daily rows are then reduced to their masks first.
     """
     month = F.explode(F.sequence(F.trunc("StartDate", "month"), F.trunc("EndDate", "month"), F.expr("interval 1 month")))
     touched = intervals.select(*KEY, "Stock", "StartDate", "EndDate", month.alias("Month"))
     first = F.day(F.greatest("StartDate", "Month"))
     last = F.day(F.least("EndDate", F.last_day("Month")))
-    one = F.lit(1).cast("long")
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
     implied = F.call_function("shiftleft", one, last + 1) - F.call_function("shiftleft", one, first)
-    iv = touched.select(
-        *KEY, "Month", "Stock", implied.alias("implied"), F.struct("StartDate", implied.alias("mask")).alias("interval"),
-        F.lit(0).cast("long").alias("days"), F.lit(0).cast("long").alias("rows"),
-    )
+    iv = touched.select(*KEY, "Month", "Stock", implied.alias("implied"), none.alias("days"), none.alias("rows"), F.struct("StartDate", implied.alias("mask")).alias("interval"))
     held = daily.select(
-        *KEY, F.trunc("Date", "month").alias("Month"), "Stock", F.lit(0).cast("long").alias("implied"),
-        F.lit(None).cast(iv.schema["interval"].dataType).alias("interval"),
-        F.coalesce(F.call_function("shiftleft", one, F.day("Date")), F.lit(0)).alias("days"), one.alias("rows"),
-    )
-    return iv.unionByName(held).groupBy(*KEY, "Month", "Stock").agg(
-        F.bit_or("days").alias("days"), F.sum("rows").alias("rows"), F.bit_or("implied").alias("implied"),
-        F.collect_list("interval").alias("intervals"),  # at most one for each day of the month
+        *KEY, F.trunc("Date", "month").alias("Month"), "Stock", none.alias("implied"),
+        F.coalesce(F.call_function("shiftleft", one, F.day("Date")), none).alias("days"), one.alias("rows"),
     )
+    sums = [F.bit_or("days").alias("days"), F.sum("rows").alias("rows"), F.bit_or("implied").alias("implied")]
+    by = [*KEY, "Month", "Stock"]
+    if not starts:
+        return iv.drop("interval").unionByName(held).groupBy(*by).agg(*sums)
+    held = held.groupBy(*by).agg(*sums).withColumn("interval", F.lit(None).cast(iv.schema["interval"].dataType))
+    # at most one interval for each day of the month
+    return iv.unionByName(held).groupBy(*by).agg(*sums, F.collect_list("interval").alias("intervals"))
 
 
 def check_daily_expansion(intervals: DataFrame, daily: DataFrame) -> DataFrame:
@@ -97,7 +99,7 @@ def check_daily_expansion(intervals: DataFrame, daily: DataFrame) -> DataFrame:
     daily row inside no interval or with another stock, or each extra copy of a
     repeated row.
     """
-    masks = _day_masks(intervals, daily)
+    masks = _day_masks(intervals, daily, starts=True)
     stray = F.bit_count(F.col("days").bitwiseAND(F.bitwise_not("implied"))) + F.col("rows") - F.bit_count("days")
     lacking = F.filter("intervals", lambda i: i["mask"].bitwiseAND(F.bitwise_not(F.col("days"))) != 0)
     per = masks.select(*KEY, stray.alias("all"), F.posexplode_outer(F.transform(lacking, lambda i: i["StartDate"])).alias("pos", "StartDate"))

@@ -163,3 +163,12 @@ def test_units_from_facts_equal_units_from_sales(spark, files):
         a = validate.rotation_violations(rot, t.sales, t.products, days, level, P)
         b = validate.rotation_violations(rot, None, t.products, days, level, P, facts=facts)
         assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0 < a.count()
+
+
+def test_daily_rows_are_reduced_before_lists_are_made(spark):
+    """The aggregate that lists intervals sorts its input: it gets masks, not a row for each day."""
+    intervals = spark.createDataFrame([(1, 1, dt.date(2000, 1, 1), dt.date(2000, 3, 1), 5)], IV)
+    days = spark.createDataFrame([(1, 1, dt.date(2000, 1, 1), 5)], DAY)
+    plan = validate.check_daily_expansion(intervals, days)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("collect_list"):]
+    assert "Aggregate" in below[below.index("Union"):]
