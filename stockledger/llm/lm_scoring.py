@@ -1,18 +1,25 @@
 """Language-model scoring by cross-entropy difference (operator 8).
 
 Two bigram models over words, one of the target documents and one of all
-documents (the background), share one vocabulary: the corpus's most frequent
-words, a symbol for every other word and one for a text's begin. Both are
-smoothed alike, towards their own word frequencies. A document's score is the
-mean over its tokens of loss under the target model minus loss under the
-background model: the lower, the nearer the target.
-
-Words are counted over all documents, then every text is written once as
-symbols (two bytes a word); pairs of symbols are counted over all of them.
-Each task counts into a table of its own and sends what is not zero. The pair
-counts have at most vocabulary squared rows, whatever the corpus: that is the
-model, and it is sent to the executors as two tables of four-byte losses
-(2 x 16 MB for 2,048 symbols).
+documents (the background), share one vocabulary: every word of the corpus and
+a symbol for a text's begin. Both are smoothed alike, towards their own word
+frequencies. A document's score is the mean over its tokens of loss under the
+target model minus loss under the background model: the lower, the nearer the
+target.
+
+Pairs of neighbouring words are counted over all documents; each task counts
+on its own and sends sums. The counts joined with those of their words give a
+table of losses, one row a pair. The ``most`` frequent pairs are sent to the
+executors and looked up there; every other pair of a text meets its row in a
+shuffle join. What is sent is bounded whatever the corpus, no pair is left out,
+and no key of the join is frequent.
+
+With ``bits``, the vocabulary is cut to the 2**bits - 2 most frequent words and
+one symbol for every other word, a smaller model: texts are written once as
+symbols, and the pair counts (at most vocabulary squared) are sent to the
+executors as two tables of four-byte losses.
+
+Words and pairs go by 64 bits of their hashes, texts by 64 bits of their words.
 
 Defined results: null, empty or blank text has no tokens, no losses and no
 score; repeated rows count and are scored each; without target documents the
@@ -22,6 +29,7 @@ says so. Extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,11 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.llm.common import U64, WordHasher, text_steps, written
+from stockledger.llm.common import U64, WordHasher, mix, released, text_steps, written
 from stockledger.operators.joins import fits_broadcast, maybe_broadcast
 
 #: Words after which a task sends on what it has counted.
 _FLUSH = 4_000_000
+#: Symbol before a text's first word, and the multiplier that tells a pair's words apart.
+_BEGIN, _ORDER = U64(0x5851F42D4C957F2D), U64(0x9E3779B97F4A7C15)
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -62,7 +72,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 
 def encoded(rows: DataFrame, vocabulary: np.ndarray) -> DataFrame:
-    """(id, symbols): each text's words as 16-bit numbers; 0 is any word outside the sorted ``vocabulary``."""
+    """(id, symbols, target): each text's words as 16-bit numbers; 0 is any word outside the sorted ``vocabulary``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -74,9 +84,9 @@ def encoded(rows: DataFrame, vocabulary: np.ndarray) -> DataFrame:
                     at = np.minimum(np.searchsorted(known, word), len(known) - 1)
                     symbol = np.where((known[at] == word) & (len(vocabulary) > 0), at + 1, 0).astype("<u2").tobytes()
                     texts = [symbol[2 * a: 2 * b] for a, b in zip(first[:-1], first[1:], strict=True)]
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(texts, pa.binary())], names=["id", "symbols"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(texts, pa.binary()), batch.column(2).slice(lo, hi - lo)], names=["id", "symbols", "target"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, symbols binary")
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, symbols binary, target boolean")
 
 
 def _pairs(symbols: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,20 +141,153 @@ def losses(code: np.ndarray, count: np.ndarray, bits: int, prior: float) -> np.n
     return np.negative(table, out=table).reshape(-1)
 
 
+def _flagged(docs: DataFrame, targets: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, text, target); null text as empty."""
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    wanted = targets.select(F.col(id_col).alias("id"), F.lit(True).alias("target")).where(F.col("id").isNotNull()).distinct()
+    return rows.join(maybe_broadcast(wanted, fits_broadcast(wanted)), "id", "left").select("id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+
+
+def _code(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return mix(u * _ORDER + v)
+
+
+def _word_pairs(hasher: WordHasher, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(code, word before, word) of every token and the number of tokens before each text and the end."""
+    word, _, _, first = hasher.words(data, bounds)
+    before = np.empty_like(word)
+    before[1:] = word[:-1]
+    before[first[:-1][np.diff(first) > 0]] = _BEGIN
+    return _code(before, word), before, word, first
+
+
+def word_pair_counts(rows: DataFrame) -> DataFrame:
+    """(u, v, target, background): how often word ``v`` follows ``u`` in ``rows(text, target)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        held, size = [], 0
+
+        def counted() -> pa.RecordBatch:
+            code, u, v, target = (np.concatenate(x) for x in zip(*held, strict=True))
+            at, first, place, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+            own = np.bincount(place, weights=target, minlength=len(at)).astype(np.int64)
+            columns = [u[first].view(np.int64), v[first].view(np.int64), own, n.astype(np.int64)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["u", "v", "target", "background"])
+
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for lo, hi, data, bounds in text_steps(batch.column(0)):
+                    code, u, v, first = _word_pairs(hasher, data, bounds)
+                    target = batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
+                    held.append((code, u, v, np.repeat(target, np.diff(first))))
+                    size += len(code)
+                    if size >= _FLUSH // 4:
+                        yield counted()
+                        held, size = [], 0
+            if size:
+                yield counted()
+
+    made = rows.select("text", "target").mapInArrow(released(run), "u long, v long, target long, background long")
+    return made.groupBy("u", "v").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+
+
+def pair_losses(counts: DataFrame, prior: float) -> DataFrame:
+    """(code, n, target, background): a pair's count and its losses by both models, as :func:`losses` over all words."""
+    both = [F.sum("target").alias("t"), F.sum("background").alias("b")]
+    single = written(counts.groupBy("v").agg(*both), "words")
+    context = counts.groupBy("u").agg(*both)
+    total = single.agg(F.sum("t").alias("t"), F.sum("b").alias("b"), F.count(F.lit(1)).alias("size")).first()
+    fits = fits_broadcast(single)  # begins apart, no more words precede than follow
+
+    def loss(count: str, side: str):
+        share = (F.col(f"v.{side}") + 1) / F.lit(float((total[side] or 0) + total["size"]))
+        return -F.log2((F.col(count) + F.lit(prior) * share) / (F.col(f"u.{side}") + F.lit(prior)))
+
+    joined = counts.alias("c").join(maybe_broadcast(single, fits).alias("v"), F.col("c.v") == F.col("v.v")).join(maybe_broadcast(context, fits).alias("u"), F.col("c.u") == F.col("u.u"))
+    found = joined.select("c.u", "c.v", F.col("c.background").alias("n"), loss("c.target", "t").alias("target"), loss("c.background", "b").alias("background"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                code = _code(*(batch.column(i).to_numpy().view(U64) for i in (0, 1)))
+                yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), *batch.columns[2:]], names=["code", "n", "target", "background"])
+
+    return found.mapInArrow(run, "code long, n long, target double, background double")
+
+
+def _named(words: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(words.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
+def _score_all(rows: DataFrame, prior: float, most: int) -> DataFrame:
+    """(id, n_tokens, is_target, loss_target, loss_background) over the whole vocabulary."""
+    table = written(pair_losses(written(word_pair_counts(rows), "pairs"), prior), "losses")
+    known = table.orderBy(F.desc("n"), "code").limit(most).toArrow()  # at most ``most`` rows
+    code = known.column("code").to_numpy().view(U64)
+    order = np.argsort(code)
+    frequent = rows.sparkSession.sparkContext.broadcast((code[order], *(known.column(c).to_numpy()[order] for c in ("target", "background"))))
+
+    def looked_up(hasher: WordHasher, data: np.ndarray, bounds: np.ndarray):
+        """Pairs, token bounds and names of texts, the place of each pair among the frequent, and whether it is one."""
+        pair, _, word, first = _word_pairs(hasher, data, bounds)
+        codes = frequent.value[0]
+        at = np.minimum(np.searchsorted(codes, pair), max(len(codes) - 1, 0))
+        found = codes[at] == pair if len(codes) else np.zeros(len(pair), bool)
+        return pair, first, [_named(word[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)], at, found
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for _, _, data, bounds in text_steps(batch.column(0)):
+                    pair, first, names, _, found = looked_up(hasher, data, bounds)
+                    name = np.repeat(np.array(names, np.int64), np.diff(first))
+                    yield pa.RecordBatch.from_arrays([pa.array(name[~found]), pa.array(pair[~found].view(np.int64))], names=["name", "code"])
+
+    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for lo, hi, data, bounds in text_steps(batch.column(1)):
+                    _, first, names, at, found = looked_up(hasher, data, bounds)
+                    text = np.repeat(np.arange(hi - lo), np.diff(first))[found]
+                    sums = [np.bincount(text, weights=side[at[found]], minlength=hi - lo) for side in frequent.value[1:]]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(lo, hi - lo), pa.array(names, pa.int64()), pa.array(np.diff(first).astype(np.int64)), batch.column(2).slice(lo, hi - lo), *map(pa.array, sums)],
+                        names=["id", "name", "n_tokens", "is_target", "t", "b"],
+                    )
+
+    # a text's rare pairs, of all its copies: as many times each as the text stands
+    copies = F.count(F.lit(1)).alias("copies")
+    by_row = rows.mapInArrow(released(common), f"id {rows.schema['id'].dataType.simpleString()}, name long, n_tokens long, is_target boolean, t double, b double")
+    by_row = written(by_row, "rows")
+    pairs = rows.select("text").mapInArrow(released(rare), "name long, code long")
+    rest = pairs.join(table.select("code", "target", "background").hint("merge"), "code").groupBy("name").agg(F.sum("target").alias("rt"), F.sum("background").alias("rb"))
+    rest = by_row.groupBy("name").agg(copies).join(rest, "name").select("name", (F.col("rt") / F.col("copies")).alias("rt"), (F.col("rb") / F.col("copies")).alias("rb"))
+    mean = lambda a, b: F.when(F.col("n_tokens") > 0, (F.col(a) + F.coalesce(b, F.lit(0.0))) / F.col("n_tokens"))
+    return by_row.join(rest, "name", "left").select("id", "n_tokens", "is_target", mean("t", "rt").alias("loss_target"), mean("b", "rb").alias("loss_background"))
+
+
 def score(
-    docs: DataFrame, targets: DataFrame, *, bits: int = 11, prior: float = 50.0, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, targets: DataFrame, *, bits: int | None = None, prior: float = 50.0, most: int = 1 << 18, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Per row: id, n_tokens, is_target, loss_target, loss_background (bits a token) and score, their difference.
 
-    ``targets`` holds the ids of the target documents in ``id_col``; the shared
-    vocabulary has 2**bits symbols.
+    ``targets`` holds the ids of the target documents in ``id_col``. Every word
+    is a symbol of its own; with ``bits``, the vocabulary is cut to 2**bits
+    symbols. ``most`` pairs are looked up without a shuffle; it changes no result.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = _flagged(docs, targets, id_col, text_col)
+    out = _score_all(rows, prior, most) if bits is None else _score_cut(rows, bits, prior)
+    return out.select(F.col("id").alias(id_col), "n_tokens", "is_target", "loss_target", "loss_background", (F.col("loss_target") - F.col("loss_background")).alias("score"))
+
+
+def _score_cut(rows: DataFrame, bits: int, prior: float) -> DataFrame:
+    """The same over a vocabulary of 2**bits symbols."""
     top = word_counts(rows).orderBy(F.desc("n"), "word").limit((1 << bits) - 2).select("word").collect()
     vocabulary = np.sort(np.array([r["word"] for r in top], np.int64).view(U64))
-    wanted = targets.select(F.col(id_col).alias("id"), F.lit(True).alias("target")).where(F.col("id").isNotNull()).distinct()
-    wanted = maybe_broadcast(wanted, fits_broadcast(wanted))
-    texts = encoded(rows, vocabulary).join(wanted, "id", "left").select("id", "symbols", F.coalesce("target", F.lit(False)).alias("target"))
+    texts = encoded(rows, vocabulary)
     texts = written(texts, "symbols")
     counts = pair_counts(texts, bits).toArrow()  # at most 4**bits rows
     code = counts.column("code").to_numpy()
@@ -166,5 +309,4 @@ def score(
                     columns.append(pa.array(total / np.maximum(n, 1), mask=n == 0))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), part.column(2), *columns], names=["id", "n_tokens", "is_target", "loss_target", "loss_background"])
 
-    out = texts.mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, n_tokens long, is_target boolean, loss_target double, loss_background double")
-    return out.select(F.col("id").alias(id_col), "n_tokens", "is_target", "loss_target", "loss_background", (F.col("loss_target") - F.col("loss_background")).alias("score"))
+    return texts.mapInArrow(run, f"id {texts.schema['id'].dataType.simpleString()}, n_tokens long, is_target boolean, loss_target double, loss_background double")

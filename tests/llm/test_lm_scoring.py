@@ -74,3 +74,29 @@ def test_target_text_scores_below_other_text(spark):
     mean = score(documents(spark, good + other), labels, bits=8).groupBy((F.col("doc_id") < 40).alias("good")).agg(F.avg("score").alias("s"))
     by = {r["good"]: r["s"] for r in mean.collect()}
     assert by[True] < by[False] - 1
+
+
+@pytest.mark.parametrize("most", [1 << 18, 50, 1])
+def test_every_word_has_its_own_symbol(spark, most):
+    """More words than any bounded vocabulary of the query held, against brute force, however few pairs are sent."""
+    rng = seeded()
+    texts = [prose(rng, 120, 50 if i % 2 else 5000) for i in range(80)] + [None, " ", "w1 w2", "w1 w2", "once-only words here"]
+    targets = [*range(0, 30), 82]
+    words = [space_words(t) for t in texts]
+    size = len({w for ws in words for w in ws})
+    assert size > 2500
+    labels = spark.createDataFrame([(i,) for i in targets], "doc_id long")
+    got = {r["doc_id"]: r for r in score(documents(spark, texts), labels, most=most).collect()}
+    assert len(got) == len(texts)
+    for own, name in ((targets, "loss_target"), (range(len(texts)), "loss_background")):
+        pair, context, single = Counter(), Counter(), Counter()
+        for i in own:
+            for u, v in zip([None, *words[i]], words[i], strict=False):
+                pair[u, v] += 1
+                context[u] += 1
+                single[v] += 1
+        n = sum(single.values())
+        for i, ws in enumerate(words):
+            each = [-math.log2((pair[u, v] + 50.0 * (single[v] + 1) / (n + size)) / (context[u] + 50.0)) for u, v in zip([None, *ws], ws, strict=False)]
+            assert got[i]["n_tokens"] == len(ws)
+            assert got[i][name] == (pytest.approx(sum(each) / len(ws), abs=1e-9) if ws else None)
