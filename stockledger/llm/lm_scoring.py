@@ -252,7 +252,7 @@ def _score_all(rows: DataFrame, prior: float, most: int) -> DataFrame:
                 for lo, hi, data, bounds in text_steps(batch.column(1)):
                     _, first, names, at, found = looked_up(hasher, data, bounds)
                     text = np.repeat(np.arange(hi - lo), np.diff(first))[found]
-                    sums = [np.bincount(text, weights=side[at[found]], minlength=hi - lo) for side in frequent.value[1:]]
+                    sums = [np.bincount(text, weights=side[at[found]], minlength=hi - lo).astype(np.float64) for side in frequent.value[1:]]
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).slice(lo, hi - lo), pa.array(names, pa.int64()), pa.array(np.diff(first).astype(np.int64)), batch.column(2).slice(lo, hi - lo), *map(pa.array, sums)],
                         names=["id", "name", "n_tokens", "is_target", "t", "b"],

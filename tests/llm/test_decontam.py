@@ -69,7 +69,7 @@ def test_no_items_and_no_documents(spark):
 def test_sql_of_every_registered_query(spark):
     """Each query of the subpackage that has SQL gives the SQL's rows."""
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     queries = catalog.queries()
     assert sorted({int(q[2:].split("_")[0]) for q in queries}) == list(range(1, 14))
