@@ -31,13 +31,17 @@ def _text(name: str, dtype: T.DataType) -> Column:
 def row_text(schema: T.StructType) -> Column:
     """The text of a row that its fingerprint hashes."""
     values = [_text(f.name, f.dataType) for f in schema.fields]
-    return F.concat(F.lit(""), *(F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in values))
+    # one concatenation of all columns' parts, not one a column
+    parts = ((F.coalesce(F.length(v).cast("string"), F.lit("-")), F.when(v.isNull(), "").otherwise(":"), F.coalesce(v, F.lit(""))) for v in values)
+    return F.concat(F.lit(""), *(part for column in parts for part in column))
 
 
 def fingerprint_aggregates(schema: T.StructType) -> list[Column]:
     """``rows`` and ``fingerprint`` (a decimal string) as aggregates, for ``agg`` or ``observe``."""
-    first = F.conv(F.substring(F.md5(row_text(schema)), 1, 15), 16, 10).cast("decimal(20,0)")
-    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(first), F.lit(0)).cast("string").alias("fingerprint")]
+    first = F.conv(F.substring(F.md5(row_text(schema)), 1, 15), 16, 10).cast("long")
+    # halves of 30 bits add up as longs, a decimal sum a row costs far more
+    high, low = (F.coalesce(F.sum(half), F.lit(0)).cast("decimal(20,0)") for half in (F.shiftright(first, 30), first.bitwiseAND(F.lit((1 << 30) - 1))))
+    return [F.count(F.lit(1)).alias("rows"), (high * F.lit(1 << 30).cast("decimal(10,0)") + low).cast("decimal(38,0)").cast("string").alias("fingerprint")]
 
 
 def fingerprint(df: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Output sets: published together, verified against what was computed, pruned; the job's observed contract."""
 
+import hashlib
 import math
 import os
 import random
@@ -146,3 +147,15 @@ def test_fingerprint_counts_rows_values_nulls_and_types(spark):
     assert tuple(fingerprint(df.limit(0)).first()) == (0, "0")
     with pytest.raises(TypeError):
         fingerprint(df.select(F.array("n").alias("a")))
+
+
+def test_fingerprints_add_up_longs(spark):
+    """Same sums as decimals, one of which a row would be most of the cost; nulls, empty and large values count."""
+    rows = [(None, "", 1), (-(2**62), "a:b", None), (5, None, 7), (5, None, 7)]
+    df = spark.createDataFrame(rows, "a long, b string, c int")
+    text = lambda r: "".join("-" if v is None else f"{len(str(v))}:{v}" for v in r)
+    total = sum(int(hashlib.md5(text(r).encode()).hexdigest()[:15], 16) for r in rows)
+    assert fingerprint(df).first().asDict() == {"rows": 4, "fingerprint": str(total)}
+    empty = fingerprint(df.where("c = 99")).first()
+    assert (empty["rows"], empty["fingerprint"]) == (0, "0")
+    assert "MakeDecimal" not in (plan := fingerprint(df)._jdf.queryExecution().optimizedPlan().toString()) and "sum(cast(conv" not in plan
