@@ -62,7 +62,7 @@ def check_interval_balance(intervals: DataFrame, rooted: DataFrame) -> DataFrame
     return _summary("interval_balance", _balances(intervals, rooted), _unbalanced())
 
 
-def _day_masks(intervals: DataFrame, daily: DataFrame, *, starts: bool = False) -> DataFrame:
+def _day_masks(intervals: DataFrame, daily: DataFrame, partitions: int | None = None, *, starts: bool = False) -> DataFrame:
     """Per (key, month, stock): days and rows the daily table holds, and the days its intervals imply.
 
     A month's days are the bits of one number. Daily rows are OR-ed and counted
@@ -71,6 +71,9 @@ def _day_masks(intervals: DataFrame, daily: DataFrame, *, starts: bool = False)
 
     ``starts`` lists the intervals too. Lists make Spark sort what it
     aggregates, so the daily rows are then reduced to their masks first.
+
+    With ``partitions``, daily rows are reduced too and key's months dealt to that many tasks
+    (see :func:`~.ledger.daily_partitions`): a task's share does not grow with the table.
     """
     month = F.explode(F.sequence(F.trunc("StartDate", "month"), F.trunc("EndDate", "month"), F.expr("interval 1 month")))
     touched = intervals.select(*KEY, "Stock", "StartDate", "EndDate", month.alias("Month"))
@@ -85,21 +88,23 @@ def _day_masks(intervals: DataFrame, daily: DataFrame, *, starts: bool = False)
     )
     sums = [F.bit_or("days").alias("days"), F.sum("rows").alias("rows"), F.bit_or("implied").alias("implied")]
     by = [*KEY, "Month", "Stock"]
+    dealt = lambda df: df if partitions is None else df.repartition(partitions, *KEY, "Month")
     if not starts:
-        return iv.drop("interval").unionByName(held).groupBy(*by).agg(*sums)
+        held = held if partitions is None else held.groupBy(*by).agg(*sums)
+        return dealt(iv.drop("interval").unionByName(held)).groupBy(*by).agg(*sums)
     held = held.groupBy(*by).agg(*sums).withColumn("interval", F.lit(None).cast(iv.schema["interval"].dataType))
     # at most one interval for each day of the month
-    return iv.unionByName(held).groupBy(*by).agg(*sums, F.collect_list("interval").alias("intervals"))
+    return dealt(iv.unionByName(held)).groupBy(*by).agg(*sums, F.collect_list("interval").alias("intervals"))
 
 
-def check_daily_expansion(intervals: DataFrame, daily: DataFrame) -> DataFrame:
+def check_daily_expansion(intervals: DataFrame, daily: DataFrame, partitions: int | None = None) -> DataFrame:
     """V3: every interval has DATEDIFF + 1 daily rows of its stock, and no day is stray.
 
     n_checked counts intervals. A violation is an interval that lacks a day, a
     daily row inside no interval or with another stock, or each extra copy of a
     repeated row.
     """
-    masks = _day_masks(intervals, daily, starts=True)
+    masks = _day_masks(intervals, daily, partitions, starts=True)
     stray = F.bit_count(F.col("days").bitwiseAND(F.bitwise_not("implied"))) + F.col("rows") - F.bit_count("days")
     lacking = F.filter("intervals", lambda i: i["mask"].bitwiseAND(F.bitwise_not(F.col("days"))) != 0)
     per = masks.select(*KEY, stray.alias("all"), F.posexplode_outer(F.transform(lacking, lambda i: i["StartDate"])).alias("pos", "StartDate"))
@@ -123,7 +128,7 @@ def _same_key(left: str, right: str, *more: str):
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in (*KEY, *more)])
 
 
-def daily_violations(intervals: DataFrame, daily: DataFrame) -> DataFrame:
+def daily_violations(intervals: DataFrame, daily: DataFrame, partitions: int | None = None) -> DataFrame:
     """The days behind V3: Problem, key, Date, Stock held, Stock expected and extra copies.
 
     ``missing``: a day of an interval without any row. ``wrong_stock``: a row
@@ -135,13 +140,15 @@ def daily_violations(intervals: DataFrame, daily: DataFrame) -> DataFrame:
     The day masks of a (key, month, stock) are decoded back into days, so only
     offending days become rows; nothing is sorted or windowed day by day. The
     daily table is read a second time for the months whose row count exceeds
-    their days, to tell which day repeats.
+    their days, to tell which day repeats. With ``partitions``, ``daily`` is to
+    be dealt by key into so many tasks, and months are too.
     """
-    masks = _day_masks(intervals, daily)
+    masks = _day_masks(intervals, daily, partitions)
     # what a key's month expects (disjoint intervals: at most one entry a day) and holds, whatever the stock
     planned = F.when(F.col("implied") != 0, F.struct("implied", "Stock"))
-    month = masks.groupBy(*KEY, "Month").agg(F.collect_list(planned).alias("plan"), F.bit_or("days").alias("held"))
-    both = masks.alias("g").join(month.alias("m"), _same_key("g", "m", "Month")).select("g.*", "plan", "held")
+    parts = F.collect_list(F.struct("Stock", "implied", "days")).alias("parts")
+    month = masks.where(F.col("Month").isNotNull()).groupBy(*KEY, "Month").agg(F.collect_list(planned).alias("plan"), F.bit_or("days").alias("held"), parts)
+    both = month.select(*KEY, "Month", "plan", "held", F.inline("parts"))
 
     lacking = F.col("implied").bitwiseAND(F.bitwise_not("held"))
     surplus = F.col("days").bitwiseAND(F.bitwise_not("implied"))
@@ -163,7 +170,8 @@ def daily_violations(intervals: DataFrame, daily: DataFrame) -> DataFrame:
 
     crowded = masks.where(F.col("rows") > F.bit_count("days")).select(*KEY, "Month", "Stock")
     dated = daily.select(*KEY, "Date", "Stock", F.trunc("Date", "month").alias("Month"))
-    again = dated.alias("d").join(crowded.alias("c"), _same_key("d", "c", "Month", "Stock"), "left_semi")
+    # days dealt by key into sized tasks are counted where they are, without a shuffle; others only where a month is crowded
+    again = dated if partitions else dated.alias("d").join(crowded.alias("c"), _same_key("d", "c", "Month", "Stock"), "left_semi")
     counted = again.groupBy(*KEY, "Date", "Stock").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or Date is null")
     repeated = counted.select(
         F.when(F.col("Date").isNull(), "undated").otherwise("repeated").alias("Problem"), *KEY, "Date", "Stock", nothing.alias("Expected"),

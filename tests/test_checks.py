@@ -13,6 +13,7 @@ from fixtures import facts_df, products_df
 from stockledger.config import ADAPTER_PERIOD as P
 from stockledger.config import scratch_path
 from stockledger.operators import ledger, validate
+from stockledger.plans import catalog
 from stockledger.plans.job import run_checks, run_job
 from stockledger.sources.adapter import driver_tables
 from stockledger.sources.tables import RetailTables
@@ -172,3 +173,25 @@ def test_daily_rows_are_reduced_before_lists_are_made(spark):
     plan = validate.check_daily_expansion(intervals, days)._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("collect_list"):]
     assert "Aggregate" in below[below.index("Union"):]
+
+
+def test_daily_masks_of_sized_tasks(spark):
+    """With a number of tasks, months are dealt once to that many, nothing is joined on them, and the rows are the same."""
+    day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(n)
+    intervals = [(r, s, day(0), day(40), 5) for r in (1, 2, None) for s in (1, 2)] + [(1, 1, day(41), day(50), 7)]
+    days = [(r, s, day(n), q + (n == 7)) for r, s, a, b, q in intervals for n in range((a - day(0)).days, (b - day(0)).days + 1) if n % 11]
+    days += [(1, 1, None, 5), (1, 1, None, 6), (9, 9, day(3), 1), days[0], days[0]]
+    iv, daily = spark.createDataFrame(intervals, IV), spark.createDataFrame(days, DAY)
+    listed = [sorted(map(str, validate.daily_violations(iv, daily, n).collect())) for n in (None, 1, 7)]
+    assert listed[0] and listed[0] == listed[1] == listed[2]
+    counts = [validate.check_daily_expansion(iv, daily, n).collect() for n in (None, 1, 7)]
+    assert counts[0] == counts[1] == counts[2]
+    plan = validate.daily_violations(iv, daily, 7)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join " not in plan and "RepartitionByExpression" in plan
+
+
+def test_checks_read_the_sales_join_once(spark):
+    """The check reads written sales rows: lines and orders are not joined anew by each of its steps."""
+    for name in ("check_store_rotation", "check_store_rotation_damaged", "store_rotation_violations"):
+        plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "o_orderkey" not in plan
