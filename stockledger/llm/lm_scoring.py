@@ -7,12 +7,13 @@ frequencies. A document's score is the mean over its tokens of loss under the
 target model minus loss under the background model: the lower, the nearer the
 target.
 
-Pairs of neighbouring words are counted over all documents; each task counts
-on its own and sends sums. The counts joined with those of their words give a
-table of losses, one row a pair. The ``most`` frequent pairs are sent to the
-executors and looked up there; every other pair of a text meets its row in a
-shuffle join. What is sent is bounded whatever the corpus, no pair is left out,
-and no key of the join is frequent.
+The ``most`` frequent words' counts are sent to the executors. Documents are
+dealt to steps of bounded size. A step asks once for every different pair and
+every less frequent word of its texts, sending its own count of each; a bucket,
+one range of the hashes, adds up what all steps counted and answers each, in the
+order in which it asked, with what the others counted. The texts meet the answers of their step in the shuffle
+that made the steps, so neither a table of all pairs nor a row a token is ever
+written, and however frequent a pair, a bucket gets one count a step.
 
 With ``bits``, the vocabulary is cut to the 2**bits - 2 most frequent words and
 one symbol for every other word, a smaller model: texts are written once as
@@ -29,7 +30,6 @@ says so. Extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,13 +37,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.llm.common import U64, WordHasher, mix, released, text_steps, written
+from stockledger.llm.common import U64, WordHasher, mix, release_memory, released, text_steps, written
 from stockledger.operators.joins import fits_broadcast, maybe_broadcast
 
 #: Words after which a task sends on what it has counted.
 _FLUSH = 4_000_000
+#: Words of a step, and pairs and words of a bucket, about; they bound a Python worker's memory.
+_STEP, _BUCKET = 1 << 19, 1 << 20
 #: Symbol before a text's first word, and the multiplier that tells a pair's words apart.
 _BEGIN, _ORDER = U64(0x5851F42D4C957F2D), U64(0x9E3779B97F4A7C15)
+#: In a pair's second place: the first word as a token, and as a word that another follows.
+_TOKEN, _CONTEXT = U64(0x14057B7EF767814F), U64(0x2545F4914F6CDD1D)
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -161,112 +165,170 @@ def _word_pairs(hasher: WordHasher, data: np.ndarray, bounds: np.ndarray) -> tup
     return _code(before, word), before, word, first
 
 
-def word_pair_counts(rows: DataFrame) -> DataFrame:
-    """(u, v, target, background): how often word ``v`` follows ``u`` in ``rows(text, target)``."""
+def _tally(codes: np.ndarray, *subsets: np.ndarray) -> list[np.ndarray]:
+    """The different codes, sorted, and how often each stands in all and in every subset, a mask."""
+    code, n = np.unique(codes, return_counts=True)
+    out = [code, n]
+    for some in subsets:
+        own, m = np.unique(codes[some], return_counts=True)
+        out.append(np.zeros(len(code), np.int64))
+        out[-1][np.searchsorted(code, own)] = m
+    return out
+
+
+def word_totals(rows: DataFrame) -> DataFrame:
+    """(word, t, b, tl, bl): how often a word stands in target texts and in all of ``rows(text, target)``, and as their last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         held, size = [], 0
 
         def counted() -> pa.RecordBatch:
-            code, u, v, target = (np.concatenate(x) for x in zip(*held, strict=True))
-            at, first, place, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-            own = np.bincount(place, weights=target, minlength=len(at)).astype(np.int64)
-            columns = [u[first].view(np.int64), v[first].view(np.int64), own, n.astype(np.int64)]
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["u", "v", "target", "background"])
+            words, target, last = (np.concatenate(x) for x in zip(*held, strict=True))
+            word, *counts = _tally(words, target, target & last, last)
+            return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), *map(pa.array, counts)], names=["word", "b", "t", "tl", "bl"])
 
         with np.errstate(over="ignore"):
             for batch in batches:
                 for lo, hi, data, bounds in text_steps(batch.column(0)):
-                    code, u, v, first = _word_pairs(hasher, data, bounds)
+                    word, _, _, first = hasher.words(data, bounds)
+                    last = np.zeros(len(word), bool)
+                    last[first[1:][np.diff(first) > 0] - 1] = True
                     target = batch.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
-                    held.append((code, u, v, np.repeat(target, np.diff(first))))
-                    size += len(code)
-                    if size >= _FLUSH // 4:
+                    held.append((word, np.repeat(target, np.diff(first)), last))
+                    size += len(word)
+                    if size >= _FLUSH:
                         yield counted()
                         held, size = [], 0
             if size:
                 yield counted()
 
-    made = rows.select("text", "target").mapInArrow(released(run), "u long, v long, target long, background long")
-    return made.groupBy("u", "v").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    made = rows.select("text", "target").mapInArrow(released(run), "word long, b long, t long, tl long, bl long")
+    return made.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("t", "b", "tl", "bl")))
 
 
-def pair_losses(counts: DataFrame, prior: float) -> DataFrame:
-    """(code, n, target, background): a pair's count and its losses by both models, as :func:`losses` over all words."""
-    both = [F.sum("target").alias("t"), F.sum("background").alias("b")]
-    single = written(counts.groupBy("v").agg(*both), "words")
-    context = counts.groupBy("u").agg(*both)
-    total = single.agg(F.sum("t").alias("t"), F.sum("b").alias("b"), F.count(F.lit(1)).alias("size")).first()
-    fits = fits_broadcast(single)  # begins apart, no more words precede than follow
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit values with their first bytes first, then all second ones: bytes that are nearly all alike compress to nothing."""
+    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
 
-    def loss(count: str, side: str):
-        share = (F.col(f"v.{side}") + 1) / F.lit(float((total[side] or 0) + total["size"]))
-        return -F.log2((F.col(count) + F.lit(prior) * share) / (F.col(f"u.{side}") + F.lit(prior)))
 
-    joined = counts.alias("c").join(maybe_broadcast(single, fits).alias("v"), F.col("c.v") == F.col("v.v")).join(maybe_broadcast(context, fits).alias("u"), F.col("c.u") == F.col("u.u"))
-    found = joined.select("c.u", "c.v", F.col("c.background").alias("n"), loss("c.target", "t").alias("target"), loss("c.background", "b").alias("background"))
+def _values(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(8, -1).T.copy().view(np.int64).reshape(-1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                code = _code(*(batch.column(i).to_numpy().view(U64) for i in (0, 1)))
-                yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), *batch.columns[2:]], names=["code", "n", "target", "background"])
 
-    return found.mapInArrow(run, "code long, n long, target double, background double")
+class _Step:
+    """A step's texts as pairs and words: the codes it asks for and, once they are answered, every token's counts."""
 
-
-def _named(words: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(words.tobytes(), digest_size=8).digest(), "little", signed=True)
+    def __init__(self, texts: pa.Table, frequent: np.ndarray):
+        hasher = WordHasher()
+        parts = []
+        for _, _, data, bounds in text_steps(texts.column("text")):
+            pair, _, word, first = _word_pairs(hasher, data, bounds)
+            parts.append((pair, word, np.diff(first)))
+        pair, word, self.lengths = (np.concatenate(x) for x in zip(*parts, strict=True))
+        begin = np.append(0, np.cumsum(self.lengths)[:-1])[self.lengths > 0]
+        at = np.minimum(np.searchsorted(frequent, word), len(frequent) - 1)
+        known = frequent[at] == word
+
+        def before(of: np.ndarray, first) -> np.ndarray:
+            out = np.roll(of, 1)
+            out[begin] = first
+            return out
+
+        #: Of every token and of its predecessor: the place among the frequent words, and whether it is one.
+        self.known = (at, known), (before(at, np.searchsorted(frequent, _BEGIN)), before(known, True))
+        rare = [~x for _, x in self.known]
+        self.codes = np.concatenate([pair, _code(word[rare[0]], _TOKEN), _code(before(word, _BEGIN)[rare[1]], _CONTEXT)])
+        self.ends = np.cumsum([len(pair), *map(np.count_nonzero, rare)])
+        target = np.repeat(texts.column("target").to_numpy(), self.lengths)
+        self.code, self.b, self.t = _tally(self.codes, np.concatenate([target, *(target[x] for x in rare)]))
+
+    def counts(self, total: np.ndarray, place: np.ndarray, *tables: np.ndarray) -> list[np.ndarray]:
+        """Of every token: how often its pair, it and its predecessor stand, by ``total`` of the codes and the frequent words' counts."""
+        own = np.split(total[place], self.ends[:-1])
+        out = [own[0]]
+        for (at, known), table, rest in zip(self.known, tables, own[1:], strict=True):
+            out.append(table[at])
+            out[-1][~known] = rest
+        return out
+
+
+def _most_frequent(words: DataFrame, most: int) -> DataFrame:
+    """Whole classes of about equal count, the most frequent words' first: at most ``most`` rows in all."""
+    level = F.floor(F.log2("b") * 8)
+    least, held = None, 0
+    for r in sorted(words.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r["level"]):
+        held += r["n"]
+        if held > most:
+            break
+        least = r["level"]
+    return words.where(F.lit(False) if least is None else level >= least)
 
 
 def _score_all(rows: DataFrame, prior: float, most: int) -> DataFrame:
     """(id, n_tokens, is_target, loss_target, loss_background) over the whole vocabulary."""
-    table = written(pair_losses(written(word_pair_counts(rows), "pairs"), prior), "losses")
-    known = table.orderBy(F.desc("n"), "code").limit(most).toArrow()  # at most ``most`` rows
-    code = known.column("code").to_numpy().view(U64)
-    order = np.argsort(code)
-    frequent = rows.sparkSession.sparkContext.broadcast((code[order], *(known.column(c).to_numpy()[order] for c in ("target", "background"))))
-
-    def looked_up(hasher: WordHasher, data: np.ndarray, bounds: np.ndarray):
-        """Pairs, token bounds and names of texts, the place of each pair among the frequent, and whether it is one."""
-        pair, _, word, first = _word_pairs(hasher, data, bounds)
-        codes = frequent.value[0]
-        at = np.minimum(np.searchsorted(codes, pair), max(len(codes) - 1, 0))
-        found = codes[at] == pair if len(codes) else np.zeros(len(pair), bool)
-        return pair, first, [_named(word[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)], at, found
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
+    words = written(word_totals(rows), "words")
+    total = words.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("t", "b", "tl", "bl")), F.count(F.lit(1)).alias("size")).first()
+    known = _most_frequent(words, most).toArrow()
+    word, t, b, tl, bl = (known.column(c).to_numpy() for c in ("word", "t", "b", "tl", "bl"))
+    # a text's begin is looked up as a word too: one for every last word
+    word = np.append(word.view(U64), _BEGIN)
+    order = np.argsort(word)
+    tables = [(np.append(n, 0)[order], np.append(n - last, total[f"{side}l"])[order]) for side, n, last in (("t", t, tl), ("b", b, bl))]
+    frequent = rows.sparkSession.sparkContext.broadcast((word[order], tables))
+    steps, buckets = total["b"] // _STEP + 1, total["b"] // _BUCKET + 1
+    texts = rows.withColumn("step", F.pmod(F.xxhash64("id", "text"), F.lit(steps)))
+
+    def ask(group: pa.Table) -> pa.Table:
         with np.errstate(over="ignore"):
-            for batch in batches:
-                for _, _, data, bounds in text_steps(batch.column(0)):
-                    pair, first, names, _, found = looked_up(hasher, data, bounds)
-                    name = np.repeat(np.array(names, np.int64), np.diff(first))
-                    yield pa.RecordBatch.from_arrays([pa.array(name[~found]), pa.array(pair[~found].view(np.int64))], names=["name", "code"])
-
-    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher()
+            step = _Step(group, frequent.value[0])
+        bucket = ((step.code >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
+        ends = np.searchsorted(bucket, np.arange(buckets + 1))
+        asked = [(i, lo, hi) for i, (lo, hi) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if hi > lo]
+        columns = [_planes(np.diff(step.code[lo:hi], prepend=U64(0))) for _, lo, hi in asked], *([_planes(n[lo:hi]) for _, lo, hi in asked] for n in (step.t, step.b))
+        number = pa.array([group.column("step")[0].as_py()] * len(asked), pa.int64())
+        return pa.table([number, pa.array([i for i, _, _ in asked], pa.int64()), *(pa.array(c, pa.binary()) for c in columns)], names=["step", "bucket", "code", "t", "b"])
+
+    def answer(group: pa.Table) -> pa.Table:
         with np.errstate(over="ignore"):
-            for batch in batches:
-                for lo, hi, data, bounds in text_steps(batch.column(1)):
-                    _, first, names, at, found = looked_up(hasher, data, bounds)
-                    text = np.repeat(np.arange(hi - lo), np.diff(first))[found]
-                    sums = [np.bincount(text, weights=side[at[found]], minlength=hi - lo).astype(np.float64) for side in frequent.value[1:]]
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(lo, hi - lo), pa.array(names, pa.int64()), pa.array(np.diff(first).astype(np.int64)), batch.column(2).slice(lo, hi - lo), *map(pa.array, sums)],
-                        names=["id", "name", "n_tokens", "is_target", "t", "b"],
-                    )
-
-    # a text's rare pairs, of all its copies: as many times each as the text stands
-    copies = F.count(F.lit(1)).alias("copies")
-    by_row = rows.mapInArrow(released(common), f"id {rows.schema['id'].dataType.simpleString()}, name long, n_tokens long, is_target boolean, t double, b double")
-    by_row = written(by_row, "rows")
-    pairs = rows.select("text").mapInArrow(released(rare), "name long, code long")
-    rest = pairs.join(table.select("code", "target", "background").hint("merge"), "code").groupBy("name").agg(F.sum("target").alias("rt"), F.sum("background").alias("rb"))
-    rest = by_row.groupBy("name").agg(copies).join(rest, "name").select("name", (F.col("rt") / F.col("copies")).alias("rt"), (F.col("rb") / F.col("copies")).alias("rb"))
-    mean = lambda a, b: F.when(F.col("n_tokens") > 0, (F.col(a) + F.coalesce(b, F.lit(0.0))) / F.col("n_tokens"))
-    return by_row.join(rest, "name", "left").select("id", "n_tokens", "is_target", mean("t", "rt").alias("loss_target"), mean("b", "rb").alias("loss_background"))
+            codes = [np.cumsum(_values(c.as_py()).view(U64), dtype=U64) for c in group.column("code")]
+        code = np.unique(np.concatenate(codes))
+        places = [np.searchsorted(code, c) for c in codes]
+        columns = []
+        for name in ("t", "b"):
+            counts = [_values(n.as_py()) for n in group.column(name)]
+            total = np.zeros(len(code), np.int64)
+            for place, n in zip(places, counts, strict=True):
+                total[place] += n
+            columns.append(pa.array([_planes(total[place] - n) for place, n in zip(places, counts, strict=True)], pa.binary()))
+        return pa.table([group.column("step"), group.column("bucket"), *columns], names=["step", "bucket", "t", "b"])
+
+    def scored(group: pa.Table, answers: pa.Table) -> pa.Table:
+        codes, tables = frequent.value
+        with np.errstate(over="ignore"):
+            step = _Step(group, codes)
+        place = np.searchsorted(step.code, step.codes)
+        text = np.repeat(np.arange(group.num_rows), step.lengths)
+        answers = answers.sort_by("bucket")
+        columns = []
+        for side, own, (token, context) in zip(("t", "b"), (step.t, step.b), tables, strict=True):
+            others = np.concatenate([np.zeros(0, np.int64), *(_values(n.as_py()) for n in answers.column(side))])
+            assert len(others) == len(own)
+            pair, single, before = step.counts(own + others, place, token, context)
+            share = (single + 1) / float(total[side] + total["size"])
+            loss = -np.log2((pair + prior * share) / (before + prior))
+            columns.append(pa.array(np.bincount(text, weights=loss, minlength=group.num_rows) / np.maximum(step.lengths, 1), mask=step.lengths == 0))
+        return pa.table([group.column("id"), pa.array(step.lengths.astype(np.int64)), group.column("target"), *columns], names=["id", "n_tokens", "is_target", "loss_target", "loss_background"])
+
+    def freed(of, *tables: pa.Table) -> pa.Table:
+        out = of(*tables)
+        release_memory()
+        return out
+
+    asked = texts.groupBy("step").applyInArrow(lambda group: freed(ask, group), "step long, bucket long, code binary, t binary, b binary")
+    answers = asked.groupBy("bucket").applyInArrow(lambda group: freed(answer, group), "step long, bucket long, t binary, b binary")
+    both = texts.groupBy("step").cogroup(answers.groupBy("step"))
+    return both.applyInArrow(lambda group, answers: freed(scored, group, answers), f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, is_target boolean, loss_target double, loss_background double")
 
 
 def score(
@@ -276,7 +338,7 @@ def score(
 
     ``targets`` holds the ids of the target documents in ``id_col``. Every word
     is a symbol of its own; with ``bits``, the vocabulary is cut to 2**bits
-    symbols. ``most`` pairs are looked up without a shuffle; it changes no result.
+    symbols. ``most`` words are looked up without a shuffle; it changes no result.
     """
     rows = _flagged(docs, targets, id_col, text_col)
     out = _score_all(rows, prior, most) if bits is None else _score_cut(rows, bits, prior)

@@ -1,10 +1,13 @@
 import math
+import os
 from collections import Counter
 
 import pytest
 from helpers import documents, prose, seeded, space_words
 from pyspark.sql import functions as F
 
+from stockledger.config import checkpoint_dir
+from stockledger.llm import lm_scoring
 from stockledger.llm.lm_scoring import score
 
 
@@ -100,3 +103,41 @@ def test_every_word_has_its_own_symbol(spark, most):
             each = [-math.log2((pair[u, v] + 50.0 * (single[v] + 1) / (n + size)) / (context[u] + 50.0)) for u, v in zip([None, *ws], ws, strict=False)]
             assert got[i]["n_tokens"] == len(ws)
             assert got[i][name] == (pytest.approx(sum(each) / len(ws), abs=1e-9) if ws else None)
+
+
+@pytest.mark.parametrize("limit", [None, "1"])
+def test_only_word_counts_are_written_and_texts_are_dealt_once(spark, limit):
+    """Nearly all pairs differ: no table of them is written, and the texts cross one shuffle for questions and answers, however the targets are joined."""
+    rng = seeded()
+    texts = [prose(rng, 300, 600) for _ in range(200)] + [None, ""]
+    labels = spark.createDataFrame([(i,) for i in range(0, 200, 3)], "doc_id long")
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    if limit:
+        spark.conf.set("stockledger.broadcast.maxBytes", limit)
+    try:
+        out = score(documents(spark, texts), labels)
+        assert len(out.collect()) == len(texts)
+    finally:
+        spark.conf.unset("stockledger.broadcast.maxBytes")
+    made = set(os.listdir(folder)) - before
+    assert {name.rsplit("-", 1)[0] for name in made} == {"words"}
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1
+    assert plan.count("Exchange hashpartitioning(step") == 3  # texts, answers, and the texts named again where they are reused
+
+
+def test_many_steps_and_buckets(spark, monkeypatch):
+    """Steps and buckets of a few words give what one of each gives; rows with the same id and text and rows without an id stay."""
+    rng = seeded()
+    texts = [(i // 2 if i % 7 else None, prose(rng, rng.randrange(0, 60), 300)) for i in range(120)] + [(5, "same text")] * 6 + [(7, None), (None, None)]
+    labels = spark.createDataFrame([(i,) for i in (0, 1, 5, 9, 20, 21)], "doc_id long")
+
+    def found(most):
+        return sorted(tuple(-1.0 if x is None else round(float(x), 9) for x in r) for r in score(documents(spark, texts), labels, most=most).collect())
+
+    whole = found(1 << 18)
+    assert len(whole) == len(texts)
+    monkeypatch.setattr(lm_scoring, "_STEP", 100)
+    monkeypatch.setattr(lm_scoring, "_BUCKET", 150)
+    assert found(1 << 18) == whole and found(20) == whole
